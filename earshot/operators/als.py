@@ -6,7 +6,9 @@ import math
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from earshot.operators.grouped_als import fit_grouped
 from earshot.params import AlsParams
 from earshot.workspace import ensure_checkpoint_dir
 
@@ -33,14 +35,29 @@ def pin_layout(ratings: DataFrame, partitions: int) -> DataFrame:
     )
 
 
+def largest_id(ratings: DataFrame) -> int:
+    """The most ratings any one user or item has."""
+    sides = [
+        ratings.groupBy(side).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
+        for side in ("userId", "sourceId")
+    ]
+    return sides[0].unionByName(sides[1]).agg(F.max("n")).first()[0]
+
+
 def fit(ratings: DataFrame, params: AlsParams, n_ratings: int) -> ALSModel:
     """Train on ``userId, sourceId, rating``.
 
     Repeated (user, item) pairs stay separate observations.  ``n_ratings`` sizes
     the blocks; callers have it from the split counts.
+
+    MLlib holds every rating of one id in one block.  Should a single id have more
+    than ``max_ratings_per_id``, the grouped form takes over.
     """
     if n_ratings == 0:
         raise ValueError("no training rows")
+    if n_ratings > params.max_ratings_per_id:
+        if largest_id(ratings) > params.max_ratings_per_id:
+            return fit_grouped(ratings, params)
     ensure_checkpoint_dir(ratings.sparkSession)
     blocks = block_count(n_ratings, params.ratings_per_block)
     if params.pin_layout:

@@ -1,0 +1,147 @@
+"""ALS as joins and grouped sums, for training sets with an overwhelming id.
+
+MLlib keeps all ratings of one user (or item) in one block.  When a single id has
+more ratings than a block can hold, the same alternating solution is reached here
+through its normal equations: the sums for one id combine map-side, so an id that
+owns a third of the ratings costs each task one partial row.
+
+Repeated pairs count as separate observations and the regularisation grows with
+the number of ratings per id, both as in MLlib.
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.ml.recommendation import ALSModel
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from earshot.params import AlsParams
+from earshot.workspace import ensure_checkpoint_dir
+
+# Ship this module with the task, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+FACTORS = "id int, features array<float>"
+SWEEPS = 1000
+TOLERANCE = 1e-9
+
+
+def fit_grouped(ratings: DataFrame, params: AlsParams) -> ALSModel:
+    """Alternate between the two sides; factors are checkpointed after every half-step."""
+    spark = ratings.sparkSession
+    ensure_checkpoint_dir(spark)
+    pairs = (
+        ratings.groupBy("userId", "sourceId")
+        .agg(
+            F.count(F.lit(1)).cast("double").alias("n"),
+            F.sum(F.col("rating").cast("double")).alias("total"),
+        )
+        .checkpoint()
+    )
+    users = _start(pairs.select(F.col("userId").alias("id")).distinct(), params)
+    items = None
+    for _ in range(params.max_iter):
+        items = half_step(pairs, users, "userId", "sourceId", params).checkpoint()
+        users = half_step(pairs, items, "sourceId", "userId", params).checkpoint()
+    return as_model(users, items, params)
+
+
+def half_step(
+    pairs: DataFrame, known: DataFrame, known_id: str, solve_id: str, params: AlsParams
+) -> DataFrame:
+    """Best factors for every ``solve_id`` given the factors of the other side.
+
+    ``pairs`` is ``userId, sourceId, n, total``: how often a pair was rated and the
+    sum of its ratings.
+    """
+    rank = params.rank
+    joined = pairs.join(known.withColumnRenamed("id", known_id), known_id)
+    f = [F.get("features", F.lit(i)).cast("double") for i in range(rank)]
+    products = [F.sum(F.col("n") * f[i] * f[j]) for i in range(rank) for j in range(i, rank)]
+    targets = [F.sum(F.col("total") * f[i]) for i in range(rank)]
+    sums = joined.groupBy(F.col(solve_id).alias("id")).agg(
+        F.array(*products).alias("products"),
+        F.array(*targets).alias("targets"),
+        F.sum("n").alias("n"),
+    )
+    return sums.mapInArrow(
+        partial(_solve_batches, rank=rank, reg=params.reg, nonnegative=params.nonnegative), FACTORS
+    )
+
+
+def as_model(users: DataFrame, items: DataFrame, params: AlsParams) -> ALSModel:
+    """The factors as an ordinary ``ALSModel``, to be applied and saved like any other."""
+    java = users.sparkSession.sparkContext._jvm.org.apache.spark.ml.recommendation.ALSModel(
+        f"als_{params.seed}_grouped", params.rank, users._jdf, items._jdf
+    )
+    model = ALSModel(java).setUserCol("userId").setItemCol("sourceId")
+    return model.setPredictionCol("prediction").setColdStartStrategy("nan").setBlockSize(4096)
+
+
+def _start(ids: DataFrame, params: AlsParams) -> DataFrame:
+    """Random non-negative unit vectors that depend on the id and the seed alone."""
+    raw = [F.abs(_gaussian(F.col("id"), i, params.seed)) for i in range(params.rank)]
+    vectors = ids.select("id", F.array(*raw).alias("v"))
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x))
+    return vectors.select(
+        "id", F.transform("v", lambda x: (x / length).cast("float")).alias("features")
+    )
+
+
+def _gaussian(id_: Column, position: int, seed: int) -> Column:
+    def uniform(stream: int) -> Column:
+        bits = F.xxhash64(id_, F.lit(position), F.lit(stream), F.lit(seed))
+        return (F.pmod(bits, F.lit(1 << 53)) + 0.5) / float(1 << 53)
+
+    return F.sqrt(-2.0 * F.log(uniform(0))) * F.cos(2.0 * math.pi * uniform(1))
+
+
+def _solve_batches(
+    batches: Iterator[pa.RecordBatch], rank: int, reg: float, nonnegative: bool
+) -> Iterator[pa.RecordBatch]:
+    rows, columns = np.triu_indices(rank)
+    for batch in batches:
+        m = batch.num_rows
+        upper = batch["products"].flatten().to_numpy().reshape(m, -1)
+        b = batch["targets"].flatten().to_numpy().reshape(m, rank)
+        n = batch["n"].to_numpy()
+        a = np.zeros((m, rank, rank))
+        a[:, rows, columns] = upper
+        a[:, columns, rows] = upper
+        a[:, np.arange(rank), np.arange(rank)] += (reg * n)[:, None]
+        x = solve_nonnegative(a, b) if nonnegative else np.linalg.solve(a, b[:, :, None])[:, :, 0]
+        offsets = np.arange(0, (m + 1) * rank, rank, dtype=np.int32)
+        features = pa.ListArray.from_arrays(
+            pa.array(offsets), pa.array(x.astype(np.float32).ravel(), pa.float32())
+        )
+        yield pa.RecordBatch.from_arrays(
+            [batch["id"].cast(pa.int32()), features], names=["id", "features"]
+        )
+
+
+def solve_nonnegative(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Minimise ``x'ax/2 - b'x`` over ``x >= 0`` for a stack of problems.
+
+    One coordinate at a time for the whole stack, until no coordinate moves.
+    """
+    x = np.zeros_like(b)
+    for _ in range(SWEEPS):
+        moved = 0.0
+        for j in range(b.shape[1]):
+            diagonal = a[:, j, j]
+            slope = np.einsum("ij,ij->i", a[:, j, :], x) - b[:, j]
+            step = np.divide(slope, diagonal, out=np.zeros_like(slope), where=diagonal > 0)
+            new = np.maximum(0.0, x[:, j] - step)
+            moved = max(moved, float(np.abs(new - x[:, j]).max(initial=0.0)))
+            x[:, j] = new
+        if moved < TOLERANCE:
+            break
+    return x

@@ -25,11 +25,12 @@ from earshot.operators import topk_kernel
 from earshot.schemas import RECOMMENDATIONS
 from earshot.workspace import ensure_checkpoint_dir
 
-SHARD_ITEMS = 262_144
-BLOCK_ITEMS = 4_096
-# Result rows one group may hold in memory: users in the group times k.
+# What one group may hold: factor values of items and of users, and result rows.
+SHARD_VALUES = 4_000_000
+GROUP_VALUES = 4_000_000
 GROUP_RESULTS = 1_000_000
-MIN_GROUP_USERS = 256
+MIN_GROUP_USERS = 64
+BLOCK_ITEMS = 4_096
 # Scores are compared as floats; the bound gets this much slack for rounding.
 SLACK = 1.0 + 1e-6
 
@@ -51,11 +52,12 @@ def top_k_items(
     users: DataFrame,
     items: DataFrame,
     k: int,
-    shard_items: int = SHARD_ITEMS,
-    group_results: int = GROUP_RESULTS,
+    shard_items: int | None = None,
+    group_users: int | None = None,
 ) -> DataFrame:
     """``userId, recommendations`` from two ``(id int, features array<float>)`` tables.
 
+    Both tables are scanned several times, so pass stored ones (a saved model's).
     Each array runs from the highest score down, ties by lower item id, and holds
     ``min(k, number of items)`` entries.
     """
@@ -66,10 +68,15 @@ def top_k_items(
     if n_users == 0 or n_items == 0:
         return spark.createDataFrame([], RECOMMENDATIONS)
 
-    cores = spark.sparkContext.defaultParallelism
-    group_users = max(MIN_GROUP_USERS, group_results // k)
+    rank = max(1, items.select(F.size("features")).first()[0])
+    shard_items = shard_items or max(1, SHARD_VALUES // rank)
+    group_users = group_users or max(
+        MIN_GROUP_USERS, min(GROUP_VALUES // rank, GROUP_RESULTS // k)
+    )
     # Small inputs still get enough groups to keep every core busy.
-    n_groups = max(math.ceil(n_users / group_users), min(4 * cores, math.ceil(n_users / 64)))
+    cores = spark.sparkContext.defaultParallelism
+    spread = min(4 * cores, math.ceil(n_users / MIN_GROUP_USERS))
+    n_groups = max(math.ceil(n_users / group_users), spread)
     partitions = max(min(n_groups, cores), math.ceil(n_groups / 8))
 
     shards = _Shards.plan(items, n_items, k, shard_items)

@@ -23,6 +23,8 @@ class AlsParams:
     # MLlib's default of ten blocks means ten tasks; larger inputs get one block
     # per this many ratings (see operators.als.block_count).
     ratings_per_block: int = 4_000_000
+    # Past this many ratings of one id, fitting goes through grouped sums instead.
+    max_ratings_per_id: int = 50_000_000
     pin_layout: bool = False
 
 
