@@ -14,8 +14,14 @@ def drop_cold(predictions: DataFrame) -> DataFrame:
 def rmse(
     predictions: DataFrame, label: str = "rating", prediction: str = "prediction"
 ) -> DataFrame:
-    """One row ``n_eval, rmse``; ``rmse`` is NULL when no usable row is left."""
+    """One row ``n_eval, rmse``; ``rmse`` is NULL when no usable row is left.
+
+    Cold rows turn into NULL errors, which the aggregates skip.  Filtering them out
+    would push the filter below the scoring and score every pair twice.
+    """
     error = F.col(label).cast("double") - F.col(prediction).cast("double")
-    return drop_cold(predictions.select(label, prediction)).agg(
-        F.count(F.lit(1)).alias("n_eval"), F.sqrt(F.avg(error * error)).alias("rmse")
+    errors = predictions.select(F.nanvl(error, F.lit(None).cast("double")).alias("error"))
+    return errors.agg(
+        F.count("error").alias("n_eval"),
+        F.sqrt(F.avg(F.col("error") * F.col("error"))).alias("rmse"),
     )

@@ -36,10 +36,9 @@ def split_name(
             raise ValueError(f"weights {tuple(weights)} do not fall on {buckets} buckets")
     if len(weights) != len(SPLITS) or edges[-1] != buckets or min(weights) < 0:
         raise ValueError(f"need three weights that add up to 1, got {tuple(weights)}")
-    bucket = split_bucket(user, item, buckets)
-    return (
-        F.when(bucket < edges[0], SPLITS[0]).when(bucket < edges[1], SPLITS[1]).otherwise(SPLITS[2])
-    )
+    first, second, _ = edges
+    names = [SPLITS[(b >= first) + (b >= second)] for b in range(buckets)]
+    return F.get(F.array(*[F.lit(name) for name in names]), split_bucket(user, item, buckets))
 
 
 def hash_split(

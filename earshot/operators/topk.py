@@ -80,7 +80,7 @@ def top_k_items(
     partitions = max(min(n_groups, cores), math.ceil(n_groups / 8))
 
     shards = _Shards.plan(items, n_items, k, shard_items)
-    blocks = _item_blocks(shards.assign(items), shard_items)
+    blocks = _item_blocks(shards.assign(items), min(shard_items, n_items))
     grouped = users.select(
         F.col("id").cast("int").alias("id"),
         F.col("features").cast("array<float>").alias("features"),
@@ -206,9 +206,9 @@ def _at(values: list[int], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
 
 
-def _item_blocks(sharded: DataFrame, shard_items: int) -> DataFrame:
+def _item_blocks(sharded: DataFrame, per_shard: int) -> DataFrame:
     """``shard, ids, flat``: items packed so that copies of a shard are a few rows."""
-    n_blocks = max(1, math.ceil(shard_items / BLOCK_ITEMS))
+    n_blocks = math.ceil(per_shard / BLOCK_ITEMS)
     block = F.pmod(F.xxhash64("id", F.lit("block")), F.lit(n_blocks)).alias("block")
     packed = sharded.groupBy("shard", block).agg(
         F.collect_list(F.struct("id", "features")).alias("rows")
@@ -224,9 +224,13 @@ def _meet(users: DataFrame, blocks: DataFrame, k: int, partitions: int) -> DataF
     The partition counts are explicit because the work is in the arithmetic: by
     bytes alone AQE would merge the groups into too few tasks.
     """
-    keys = ["shard", "group"]
-    left = users.repartition(partitions, *keys).groupBy(*keys)
-    right = blocks.select(*keys, "ids", "flat").repartition(partitions, *keys).groupBy(*keys)
+    copies = blocks.select(
+        F.col("shard").alias("item_shard"), F.col("group").alias("item_group"), "ids", "flat"
+    )
+    left = users.repartition(partitions, "shard", "group").groupBy("shard", "group")
+    right = copies.repartition(partitions, "item_shard", "item_group").groupBy(
+        "item_shard", "item_group"
+    )
     return left.cogroup(right).applyInArrow(partial(topk_kernel.best_items, k=k), schema=_FOUND)
 
 

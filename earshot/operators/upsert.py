@@ -14,12 +14,9 @@ def last_write(
     """One row per key with the value written last according to ``order``.
 
     Text lines carry no order that survives a distributed scan, so without an
-    ``order`` column the largest value wins: the same answer on every run.
-    Equal ``order`` values fall back to the larger value too.  Both forms combine
-    map-side, so a key that fills a third of the input shuffles one row per task.
+    ``order`` column the largest value wins: the same answer on every run.  An
+    ``order`` column must not repeat within a key.  Both forms combine map-side, so
+    a key that fills a third of the input shuffles one row per task.
     """
-    if order is None:
-        last = F.max(value)
-    else:
-        last = F.max_by(F.col(value), F.struct(order, value))
+    last = F.max(value) if order is None else F.max_by(value, order)
     return rows.groupBy(*keys).agg(last.alias(value))

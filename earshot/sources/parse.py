@@ -1,7 +1,6 @@
 """Lines to typed rows, with the bad ones named rather than lost.
 
-One projection does all of it, so a parse is a map over the scan: no shuffle,
-no Python, no second pass.
+A parse is a map over the scan: no shuffle, no Python, no second pass.
 """
 
 from __future__ import annotations
@@ -33,28 +32,32 @@ def classify(lines: DataFrame, record: Record) -> DataFrame:
         F.get("f", F.lit(1)).alias("item_text"),
         F.get("f", F.lit(2)).alias("value_text"),
     )
-    typed = fields.select(
-        "*",
+    numbers = F.struct(
         to_int(F.col("user_text")).alias(record.user),
         to_int(F.col("item_text")).alias(record.item),
         to_value(F.col("value_text")).alias(record.value),
     )
+    # A plain projection would be repeated inside every filter on its outcome, and
+    # each line parsed several times over; a generator is evaluated once per line.
+    typed = fields.select(
+        "value", "user_text", "item_text", "value_text", F.inline(F.array(numbers))
+    )
+    good = (
+        F.col(record.user).isNotNull()
+        & F.col(record.item).isNotNull()
+        & F.col(record.value).isNotNull()
+    )
+    numeric = (
+        looks_int(F.col("user_text"))
+        & looks_int(F.col("item_text"))
+        & looks_value(F.col("value_text"))
+    )
+    # Good lines leave at the first branch; only bad ones are looked at again.
     reason = (
-        F.when(F.col("value_text").isNull(), TOO_FEW)
-        .when(
-            ~(
-                looks_int(F.col("user_text"))
-                & looks_int(F.col("item_text"))
-                & looks_value(F.col("value_text"))
-            ),
-            NOT_A_NUMBER,
-        )
-        .when(
-            F.col(record.user).isNull()
-            | F.col(record.item).isNull()
-            | F.col(record.value).isNull(),
-            OUT_OF_RANGE,
-        )
+        F.when(good, F.lit(None).cast("string"))
+        .when(F.col("value_text").isNull(), TOO_FEW)
+        .when(~numeric, NOT_A_NUMBER)
+        .otherwise(OUT_OF_RANGE)
     )
     return typed.select("value", reason.alias("reason"), *record.columns)
 
