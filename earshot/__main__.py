@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from earshot.params import JobParams, read_properties
 from earshot.plans import jobs
 from earshot.session import COMMON, cluster_settings
+from earshot.sinks.tables import preview
 
 JOBS = {
     "train": jobs.train,
@@ -21,6 +22,20 @@ JOBS = {
 }
 
 
+def show(spark: SparkSession, job: str, params: JobParams) -> None:
+    """The first rows of what the job produced, in key order."""
+    if job == "train":
+        preview(jobs.test_predictions(spark, params), "userId", "sourceId").show()
+        return
+    table = {
+        "recommend": params.recommend_table,
+        "load-listens": params.listen_table,
+        "load-sings": params.sing_table,
+    }[job]
+    rows = spark.read.parquet(params.table_path(table))
+    preview(rows, "rowkey", "segment").show(truncate=False)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="earshot")
     parser.add_argument("job", choices=sorted(JOBS))
@@ -28,6 +43,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--properties", type=Path)
     parser.add_argument("--input-bytes", type=int, help="size of the input, for shuffle sizing")
     parser.add_argument("--cores", type=int, default=8, help="cores of the whole cluster")
+    parser.add_argument("--show", action="store_true", help="print the first 20 result rows")
     parser.add_argument("settings", nargs="*", metavar="name=value")
     args = parser.parse_args(argv)
 
@@ -42,6 +58,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = builder.getOrCreate()
     try:
         print(JOBS[args.job](spark, params))
+        if args.show:
+            show(spark, args.job, params)
     finally:
         spark.stop()
 

@@ -82,8 +82,9 @@ def as_model(users: DataFrame, items: DataFrame, params: AlsParams) -> ALSModel:
     java = users.sparkSession.sparkContext._jvm.org.apache.spark.ml.recommendation.ALSModel(
         f"als_{params.seed}_grouped", params.rank, users._jdf, items._jdf
     )
-    model = ALSModel(java).setUserCol("userId").setItemCol("sourceId")
-    return model.setPredictionCol("prediction").setColdStartStrategy("nan").setBlockSize(4096)
+    java.setUserCol("userId").setItemCol("sourceId").setPredictionCol("prediction")
+    java.setColdStartStrategy("nan").setBlockSize(4096)
+    return ALSModel(java)
 
 
 def _start(ids: DataFrame, params: AlsParams) -> DataFrame:

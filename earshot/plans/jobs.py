@@ -87,6 +87,12 @@ def read_quarantine(spark: SparkSession, path: str, record: Record) -> DataFrame
     )
 
 
+def read_part(spark: SparkSession, params: JobParams, record: Record, part: str) -> DataFrame:
+    """The typed rows of one part; other parts are not even listed for reading."""
+    staged = read_parsed(spark, params.parsed_path(record.name), record)
+    return staged.where(F.col("part") == part).select(*record.columns)
+
+
 def _part_counts(staged: DataFrame) -> dict[str, int]:
     rows = split_counts(staged.select(F.col("part").alias("split"))).collect()
     return {row["split"]: row["n"] for row in rows}
@@ -94,20 +100,12 @@ def _part_counts(staged: DataFrame) -> dict[str, int]:
 
 def train(spark: SparkSession, params: JobParams) -> TrainReport:
     """Ratings text -> split -> model folder, with the error on the test split."""
-    path = stage_parsed(
-        spark, params.ratings_path, RATING, params, split_name("userId", "sourceId", params.weights)
-    )
-    staged = read_parsed(spark, path, RATING)
-    counts = _part_counts(staged)
-
-    def part(name: str) -> DataFrame:
-        return staged.where(F.col("part") == name).select(*RATING.columns)
-
-    model = als.fit(part("train"), params.als, counts.get("train", 0))
-    als.save(model, params.model_path)
-    # Score with the saved factors: no way back into the fit if a task is retried.
-    predictions = als.predict(als.load(params.model_path), part("test"))
-    metric = rmse(predictions).first()
+    part = split_name("userId", "sourceId", params.weights)
+    path = stage_parsed(spark, params.ratings_path, RATING, params, part)
+    counts = _part_counts(read_parsed(spark, path, RATING))
+    train_rows = read_part(spark, params, RATING, "train")
+    als.save(als.fit(train_rows, params.als, counts.get("train", 0)), params.model_path)
+    metric = rmse(test_predictions(spark, params)).first()
     return TrainReport(
         model_path=params.model_path,
         counts={name: counts.get(name, 0) for name in SPLITS},
@@ -117,6 +115,14 @@ def train(spark: SparkSession, params: JobParams) -> TrainReport:
     )
 
 
+def test_predictions(spark: SparkSession, params: JobParams) -> DataFrame:
+    """The test split scored by the saved model.
+
+    Saved factors leave no way back into the fit when a task is retried.
+    """
+    return als.predict(als.load(params.model_path), read_part(spark, params, RATING, "test"))
+
+
 def recommend(spark: SparkSession, params: JobParams) -> str:
     """Saved model -> top-k for every user -> wide rows; returns the table's path."""
     model = als.load(params.model_path)
@@ -137,11 +143,9 @@ def _load_counts(
     spark: SparkSession, params: JobParams, record: Record, folder: str, table: str
 ) -> LoadReport:
     """Count text -> one wide row per user, replacing the target table."""
-    staged = read_parsed(
-        spark, stage_parsed(spark, folder, record, params, F.lit(GOOD)), record
-    )
-    counts = _part_counts(staged)
-    good = staged.where(F.col("part") == GOOD).select(*record.columns)
+    staged = stage_parsed(spark, folder, record, params, F.lit(GOOD))
+    counts = _part_counts(read_parsed(spark, staged, record))
+    good = read_part(spark, params, record, GOOD)
     path = params.table_path(table)
     overwrite_table(
         wide_rows(good, record.user, record.item, record.value, max_cells=params.max_cells), path
