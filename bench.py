@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame  # noqa: E402
 
 from earshot.operators import als  # noqa: E402
 from earshot.operators.evaluate import rmse  # noqa: E402
+from earshot.operators.split import hash_split  # noqa: E402
 from earshot.operators.topk import recommend_for_all_users  # noqa: E402
 from earshot.params import AlsParams  # noqa: E402
 from earshot.registered import standins  # noqa: E402
@@ -71,8 +72,12 @@ def main() -> None:
     path = scratch_root(spark, "bench-model")
     als.save(fitted, path)
     model = als.load(path)
-    ratings = standins.ratings(spark, sf_dir).checkpoint()
-    events = standins.event_ratings(spark, sf_dir).checkpoint()
+
+    def training(rows: DataFrame) -> DataFrame:
+        return hash_split(rows).where("split = 'train'").drop("split").checkpoint()
+
+    ratings = training(standins.ratings(spark, sf_dir))
+    events = training(standins.event_ratings(spark, sf_dir))
     n_ratings, n_events = ratings.count(), events.count()
     seconds["als_fit_orders"] = timed(
         lambda: als.fit(ratings, AlsParams(), n_ratings).userFactors.count()

@@ -31,6 +31,7 @@ GROUP_VALUES = 4_000_000
 GROUP_RESULTS = 1_000_000
 MIN_GROUP_USERS = 64
 BLOCK_ITEMS = 4_096
+MAX_PARTITIONS = 20_000
 # Scores are compared as floats; the bound gets this much slack for rounding.
 SLACK = 1.0 + 1e-6
 
@@ -76,44 +77,35 @@ def top_k_items(
     # Small inputs still get enough groups to keep every core busy.
     cores = spark.sparkContext.defaultParallelism
     spread = min(4 * cores, math.ceil(n_users / MIN_GROUP_USERS))
-    n_groups = max(math.ceil(n_users / group_users), spread)
-    partitions = max(min(n_groups, cores), math.ceil(n_groups / 8))
+    group_users = min(group_users, math.ceil(n_users / spread))
 
     shards = _Shards.plan(items, n_items, k, shard_items)
     blocks = _item_blocks(shards.assign(items), min(shard_items, n_items))
-    grouped = users.select(
+    everyone = users.select(
         F.col("id").cast("int").alias("id"),
         F.col("features").cast("array<float>").alias("features"),
         F.lit(None).cast("bigint").alias("floor_key"),
         F.lit(0).alias("shard"),
-        F.pmod(F.xxhash64("id"), F.lit(n_groups)).cast("int").alias("group"),
-    )
-
-    first = _meet(
-        grouped,
-        blocks.where("shard = 0").withColumn(
-            "group", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1)))
-        ),
-        k,
-        partitions,
     )
+    first = _meet(everyone, blocks, {0: n_users}, group_users, k)
     if len(shards.top_norms) == 1:
         return first.select(F.col("id").alias("userId"), "recommendations")
 
     ensure_checkpoint_dir(spark)
-    first = first.checkpoint()  # read three times below
+    first = first.withColumn("shards", shards.still_possible(k)).checkpoint()
+    done = first.where(F.size("shards") == 0).select(F.col("id").alias("userId"), "recommendations")
     pending = first.select(
-        "id",
-        "features",
-        F.col("kth_key").alias("floor_key"),
-        F.explode(shards.still_possible(k)).alias("shard"),
-        F.pmod(F.xxhash64("id"), F.lit(n_groups)).cast("int").alias("group"),
-    )
-    needed = pending.select("shard", "group").distinct()
-    rest = _meet(
-        pending, blocks.join(needed, "shard"), k, math.ceil(partitions * len(shards.top_norms) / 2)
+        "id", "features", F.col("kth_key").alias("floor_key"), F.explode("shards").alias("shard")
     )
-    return _merge(first.select("id", "recommendations"), rest.select("id", "recommendations"), k)
+    # One row per shard.
+    waiting = {
+        row["shard"]: row["count"] for row in pending.groupBy("shard").count().collect()
+    }
+    if not waiting:
+        return done
+    open_ = first.where(F.size("shards") > 0).select("id", "recommendations")
+    rest = _meet(pending, blocks, waiting, group_users, k).select("id", "recommendations")
+    return done.unionByName(_merge(open_.unionByName(rest), k))
 
 
 def flatten(recommendations: DataFrame) -> DataFrame:
@@ -157,7 +149,8 @@ class _Shards:
         first_shard, pieces, top_norms = [], [], []
         for number in range(len(edges) + 1):
             row = bins.get(number)
-            n_pieces = math.ceil(row["n"] / shard_items) if row else 1
+            # Quantiles are not exact: a bin somewhat over the size stays whole.
+            n_pieces = max(1, round(row["n"] / shard_items)) if row else 1
             first_shard.append(len(top_norms))
             pieces.append(n_pieces)
             top_norms += [row["top"] if row else 0.0] * n_pieces
@@ -218,25 +211,40 @@ def _item_blocks(sharded: DataFrame, per_shard: int) -> DataFrame:
     )
 
 
-def _meet(users: DataFrame, blocks: DataFrame, k: int, partitions: int) -> DataFrame:
-    """Bring each group of users together with one shard of items.
+def _meet(
+    users: DataFrame, blocks: DataFrame, waiting: dict[int, int], group_users: int, k: int
+) -> DataFrame:
+    """Bring groups of users together with the shard each of their rows names.
 
-    The partition counts are explicit because the work is in the arithmetic: by
-    bytes alone AQE would merge the groups into too few tasks.
+    ``waiting`` is the number of users per shard; a shard is copied once per group
+    of ``group_users`` of them.  The partition counts are explicit because the work
+    is in the arithmetic: by bytes alone AQE would merge the groups into too few
+    tasks.
     """
-    copies = blocks.select(
-        F.col("shard").alias("item_shard"), F.col("group").alias("item_group"), "ids", "flat"
+    groups = [math.ceil(waiting.get(s, 0) / group_users) for s in range(max(waiting) + 1)]
+    total = sum(groups)
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    partitions = max(min(total, cores), min(math.ceil(total / 8), MAX_PARTITIONS))
+
+    group = F.pmod(F.xxhash64("id"), _at(groups, F.col("shard"))).cast("int")
+    left = users.withColumn("group", group).repartition(partitions, "shard", "group")
+    copies = blocks.where(F.col("shard").isin([s for s, n in enumerate(groups) if n])).select(
+        F.col("shard").alias("item_shard"),
+        F.explode(F.sequence(F.lit(0), _at(groups, F.col("shard")) - 1)).alias("item_group"),
+        "ids",
+        "flat",
     )
-    left = users.repartition(partitions, "shard", "group").groupBy("shard", "group")
-    right = copies.repartition(partitions, "item_shard", "item_group").groupBy(
-        "item_shard", "item_group"
+    right = copies.repartition(partitions, "item_shard", "item_group")
+    return (
+        left.groupBy("shard", "group")
+        .cogroup(right.groupBy("item_shard", "item_group"))
+        .applyInArrow(partial(topk_kernel.best_items, k=k), schema=_FOUND)
     )
-    return left.cogroup(right).applyInArrow(partial(topk_kernel.best_items, k=k), schema=_FOUND)
 
 
-def _merge(first: DataFrame, rest: DataFrame, k: int) -> DataFrame:
+def _merge(found: DataFrame, k: int) -> DataFrame:
     """The k best of what the shards found; at most k rows per user and shard."""
-    rows = first.unionByName(rest).select("id", F.inline("recommendations"))
+    rows = found.select("id", F.inline("recommendations"))
     best = Window.partitionBy("id").orderBy(F.desc("rating"), "sourceId")
     return (
         rows.withColumn("place", F.row_number().over(best))
