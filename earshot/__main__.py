@@ -45,7 +45,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--cores", type=int, default=8, help="cores of the whole cluster")
     parser.add_argument("--show", action="store_true", help="print the first 20 result rows")
     parser.add_argument("settings", nargs="*", metavar="name=value")
-    args = parser.parse_args(argv)
+    args = parser.parse_intermixed_args(argv)
 
     properties = read_properties(args.properties.read_text()) if args.properties else {}
     properties.update(read_properties("\n".join(args.settings)))

@@ -35,6 +35,10 @@ def _rows(names, rows):
     return sorted(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+# Spark's names for the types where DuckDB's differ.
+_TYPE_NAMES = {"int": "integer", "string": "varchar"}
+
+
 def differences(spark, db, query, sql, sf_dir) -> tuple[int, list[str]]:
     """The row count and what differs (nothing, when the two agree)."""
     frame = query(spark, sf_dir)
@@ -45,6 +49,10 @@ def differences(spark, db, query, sql, sf_dir) -> tuple[int, list[str]]:
     found = []
     if sorted(names) != sorted(frame.columns):
         found.append(f"columns {sorted(frame.columns)} against {sorted(names)}")
+    types = {name: _TYPE_NAMES.get(kind, kind) for name, kind in frame.dtypes}
+    their_types = {d[0]: str(d[1]).lower() for d in cursor.description}
+    if types != their_types:
+        found.append(f"types {types} against {their_types}")
     if len(mine) != len(theirs):
         found.append(f"{len(mine)} rows against {len(theirs)}")
     if mine != theirs:

@@ -62,3 +62,33 @@ def test_evaluating_does_not_score_twice(spark):
     frame = rmse(score_pairs(pairs, factors, factors, 2))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"user_features#\d+\[", plan)) == 2  # one per position
+
+
+def test_a_hot_user_is_split_across_tasks(spark):
+    """Too large to broadcast, a user with a third of the pairs must not meet in one task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100000",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        ids = spark.range(600_000)
+        pairs = ids.select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5003).cast("int").alias("userId"),
+            F.pmod(F.xxhash64("id"), F.lit(4001)).cast("int").alias("sourceId"),
+        )
+        factors = spark.range(5003).select(
+            F.col("id").cast("int").alias("id"),
+            F.array(F.rand(1).cast("float"), F.rand(2).cast("float")).alias("features"),
+        )
+        execution = score_pairs(pairs, factors, factors, 2)._jdf.queryExecution()
+        assert execution.toRdd().count() == 600_000
+        assert "SortMergeJoin(skew=true)" in execution.executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

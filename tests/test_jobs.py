@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from earshot.__main__ import main
 from earshot.operators import als
 from earshot.params import AlsParams, JobParams, read_properties
 from earshot.plans import jobs
@@ -126,6 +127,24 @@ def test_fail_mode(spark, tmp_path):
         jobs.load_listens(spark, params)
 
 
+def test_command_line(spark, tmp_path, monkeypatch, capfd):
+    """The whole way from arguments to tables, in this session."""
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    params = make_params(tmp_path)
+    put_lines(params.listen_path, "1|10|3", "2|10|5")
+    properties = tmp_path / "job.properties"
+    properties.write_text(f"# where\nhdfsUrl={tmp_path}\nsparkMaster=ignored\n")
+    main(["load-listens", "--run-date", "2024-03-01", "--properties", str(properties), "--show"])
+    assert "userId:1" in capfd.readouterr().out
+    assert len(wide(spark, params.table_path("recommend_listen"))) == 2
+
+    put_lines(params.ratings_path, *(f"{u}|{i}|{u % 5}" for u in range(30) for i in range(20)))
+    main(["train", "--run-date", "2024-03-01", "--show", f"hdfsUrl={tmp_path}"])
+    main(["recommend", "--run-date", "2024-03-01", f"hdfsUrl={tmp_path}", "recommendCount=2"])
+    rows = wide(spark, params.table_path("recommend_als"))
+    assert rows and all(len(c) == 2 for c in rows.values())
+
+
 # -- parameters ---------------------------------------------------------------
 
 
