@@ -25,7 +25,7 @@ JOBS = {
 def show(spark: SparkSession, job: str, params: JobParams) -> None:
     """The first rows of what the job produced, in key order."""
     if job == "train":
-        preview(jobs.test_predictions(spark, params), "userId", "sourceId").show()
+        preview(jobs.score_part(spark, params), "userId", "sourceId").show()
         return
     table = {
         "recommend": params.recommend_table,

@@ -105,7 +105,7 @@ def train(spark: SparkSession, params: JobParams) -> TrainReport:
     counts = _part_counts(read_parsed(spark, path, RATING))
     train_rows = read_part(spark, params, RATING, "train")
     als.save(als.fit(train_rows, params.als, counts.get("train", 0)), params.model_path)
-    metric = rmse(test_predictions(spark, params)).first()
+    metric = rmse(score_part(spark, params)).first()
     return TrainReport(
         model_path=params.model_path,
         counts={name: counts.get(name, 0) for name in SPLITS},
@@ -115,12 +115,12 @@ def train(spark: SparkSession, params: JobParams) -> TrainReport:
     )
 
 
-def test_predictions(spark: SparkSession, params: JobParams) -> DataFrame:
-    """The test split scored by the saved model.
+def score_part(spark: SparkSession, params: JobParams, part: str = "test") -> DataFrame:
+    """The test (or validation) split scored by the saved model.
 
     Saved factors leave no way back into the fit when a task is retried.
     """
-    return als.predict(als.load(params.model_path), read_part(spark, params, RATING, "test"))
+    return als.predict(als.load(params.model_path), read_part(spark, params, RATING, part))
 
 
 def recommend(spark: SparkSession, params: JobParams) -> str:

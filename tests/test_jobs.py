@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from earshot.__main__ import main
 from earshot.operators import als
+from earshot.operators.evaluate import rmse
 from earshot.params import AlsParams, JobParams, read_properties
 from earshot.plans import jobs
 from earshot.registered import standins
@@ -51,6 +52,9 @@ def test_train_then_recommend(spark, tmp_path, sf_dir):
         "1|2|1e99": "out of range",
     }
 
+    validation = rmse(jobs.score_part(spark, params, "validation")).first()
+    assert 0 < validation["n_eval"] <= report.counts["validation"]
+
     path = jobs.recommend(spark, params)
     rows = wide(spark, path)
     model = als.load(params.model_path)
@@ -191,3 +195,21 @@ def test_the_shared_folder_is_the_one_the_session_names(spark):
         assert folder == named.rstrip("/")
     ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir()
+
+
+class Unset:
+    """A session that names no shared folder."""
+
+    def __init__(self, master: str) -> None:
+        self.conf = self.sparkContext = self
+        self.master = master
+
+    def get(self, name: str, default: str | None) -> str | None:
+        return default
+
+
+def test_only_a_local_session_may_go_without_a_shared_folder():
+    folder = shared_folder(Unset("local[2]"))
+    assert Path(folder).is_dir() and shared_folder(Unset("local[4]")) == folder
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Unset("spark://somewhere:7077"))
