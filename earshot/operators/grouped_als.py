@@ -2,8 +2,8 @@
 
 MLlib keeps all ratings of one user (or item) in one block.  When a single id has
 more ratings than a block can hold, the same alternating solution is reached here
-through its normal equations: the sums for one id combine map-side, so an id that
-owns a third of the ratings costs each task one partial row.
+through its normal equations, whose sums can be taken in pieces: an id with more
+than a partition's share of the pairs is spread over several tasks by a salt.
 
 Repeated pairs count as separate observations and the regularisation grows with
 the number of ratings per id, both as in MLlib.
@@ -36,8 +36,18 @@ TOLERANCE = 1e-9
 
 def fit_grouped(ratings: DataFrame, params: AlsParams) -> ALSModel:
     """Alternate between the two sides; factors are checkpointed after every half-step."""
-    spark = ratings.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(ratings.sparkSession)
+    pairs = prepare(ratings)
+    users = _start(pairs.select(F.col("userId").alias("id")).distinct(), params)
+    items = None
+    for _ in range(params.max_iter):
+        items = half_step(pairs, users, "userId", "sourceId", params).checkpoint()
+        users = half_step(pairs, items, "sourceId", "userId", params).checkpoint()
+    return as_model(users, items, params)
+
+
+def prepare(ratings: DataFrame) -> DataFrame:
+    """One row per pair: how often it was rated, the sum, and both sides' salts."""
     pairs = (
         ratings.groupBy("userId", "sourceId")
         .agg(
@@ -46,12 +56,21 @@ def fit_grouped(ratings: DataFrame, params: AlsParams) -> ALSModel:
         )
         .checkpoint()
     )
-    users = _start(pairs.select(F.col("userId").alias("id")).distinct(), params)
-    items = None
-    for _ in range(params.max_iter):
-        items = half_step(pairs, users, "userId", "sourceId", params).checkpoint()
-        users = half_step(pairs, items, "sourceId", "userId", params).checkpoint()
-    return as_model(users, items, params)
+    partitions = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1, math.ceil(pairs.count() / partitions))
+    salted = pairs
+    for side in ("userId", "sourceId"):
+        # Ids above one partition's share: fewer of them than partitions.
+        hot = (
+            pairs.groupBy(side)
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .where(F.col("rows") > share)
+            .select(side, F.ceil(F.col("rows") / share).cast("int").alias(f"{side}_hot"))
+        )
+        salted = salted.join(F.broadcast(hot), side, "left").withColumn(
+            f"{side}_salts", F.coalesce(f"{side}_hot", F.lit(1))
+        )
+    return salted.drop("userId_hot", "sourceId_hot").checkpoint()
 
 
 def half_step(
@@ -59,20 +78,30 @@ def half_step(
 ) -> DataFrame:
     """Best factors for every ``solve_id`` given the factors of the other side.
 
-    ``pairs`` is ``userId, sourceId, n, total``: how often a pair was rated and the
-    sum of its ratings.
+    The join is left to AQE, which splits the partitions of a hot ``known_id``.  The
+    joined rows, at one short vector each, are far narrower than the sums they go
+    into, so they are shuffled first and summed once in place; only then do the
+    pieces of a salted id come together.
     """
     rank = params.rank
-    joined = pairs.join(known.withColumnRenamed("id", known_id), known_id)
+    salt = F.pmod(F.xxhash64(known_id), F.col(f"{solve_id}_salts")).alias("salt")
+    rows = (
+        pairs.join(known.withColumnRenamed("id", known_id), known_id)
+        .select(F.col(solve_id).alias("id"), salt, "n", "total", "features")
+        .repartition("id", "salt")
+    )
     f = [F.get("features", F.lit(i)).cast("double") for i in range(rank)]
-    products = [F.sum(F.col("n") * f[i] * f[j]) for i in range(rank) for j in range(i, rank)]
-    targets = [F.sum(F.col("total") * f[i]) for i in range(rank)]
-    sums = joined.groupBy(F.col(solve_id).alias("id")).agg(
-        F.array(*products).alias("products"),
-        F.array(*targets).alias("targets"),
-        F.sum("n").alias("n"),
+    terms = {f"p{i}_{j}": F.col("n") * f[i] * f[j] for i in range(rank) for j in range(i, rank)}
+    products = list(terms)
+    terms |= {f"t{i}": F.col("total") * f[i] for i in range(rank)}
+    targets = list(terms)[len(products) :]
+    terms["n"] = F.col("n")
+    pieces = rows.groupBy("id", "salt").agg(*[F.sum(t).alias(name) for name, t in terms.items()])
+    sums = pieces.groupBy("id").agg(*[F.sum(name).alias(name) for name in terms])
+    packed = sums.select(
+        "id", F.array(*products).alias("products"), F.array(*targets).alias("targets"), "n"
     )
-    return sums.mapInArrow(
+    return packed.mapInArrow(
         partial(_solve_batches, rank=rank, reg=params.reg, nonnegative=params.nonnegative), FACTORS
     )
 

@@ -27,13 +27,6 @@ def vectors(frame):
     return {r["id"]: np.array(r["features"]) for r in frame.collect()}
 
 
-def pairs_of(ratings):
-    return ratings.groupBy("userId", "sourceId").agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.sum(F.col("rating").cast("double")).alias("total"),
-    )
-
-
 def test_known_pairs_are_finite_and_unknown_ones_nan(spark, ratings, model):
     known = als.predict(model, ratings)
     assert known.where(F.isnan("prediction") | F.col("prediction").isNull()).isEmpty()
@@ -105,7 +98,7 @@ def test_blocks_grow_with_the_ratings():
 def test_half_step_equals_mllibs_last_one(ratings, model):
     """MLlib ends on a user step, so its user factors follow from its item factors."""
     solved = grouped_als.half_step(
-        pairs_of(ratings), model.itemFactors, "sourceId", "userId", AlsParams()
+        grouped_als.prepare(ratings), model.itemFactors, "sourceId", "userId", AlsParams()
     )
     ours, theirs = vectors(solved), vectors(model.userFactors)
     assert ours.keys() == theirs.keys()
@@ -117,24 +110,54 @@ def test_half_step_without_the_sign_constraint(ratings):
     params = AlsParams(nonnegative=False)
     model = als.fit(ratings, params, ratings.count())
     solved = grouped_als.half_step(
-        pairs_of(ratings), model.itemFactors, "sourceId", "userId", params
+        grouped_als.prepare(ratings), model.itemFactors, "sourceId", "userId", params
     )
     ours = vectors(solved)
     for i, vector in vectors(model.userFactors).items():
         assert ours[i] == pytest.approx(vector, rel=1e-3, abs=1e-3)
 
 
+def test_salted_pieces_add_up(ratings, model):
+    prepared = grouped_als.prepare(ratings)
+    hot = prepared.withColumn("userId_salts", F.lit(7))
+    salted, plain = (
+        vectors(grouped_als.half_step(p, model.itemFactors, "sourceId", "userId", AlsParams()))
+        for p in (hot, prepared)
+    )
+    assert salted.keys() == plain.keys()
+    for i, vector in plain.items():
+        assert salted[i] == pytest.approx(vector, rel=1e-5, abs=1e-6)
+
+
 def test_repeated_pairs_stay_separate_observations(ratings):
     doubled = ratings.unionByName(ratings.where("userId % 2 = 0"))
     model = als.fit(doubled, AlsParams(), doubled.count())
     solved = grouped_als.half_step(
-        pairs_of(doubled), model.itemFactors, "sourceId", "userId", AlsParams()
+        grouped_als.prepare(doubled), model.itemFactors, "sourceId", "userId", AlsParams()
     )
     ours = vectors(solved)
     for i, vector in vectors(model.userFactors).items():
         assert ours[i] == pytest.approx(vector, rel=1e-4, abs=1e-5)
 
 
+def test_only_ids_above_a_partitions_share_are_salted(spark):
+    rows = spark.range(8000).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 1000 + 2).cast("int").alias("userId"),
+        F.col("id").cast("int").alias("sourceId"),
+        F.lit(1.0).cast("float").alias("rating"),
+    )
+    salts = {
+        r["userId"]: r["salts"]
+        for r in grouped_als.prepare(rows)
+        .groupBy("userId")
+        .agg(F.max("userId_salts").alias("salts"))
+        .collect()
+    }
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert salts.pop(1) == partitions // 2
+    assert set(salts.values()) == {1}
+
+
 def test_an_overwhelming_id_goes_through_grouped_sums(tmp_path, spark, ratings, model):
     """One user holds a third of the rows; the fit is as good and is a usual model."""
     n = ratings.count()
