@@ -11,17 +11,30 @@ def drop_cold(predictions: DataFrame) -> DataFrame:
     return predictions.na.drop()
 
 
-def rmse(
+def metrics(
     predictions: DataFrame, label: str = "rating", prediction: str = "prediction"
 ) -> DataFrame:
-    """One row ``n_eval, rmse``; ``rmse`` is NULL when no usable row is left.
+    """One row ``n, n_cold, n_eval, rmse`` from one pass.
 
-    Cold rows turn into NULL errors, which the aggregates skip.  Filtering them out
-    would push the filter below the scoring and score every pair twice.
+    ``rmse`` is NULL when no usable row is left.  Cold rows turn into NULL errors,
+    which the aggregates skip: filtering them out would push the filter below the
+    scoring and score every pair twice.
     """
     error = F.col(label).cast("double") - F.col(prediction).cast("double")
-    errors = predictions.select(F.nanvl(error, F.lit(None).cast("double")).alias("error"))
+    errors = predictions.select(
+        (F.col(prediction).isNull() | F.isnan(prediction)).alias("cold"),
+        F.nanvl(error, F.lit(None).cast("double")).alias("error"),
+    )
     return errors.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("cold").alias("n_cold"),
         F.count("error").alias("n_eval"),
         F.sqrt(F.avg(F.col("error") * F.col("error"))).alias("rmse"),
     )
+
+
+def rmse(
+    predictions: DataFrame, label: str = "rating", prediction: str = "prediction"
+) -> DataFrame:
+    """One row ``n_eval, rmse``."""
+    return metrics(predictions, label, prediction).select("n_eval", "rmse")

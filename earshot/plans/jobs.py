@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.operators import als
-from earshot.operators.evaluate import rmse
+from earshot.operators.evaluate import metrics
 from earshot.operators.split import SPLITS, split_counts, split_name
 from earshot.operators.topk import recommend_for_all_users
 from earshot.params import JobParams
@@ -35,6 +35,7 @@ class TrainReport:
     model_path: str
     counts: dict[str, int]
     bad_lines: int
+    n_cold: int
     n_eval: int
     rmse: float | None
 
@@ -105,11 +106,12 @@ def train(spark: SparkSession, params: JobParams) -> TrainReport:
     counts = _part_counts(read_parsed(spark, path, RATING))
     train_rows = read_part(spark, params, RATING, "train")
     als.save(als.fit(train_rows, params.als, counts.get("train", 0)), params.model_path)
-    metric = rmse(score_part(spark, params)).first()
+    metric = metrics(score_part(spark, params)).first()
     return TrainReport(
         model_path=params.model_path,
         counts={name: counts.get(name, 0) for name in SPLITS},
         bad_lines=counts.get(BAD, 0),
+        n_cold=metric["n_cold"],
         n_eval=metric["n_eval"],
         rmse=metric["rmse"],
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions.dates import dated_input_name
 from earshot.operators import als
-from earshot.operators.evaluate import drop_cold, rmse
+from earshot.operators.evaluate import drop_cold, metrics, rmse
 from earshot.operators.scoring import score_pairs
 from earshot.operators.split import hash_split, random_split, split_counts
 from earshot.operators.topk import flatten, item_ids, recommend_for_all_users, top_k_items
@@ -189,15 +189,7 @@ def als_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    predictions = als_predictions(spark, sf_dir)
-    cold = F.isnan("prediction")
-    totals = predictions.agg(
-        F.count(F.lit(1)).alias("n_test"), F.count_if(cold).alias("n_cold")
-    )
-    # Two one-row results side by side.
-    return totals.withColumn("one", F.lit(1)).join(
-        rmse(predictions).withColumn("one", F.lit(1)), "one"
-    ).drop("one")
+    return metrics(als_predictions(spark, sf_dir))
 
 
 def als_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:

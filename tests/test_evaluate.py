@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from earshot.operators.evaluate import drop_cold, rmse
+from earshot.operators.evaluate import drop_cold, metrics, rmse
 from earshot.operators.scoring import score_pairs
 
 NAN = float("nan")
@@ -35,6 +35,11 @@ def test_rmse_skips_cold_rows_and_matches_the_evaluator(predictions):
     assert row["rmse"] == pytest.approx(evaluator.evaluate(drop_cold(predictions)))
 
 
+def test_metrics_count_cold_rows(predictions):
+    row = metrics(predictions).first()
+    assert (row["n"], row["n_cold"], row["n_eval"]) == (5, 2, 2)
+
+
 def test_rmse_is_null_without_usable_rows(predictions):
     for none in (predictions.where("false"), predictions.where(F.isnan("prediction"))):
         row = rmse(none).first()

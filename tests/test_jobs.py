@@ -41,6 +41,7 @@ def test_train_then_recommend(spark, tmp_path, sf_dir):
     assert report.bad_lines == 3
     assert sum(report.counts.values()) == ratings.count()
     assert 0 < report.n_eval <= report.counts["test"]
+    assert report.n_cold + report.n_eval == report.counts["test"]
     assert report.rmse > 0
     reasons = {
         r["value"]: r["reason"]

@@ -46,3 +46,9 @@ def test_no_rows_pass_through_the_driver():
         assert not re.search(r"\.rdd\b|toPandas|toLocalIterator|localCheckpoint|\.cache\(", text), path
         collects = text.count(".collect()")
         assert collects <= {"jobs.py": 1, "topk.py": 2}.get(path.name, 0), path
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_plan_pairs_everything_with_everything(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
