@@ -163,6 +163,8 @@ FROM names GROUP BY 1""",
 SELECT "userId", "sourceId", split FROM split""",
     "split_counts": f"""WITH {_RATINGS}, {_SPLIT}
 SELECT split, count(*) AS n FROM split GROUP BY split""",
+    "random_split_covers": f"""WITH {_RATINGS}
+SELECT count(*) AS n_rows, count(DISTINCT ("userId", "sourceId")) AS n_pairs FROM ratings""",
     "baseline_predictions": f"""WITH {_RATINGS}, {_ITEM_MEANS}
 SELECT "userId", "sourceId", round(rating::DOUBLE, 4) AS rating,
        round(prediction, 6) AS prediction FROM predictions""",
@@ -175,6 +177,13 @@ SELECT "userId", "sourceId", round(rating::DOUBLE, 4) AS rating,
        round(prediction::DOUBLE, 5) AS prediction FROM predictions WHERE prediction IS NOT NULL""",
     "rmse_scored_pairs": f"WITH {_RATINGS}, {_PREDICTIONS} {_RMSE}",
     "rmse_empty": f"WITH {_RATINGS}, {_PREDICTIONS} {_RMSE} WHERE prediction IS NULL",
+    "als_coverage": f"""WITH {_RATINGS}, {_SPLIT},
+test AS (
+  SELECT "userId" IN (SELECT "userId" FROM split WHERE split = 'train')
+     AND "sourceId" IN (SELECT "sourceId" FROM split WHERE split = 'train') AS known
+  FROM split WHERE split = 'test')
+SELECT count(*) AS n, count(*) FILTER (NOT known) AS n_cold, count(*) FILTER (known) AS n_eval
+FROM test""",
     "als_invariants": f"""WITH {_RATINGS}, {_SPLIT},
 train AS (SELECT * FROM split WHERE split = 'train')
 SELECT 'user' AS side, count(DISTINCT "userId") AS n_ids, 0::BIGINT AS n_wrong_rank,

@@ -102,6 +102,18 @@ def random_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_counts(named[0].unionByName(named[1]).unionByName(named[2]))
 
 
+def random_split_covers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three parts together: every pair once."""
+    train, validation, test = random_split(given.ratings(spark, sf_dir)).values()
+    return (
+        train.unionByName(validation)
+        .unionByName(test)
+        .groupBy("userId", "sourceId")
+        .agg(F.count(F.lit(1)).alias("times"))
+        .agg(F.sum("times").alias("n_rows"), F.count(F.lit(1)).alias("n_pairs"))
+    )
+
+
 # -- score and evaluate -------------------------------------------------------
 
 
@@ -192,6 +204,11 @@ def als_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics(als_predictions(spark, sf_dir))
 
 
+def als_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many test pairs the model knows both sides of."""
+    return als_metrics(spark, sf_dir).select("n", "n_cold", "n_eval")
+
+
 def als_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What must hold for any fit: a factor row per trained id, none negative."""
     model = _saved_model(spark, sf_dir)
@@ -431,6 +448,7 @@ QUERIES: dict[str, Query] = {
     "split_members": split_members,
     "split_counts": split_sizes,
     "random_split_counts": random_split_counts,
+    "random_split_covers": random_split_covers,
     "baseline_predictions": baseline_predictions,
     "rmse_baseline": rmse_baseline,
     "score_pairs": score_known_pairs,
@@ -439,6 +457,7 @@ QUERIES: dict[str, Query] = {
     "rmse_empty": rmse_empty,
     "als_predictions": als_predictions,
     "als_metrics": als_metrics,
+    "als_coverage": als_coverage,
     "als_invariants": als_invariants,
     "model_save_load": model_save_load,
     "topk_scores": topk_scores,

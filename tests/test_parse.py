@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import random
+import re
+import struct
+
 import pytest
 
 from earshot.schemas import LISTEN, RATING, SING
@@ -95,3 +99,45 @@ def test_each_line_is_parsed_once(spark):
     assert plan.count("try_cast") == len(LISTEN.columns)
     assert plan.count("split(") == 1
     assert "Exchange" not in plan and "Python" not in plan
+
+
+INT = re.compile(r"[+-]?[0-9]+")
+FLOAT = re.compile(r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?")
+
+
+def expected(line, third):
+    """The rules of the parse, spelt out for one line."""
+    fields = line.split("|")
+    if len(fields) < 3:
+        return "too few fields"
+    patterns = (INT, INT, FLOAT if third is float else INT)
+    if not all(p.fullmatch(f) for p, f in zip(patterns, fields, strict=False)):
+        return "not a number"
+    numbers = [int(fields[0]), int(fields[1]), third(fields[2])]
+    fits = [abs(n + 0.5) < 2**31 for n in numbers[: 2 if third is float else 3]]
+    if third is float:
+        try:
+            numbers[2] = struct.unpack("f", struct.pack("f", numbers[2]))[0]
+        except OverflowError:
+            fits.append(False)
+        else:
+            fits.append(abs(numbers[2]) != float("inf"))
+    return tuple(numbers) if all(fits) else "out of range"
+
+
+@pytest.mark.parametrize(("record", "third"), [(LISTEN, int), (RATING, float)])
+def test_random_lines(spark, record, third):
+    rng = random.Random(12)
+    pieces = ["1", "23", "2147483648", "+4", "-5", "0.5", ".", "e", "1e3", "9e40", " ", "\t", "x", ""]
+    lines = set()
+    while len(lines) < 3000:
+        fields = ["".join(rng.choices(pieces, k=rng.choice([1, 1, 1, 2]))) for _ in range(rng.choice([2, 3, 3, 3, 4]))]
+        lines.add("|".join(fields))
+    frame = spark.createDataFrame([(line,) for line in sorted(lines)], "value string")
+    outcomes = set()
+    for row in classify(frame, record).collect():
+        got = row["reason"] or tuple(row[c] for c in record.columns)
+        wanted = expected(row["value"], third)
+        assert got == (wanted if isinstance(wanted, str) else pytest.approx(wanted)), row["value"]
+        outcomes.add(wanted if isinstance(wanted, str) else "good")
+    assert outcomes == {"too few fields", "not a number", "out of range", "good"}
