@@ -15,7 +15,7 @@ from earshot.workspace import ensure_checkpoint_dir
 MIN_BLOCKS = 10
 # Every user block exchanges factors with every item block, so the number of
 # messages per half-iteration grows with the square of this.
-MAX_BLOCKS = 4096
+MAX_BLOCKS = 10_000
 
 
 def block_count(n_ratings: int, ratings_per_block: int) -> int:

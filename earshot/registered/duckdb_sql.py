@@ -72,6 +72,8 @@ ranked AS (
             AS place FROM scored),
 topk AS (SELECT * FROM ranked WHERE place < {K})"""
 
+_PLACED = """SELECT "userId", place, "sourceId", round(rating::DOUBLE, 5) AS rating FROM topk"""
+
 _ITEM_IDS = """SELECT "userId", string_agg("sourceId"::VARCHAR, ',' ORDER BY place) AS "itemIds"
 FROM topk GROUP BY "userId" """
 
@@ -190,10 +192,13 @@ SELECT 'user' AS side, count(DISTINCT "userId") AS n_ids, 0::BIGINT AS n_wrong_r
        0::BIGINT AS n_negative FROM train
 UNION ALL
 SELECT 'item', count(DISTINCT "sourceId"), 0, 0 FROM train""",
+    "als_half_step": f"""WITH {_RATINGS}, {_SPLIT}
+SELECT count(DISTINCT "userId") AS n_users, 0::BIGINT AS n_different
+FROM split WHERE split = 'train'""",
     "model_save_load": f"""WITH {_RATINGS}, {_SPLIT}
 SELECT count(*) AS n_pairs, 0::BIGINT AS n_different FROM split WHERE split = 'test'""",
-    "topk_scores": f"""WITH {_TOP_K}
-SELECT "userId", place, "sourceId", round(rating::DOUBLE, 5) AS rating FROM topk""",
+    "topk_scores": f"WITH {_TOP_K} {_PLACED}",
+    "topk_scores_sharded": f"WITH {_TOP_K} {_PLACED}",
     "recommendations_flat": f"""WITH {_TOP_K}
 SELECT "userId", "sourceId", round(rating::DOUBLE, 5) AS rating FROM topk""",
     "recommended_item_ids": f"WITH {_TOP_K} {_ITEM_IDS}",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import date
 
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.functions.dates import dated_input_name
-from earshot.operators import als
+from earshot.operators import als, grouped_als
 from earshot.operators.evaluate import drop_cold, metrics, rmse
 from earshot.operators.scoring import score_pairs
 from earshot.operators.split import hash_split, random_split, split_counts
@@ -229,6 +230,24 @@ def als_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def als_half_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User factors solved by grouped sums against the ones MLlib ended on."""
+    model = _saved_model(spark, sf_dir)
+    train = _split_ratings(spark, sf_dir).where(F.col("split") == "train").drop("split")
+    solved = grouped_als.half_step(
+        grouped_als.prepare(train), model.itemFactors, "sourceId", "userId", AlsParams()
+    )
+    both = solved.join(model.userFactors.withColumnRenamed("features", "mllib"), "id", "full")
+    close = F.forall(
+        F.zip_with("features", "mllib", lambda x, y: F.abs(x - y) <= 1e-3 * (1 + F.abs(y))),
+        lambda ok: ok,
+    )
+    return both.agg(
+        F.count(F.lit(1)).alias("n_users"),
+        F.count_if(~F.coalesce(close, F.lit(False))).alias("n_different"),
+    )
+
+
 def model_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test pairs scored by the fitted model and by its saved copy, compared."""
     fitted = fit_model(spark, sf_dir)
@@ -253,7 +272,17 @@ def _factor_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topk_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _factor_top_k(spark, sf_dir).select(
+    return _placed(_factor_top_k(spark, sf_dir))
+
+
+def topk_scores_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the items in eight shards."""
+    vectors = given.factors(spark, sf_dir)
+    return _placed(top_k_items(vectors, vectors, K, shard_items=math.ceil(vectors.count() / 8)))
+
+
+def _placed(recommendations: DataFrame) -> DataFrame:
+    return recommendations.select(
         "userId", F.posexplode("recommendations").alias("place", "entry")
     ).select(
         "userId",
@@ -459,8 +488,10 @@ QUERIES: dict[str, Query] = {
     "als_metrics": als_metrics,
     "als_coverage": als_coverage,
     "als_invariants": als_invariants,
+    "als_half_step": als_half_step,
     "model_save_load": model_save_load,
     "topk_scores": topk_scores,
+    "topk_scores_sharded": topk_scores_sharded,
     "recommendations_flat": recommendations_flat,
     "recommended_item_ids": recommended_item_ids,
     "recommend_all_users": recommend_all_users,

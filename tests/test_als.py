@@ -177,13 +177,20 @@ def test_an_overwhelming_id_goes_through_grouped_sums(tmp_path, spark, ratings,
     assert recommend_for_all_users(again, 5).count() == model.userFactors.count()
 
 
-def test_non_negative_solver_meets_the_optimality_conditions():
+@pytest.mark.parametrize("observations", [2, 6, 40])
+def test_non_negative_solver_meets_the_optimality_conditions(observations):
+    """Few observations leave the problem badly conditioned, held up by the ridge alone."""
     rng = np.random.default_rng(2)
-    half = rng.normal(size=(50, 6, 8))
-    a = half @ half.transpose(0, 2, 1) + 0.01 * np.eye(6)
-    b = rng.normal(size=(50, 6))
+    half = np.abs(rng.normal(size=(300, 10, observations))) * 10
+    a = half @ half.transpose(0, 2, 1) + 0.01 * observations * np.eye(10)
+    b = np.einsum("ijk,ik->ij", half, rng.normal(size=(300, observations)) * 20 + 10)
     x = grouped_als.solve_nonnegative(a, b)
-    slope = np.einsum("ijk,ik->ij", a, x) - b
-    assert (x >= 0).all()
-    assert (slope > -1e-6).all()  # no coordinate wants to grow
-    assert np.abs(slope[x > 0]).max() < 1e-6  # none in use wants to shrink
+    slope = (np.einsum("ijk,ik->ij", a, x) - b) / np.abs(b).max(axis=1, keepdims=True)
+    assert (x >= 0).all() and (x > 0).any() and (x == 0).any()
+    assert slope.min() > -1e-9  # no coordinate wants to grow
+    assert np.abs(slope[x > 0]).max() < 1e-9  # none in use wants to shrink
+
+
+def test_non_negative_solver_on_a_zero_target():
+    assert (grouped_als.solve_nonnegative(np.eye(3)[None], np.zeros((1, 3))) == 0).all()
+    assert (grouped_als.solve_nonnegative(np.eye(3)[None], -np.ones((1, 3))) == 0).all()
