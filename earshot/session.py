@@ -17,6 +17,8 @@ COMMON = {
     # The parsed tables are partitioned by a handful of values, so each task can
     # keep one file open per value instead of sorting its rows first.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # Checkpoint files go when the table they cut the lineage of is no longer used.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -125,6 +125,19 @@ def test_a_load_without_good_lines_empties_the_table(spark, tmp_path):
     assert spark.read.parquet(report.table_path).isEmpty()
 
 
+def test_missing_input_leaves_the_target_alone(spark, tmp_path):
+    params = make_params(tmp_path)
+    put_lines(params.listen_path, "1|10|3")
+    path = jobs.load_listens(spark, params).table_path
+    tomorrow = params.with_(run_date=date(2024, 3, 2))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs.load_listens(spark, tomorrow)
+    Path(tomorrow.listen_path).mkdir(parents=True)  # a folder without part files is no better
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs.load_listens(spark, tomorrow)
+    assert wide(spark, path) == {"userId:1": {"10": "3"}}
+
+
 def test_fail_mode(spark, tmp_path):
     params = make_params(tmp_path, on_bad_line="fail")
     put_lines(params.listen_path, "1|2|3", "junk")
