@@ -35,10 +35,8 @@ MAX_PARTITIONS = 20_000
 # Scores are compared as floats; the bound gets this much slack for rounding.
 SLACK = 1.0 + 1e-6
 
-_FOUND = (
-    "id int, features array<float>, kth_key bigint, "
-    "recommendations array<struct<sourceId:int,rating:float>>"
-)
+_FOUND = "id int, recommendations array<struct<sourceId:int,rating:float>>"
+_CARRIED = f"{_FOUND}, features array<float>, kth_key bigint"
 
 
 def recommend_for_all_users(model: ALSModel, k: int, **sizes: int) -> DataFrame:
@@ -87,8 +85,9 @@ def top_k_items(
         F.lit(None).cast("bigint").alias("floor_key"),
         F.lit(0).alias("shard"),
     )
-    first = _meet(everyone, blocks, {0: n_users}, group_users, k)
-    if len(shards.top_norms) == 1:
+    single = len(shards.top_norms) == 1
+    first = _meet(everyone, blocks, {0: n_users}, group_users, k, carry=not single)
+    if single:
         return first.select(F.col("id").alias("userId"), "recommendations")
 
     ensure_checkpoint_dir(spark)
@@ -104,7 +103,7 @@ def top_k_items(
     if not waiting:
         return done
     open_ = first.where(F.size("shards") > 0).select("id", "recommendations")
-    rest = _meet(pending, blocks, waiting, group_users, k).select("id", "recommendations")
+    rest = _meet(pending, blocks, waiting, group_users, k, carry=False)
     return done.unionByName(_merge(open_.unionByName(rest), k))
 
 
@@ -212,14 +211,20 @@ def _item_blocks(sharded: DataFrame, per_shard: int) -> DataFrame:
 
 
 def _meet(
-    users: DataFrame, blocks: DataFrame, waiting: dict[int, int], group_users: int, k: int
+    users: DataFrame,
+    blocks: DataFrame,
+    waiting: dict[int, int],
+    group_users: int,
+    k: int,
+    carry: bool,
 ) -> DataFrame:
     """Bring groups of users together with the shard each of their rows names.
 
     ``waiting`` is the number of users per shard; a shard is copied once per group
-    of ``group_users`` of them.  The partition counts are explicit because the work
-    is in the arithmetic: by bytes alone AQE would merge the groups into too few
-    tasks.
+    of ``group_users`` of them.  ``carry`` adds what another round needs.
+
+    The partition counts are explicit because the work is in the arithmetic: by
+    bytes alone AQE would merge the groups into too few tasks.
     """
     groups = [math.ceil(waiting.get(s, 0) / group_users) for s in range(max(waiting) + 1)]
     total = sum(groups)
@@ -238,7 +243,10 @@ def _meet(
     return (
         left.groupBy("shard", "group")
         .cogroup(right.groupBy("item_shard", "item_group"))
-        .applyInArrow(partial(topk_kernel.best_items, k=k), schema=_FOUND)
+        .applyInArrow(
+            partial(topk_kernel.best_items, k=k, carry=carry),
+            schema=_CARRIED if carry else _FOUND,
+        )
     )
 
 

@@ -32,10 +32,12 @@ def read_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bits.astype(np.int32).view(np.float32), ids.astype(np.int32)
 
 
-def best_items(users: pa.Table, blocks: pa.Table, k: int) -> pa.Table:
-    """The k best items of the shard for each user, only those above its floor."""
+def best_items(users: pa.Table, blocks: pa.Table, k: int, carry: bool) -> pa.Table:
+    """The k best items of the shard for each user, only those above its floor.
+
+    With ``carry`` also the user's vector and k-th best key, for another round.
+    """
     n = users.num_rows
-    user_ids = users["id"].to_numpy()
     floor = users["floor_key"].fill_null(NOTHING).to_numpy()
     keys = np.empty((n, k), dtype=np.int64)
     keys[:] = floor[:, None]
@@ -50,7 +52,7 @@ def best_items(users: pa.Table, blocks: pa.Table, k: int) -> pa.Table:
         for start in range(0, n, at_once):
             part = slice(start, start + at_once)
             _improve(keys[part], vectors[part], items, item_ids, norms)
-    return _table(users, user_ids, keys, floor, k)
+    return _table(users, keys, floor, carry)
 
 
 def _improve(
@@ -81,25 +83,23 @@ def _improve(
             keys[rows] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
 
 
-def _table(
-    users: pa.Table, user_ids: np.ndarray, keys: np.ndarray, floor: np.ndarray, k: int
-) -> pa.Table:
+def _table(users: pa.Table, keys: np.ndarray, floor: np.ndarray, carry: bool) -> pa.Table:
     keys = np.sort(keys, axis=1)[:, ::-1]
-    kth = keys[:, -1] if len(keys) else np.empty(0, dtype=np.int64)
     new = keys > floor[:, None]
     offsets = np.concatenate([[0], np.cumsum(new.sum(axis=1))]).astype(np.int32)
     scores, items = read_keys(keys[new])
     entries = pa.StructArray.from_arrays(
         [pa.array(items, pa.int32()), pa.array(scores, pa.float32())], names=["sourceId", "rating"]
     )
-    return pa.table(
-        {
-            "id": pa.array(user_ids, pa.int32()),
-            "features": users["features"],
-            "kth_key": pa.array(kth, pa.int64(), mask=kth == NOTHING),
-            "recommendations": pa.ListArray.from_arrays(pa.array(offsets), entries),
-        }
-    )
+    found = {
+        "id": users["id"],
+        "recommendations": pa.ListArray.from_arrays(pa.array(offsets), entries),
+    }
+    if carry:
+        kth = keys[:, -1]
+        found["features"] = users["features"]
+        found["kth_key"] = pa.array(kth, pa.int64(), mask=kth == NOTHING)
+    return pa.table(found)
 
 
 def _flat(column: pa.ChunkedArray) -> np.ndarray:

@@ -42,7 +42,7 @@ def wide_rows(
         segmented = _with_segment(latest, busy, user, item)
     entry = F.struct(F.col(item).alias("item"), F.col(value).alias("value"))
     grouped = segmented.groupBy(user, "segment").agg(
-        F.array_sort(F.collect_list(entry)).alias("entries")
+        F.sort_array(F.collect_list(entry)).alias("entries")
     )
     return grouped.select(
         row_key(F.col(user)).alias("rowkey"),
