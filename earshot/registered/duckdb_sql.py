@@ -207,6 +207,11 @@ train AS (SELECT * FROM split WHERE split = 'train')
 SELECT count(DISTINCT "userId") AS n_users,
        (count(DISTINCT "userId") * least({K}, count(DISTINCT "sourceId")))::BIGINT AS n_items,
        0::BIGINT AS n_out_of_order, 0::BIGINT AS n_with_repeats
+FROM train""",
+    "recommend_scores_agree": f"""WITH {_RATINGS}, {_SPLIT},
+train AS (SELECT * FROM split WHERE split = 'train')
+SELECT (count(DISTINCT "userId") * least({K}, count(DISTINCT "sourceId")))::BIGINT AS n_scores,
+       0::BIGINT AS n_different
 FROM train""",
     "upsert_last_write": f"""WITH {_EVENTS}
 SELECT "userId", item, max_by(value, event_id) AS value FROM ev GROUP BY "userId", item""",

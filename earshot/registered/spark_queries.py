@@ -322,6 +322,19 @@ def recommend_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def recommend_scores_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recommended scores against the pair-by-pair scores of the same factors."""
+    model = _saved_model(spark, sf_dir)
+    pairs = flatten(recommend_for_all_users(model, K))
+    scored = score_pairs(pairs, model.userFactors, model.itemFactors, AlsParams().rank)
+    gap = F.abs(F.col("rating") - F.col("prediction"))
+    agrees = gap <= 1e-5 * (1 + F.abs(F.col("prediction")))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_scores"),
+        F.count_if(F.isnan("prediction") | ~agrees).alias("n_different"),
+    )
+
+
 # -- sinks --------------------------------------------------------------------
 
 
@@ -496,6 +509,7 @@ QUERIES: dict[str, Query] = {
     "recommended_item_ids": recommended_item_ids,
     "recommend_all_users": recommend_all_users,
     "recommend_invariants": recommend_invariants,
+    "recommend_scores_agree": recommend_scores_agree,
     "upsert_last_write": upsert_last_write,
     "listen_wide_rows": listen_wide_rows,
     "sing_wide_rows": sing_wide_rows,
