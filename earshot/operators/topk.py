@@ -167,7 +167,8 @@ class _Shards:
             return items.select(*columns, F.lit(0).alias("shard"))
         bin_ = F.col("bin")
         piece = F.pmod(F.xxhash64("id"), _at(self.pieces, bin_)).cast("int")
-        return items.select(*columns, _bin(norm(F.col("features")), self.edges).alias("bin")).select(
+        binned = items.select(*columns, _bin(norm(F.col("features")), self.edges).alias("bin"))
+        return binned.select(
             "id",
             "features",
             F.when(F.col("id") <= self.lowest_ids_up_to, 0)

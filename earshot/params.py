@@ -87,7 +87,7 @@ class JobParams:
         if self.max_cells < 1:
             raise ValueError(f"max_cells must be at least 1, got {self.max_cells}")
         if self.on_bad_line not in ("quarantine", "fail"):
-            raise ValueError(f"on_bad_line must be 'quarantine' or 'fail', got {self.on_bad_line!r}")
+            raise ValueError(f"on_bad_line: 'quarantine' or 'fail', not {self.on_bad_line!r}")
         tables = (self.recommend_table, self.listen_table, self.sing_table)
         if len(set(tables)) != len(tables):
             raise ValueError(f"each job needs its own target table, got {tables}")

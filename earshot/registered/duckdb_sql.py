@@ -41,7 +41,8 @@ _SPLIT = f"""split AS (
 
 _ITEM_MEANS = f"""{_SPLIT},
 means AS (
-  SELECT "sourceId", avg(rating::DOUBLE) AS prediction FROM split WHERE split = 'train' GROUP BY ALL),
+  SELECT "sourceId", avg(rating::DOUBLE) AS prediction
+  FROM split WHERE split = 'train' GROUP BY ALL),
 predictions AS (
   SELECT s."userId", s."sourceId", s.rating, m.prediction
   FROM split s LEFT JOIN means m ON s."sourceId" = m."sourceId" WHERE s.split = 'test')"""

@@ -142,7 +142,7 @@ def test_repeated_pairs_stay_separate_observations(ratings):
 
 def test_only_ids_above_a_partitions_share_are_salted(spark):
     rows = spark.range(8000).select(
-        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 1000 + 2).cast("int").alias("userId"),
+        F.expr("int(if(id % 2 = 0, 1, id % 1000 + 2))").alias("userId"),
         F.col("id").cast("int").alias("sourceId"),
         F.lit(1.0).cast("float").alias("rating"),
     )

@@ -15,6 +15,7 @@ from earshot.registered import standins
 from earshot.schemas import LISTEN, RATING
 from earshot.session import cluster_settings
 from earshot.workspace import ensure_checkpoint_dir, shared_folder
+from tests.plans import plan_of
 
 
 def make_params(tmp_path, **changes) -> JobParams:
@@ -69,14 +70,8 @@ def test_training_reads_only_its_own_part(spark, tmp_path):
     params = make_params(tmp_path)
     put_lines(params.ratings_path, *(f"{u}|{i}|{u % 5}" for u in range(30) for i in range(20)))
     path = jobs.stage_parsed(spark, params.ratings_path, RATING, params, F.lit("train"))
-    plan = (
-        jobs.read_parsed(spark, path, RATING)
-        .where(F.col("part") == "train")
-        .select(*RATING.columns)
-        ._jdf.queryExecution()
-        .executedPlan()
-        .toString()
-    )
+    assert path == params.parsed_path("rating")
+    plan = plan_of(jobs.read_part(spark, params, RATING, "train"))
     assert "PartitionFilters: [isnotnull(part" in plan
     assert "ReadSchema: struct<userId:int,sourceId:int,rating:float>" in plan
 
@@ -176,7 +171,7 @@ def test_blank_names_mean_yesterday(tmp_path):
 
 
 def test_properties_set_fields_and_unknown_ones_raise():
-    text = "# job\nhdfsUrl = /data/\n\n! old\nrecommendCount=7\nsparkMaster=spark://x:7077\nmax_cells=9"
+    text = "# job\nhdfsUrl = /data/\n\n! old\nrecommendCount=7\nsparkMaster=local\nmax_cells=9"
     params = JobParams.from_properties(read_properties(text), date(2024, 3, 1))
     assert (params.storage_root, params.k, params.max_cells) == ("/data/", 7, 9)
     for bad in ("noSuchName=1", "run_date=2024-01-01", "recommendCount=many", "recommendCount=0"):

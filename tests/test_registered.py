@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as registered
 from tests.oracle import connect, differences
+from tests.plans import plan_of
 
 QUERIES, SQL = registered.queries(), registered.oracle_sql()
 PACKAGE = Path(__file__).resolve().parent.parent / "earshot"
@@ -43,12 +44,13 @@ def test_no_rows_pass_through_the_driver():
     """Only counts, shard summaries and metric rows are ever collected."""
     for path in PACKAGE.rglob("*.py"):
         text = path.read_text()
-        assert not re.search(r"\.rdd\b|toPandas|toLocalIterator|localCheckpoint|\.cache\(", text), path
+        banned = r"\.rdd\b|toPandas|toLocalIterator|localCheckpoint|\.cache\("
+        assert not re.search(banned, text), path
         collects = text.count(".collect()")
         assert collects <= {"jobs.py": 1, "topk.py": 2}.get(path.name, 0), path
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_plan_pairs_everything_with_everything(spark, sf_dir, name):
-    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan

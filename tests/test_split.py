@@ -43,7 +43,9 @@ def test_other_weights(pairs):
     assert hash_split(pairs, weights=(1.0, 0.0, 0.0)).where("split <> 'train'").isEmpty()
 
 
-@pytest.mark.parametrize("weights", [(0.65, 0.15, 0.2), (0.6, 0.2), (0.6, 0.2, 0.1), (1.2, -0.4, 0.2)])
+@pytest.mark.parametrize(
+    "weights", [(0.65, 0.15, 0.2), (0.6, 0.2), (0.6, 0.2, 0.1), (1.2, -0.4, 0.2)]
+)
 def test_bad_weights_are_refused(pairs, weights):
     with pytest.raises(ValueError):
         hash_split(pairs, weights=weights)
