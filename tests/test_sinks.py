@@ -42,7 +42,10 @@ def test_last_write_wins(spark):
     unordered = last_write(rows, keys, "value")
     assert {tuple(r) for r in unordered.collect()} == {(1, 1, 9), (2, 1, 5)}
     wide = wide_rows(rows, *keys, "value", "at")
-    assert {r["rowkey"]: r["cells"] for r in wide.collect()} == {"userId:1": {"1": "4"}, "userId:2": {"1": "5"}}
+    assert {r["rowkey"]: r["cells"] for r in wide.collect()} == {
+        "userId:1": {"1": "4"},
+        "userId:2": {"1": "5"},
+    }
 
 
 @pytest.fixture(scope="module")
