@@ -10,15 +10,18 @@ the patterns.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
-import pyarrow as pa
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from earshot.llm.common import kept, read_documents
 
@@ -26,21 +29,24 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 # Words whose ids a worker remembers; forgetting them only costs time.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
+# Marks that form pieces of their own after letters, whatever stands next to them.
+MARKS = ".,;:!?#*$%&|()\"-"
 # Pieces of one length are numbered in groups of about this many.
-GROUP = 20_000
+GROUP = 1_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
 @cache
-def _tokenizer(path: str):
-    import os
-
+def _tokenizer(path: str) -> tuple[Tokenizer, np.ndarray, dict[bytes, bytes]]:
+    """The tokenizer, which of its ids end a piece of a word, and the words known so far."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path), {}
+    tokenizer = Tokenizer.from_file(path)
+    ends = np.zeros(tokenizer.get_vocab_size(), bool)
+    for token, number in tokenizer.get_vocab().items():
+        ends[number] = token.endswith("</w>")
+    return tokenizer, ends, {}
 
 
 def encode(texts: list[str | None], path: str) -> Iterator[bytes]:
@@ -49,18 +55,71 @@ def encode(texts: list[str | None], path: str) -> Iterator[bytes]:
     This tokenizer drops white space before it forms pieces, so a text's ids are
     those of its white-space-separated words in turn, and a word is encoded once.
     """
-    tokenizer, known = _tokenizer(path)
-    if len(known) > REMEMBERED:
-        known.clear()
-    split = [(text or "").encode().split() for text in texts]
-    fresh = [w for w in set().union(*split) if w not in known]
-    for at in range(0, len(fresh), 1000):
-        some = fresh[at : at + 1000]
-        coded = tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)
-        for word, code in zip(some, coded, strict=True):
-            known[word] = struct.pack(f"<{len(code.ids)}I", *code.ids)
-    for words in split:
-        yield b"".join(map(known.__getitem__, words))
+    *_, known = _tokenizer(path)
+    for at in range(0, len(texts), 64):
+        if len(known) > REMEMBERED:
+            known.clear()
+        split = [(text or "").encode().split() for text in texts[at : at + 64]]
+        found = [list(map(known.get, words)) for words in split]
+        fresh = {
+            word
+            for words, codes in zip(split, found, strict=True)
+            if None in codes
+            for word, code in zip(words, codes, strict=True)
+            if code is None
+        }
+        known.update(_encode_words(list(fresh), path))
+        for words, codes in zip(split, found, strict=True):
+            yield b"".join(map(known.__getitem__, words) if None in codes else codes)
+
+
+def _encode_words(words: list[bytes], path: str) -> dict[bytes, bytes]:
+    """Codes of words: letters and the marks after them are pieces of their own."""
+    *_, known = _tokenizer(path)
+    parts, letters, other = {}, {}, {}
+    for word in words:
+        text = word.decode()
+        stem = text.rstrip(MARKS)
+        if stem.isalpha():
+            stem_key, mark_key = stem.encode(), text[len(stem) :].encode()
+            parts[word] = stem_key, mark_key
+            letters[stem_key] = stem
+            other[mark_key] = text[len(stem) :]
+        else:
+            other[word] = text
+    codes = {b"": b""}
+    for found in (letters, other):
+        for key in found.keys() & known.keys():
+            codes[key] = known[key]
+            del found[key]
+    codes |= _encode_letters(letters, path)
+    codes |= _encode_each(other, path)
+    return codes | {word: codes[a] + codes[b] for word, (a, b) in parts.items()}
+
+
+def _encode_letters(texts: dict[bytes, str], path: str) -> dict[bytes, bytes]:
+    """Words of letters alone: each ends with an id that ends a piece, so many go as one text."""
+    tokenizer, ends, _ = _tokenizer(path)
+    codes, keys = {}, list(texts)
+    for at in range(0, len(keys), 500):
+        some = keys[at : at + 500]
+        joined = tokenizer.encode(" ".join([texts[k] for k in some]), add_special_tokens=False)
+        ids = np.array(joined.ids, "<u4")
+        stops = ((np.flatnonzero(ends[ids]) + 1) * 4).tolist()
+        if len(stops) != len(some):  # a letter that normalises to more than letters
+            codes |= _encode_each({k: texts[k] for k in some}, path)
+            continue
+        raw = ids.tobytes()
+        codes |= {
+            k: raw[start:stop] for k, start, stop in zip(some, [0, *stops], stops, strict=False)
+        }
+    return codes
+
+
+def _encode_each(texts: dict[bytes, str], path: str) -> dict[bytes, bytes]:
+    tokenizer, *_ = _tokenizer(path)
+    found = tokenizer.encode_batch(list(texts.values()), add_special_tokens=False)
+    return {k: np.array(c.ids, "<u4").tobytes() for k, c in zip(texts, found, strict=True)}
 
 
 def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
