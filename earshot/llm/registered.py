@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+from earshot.llm.digest import op5_digest
+from earshot.llm.langid import op4_language
+from earshot.llm.main_text import op3_main_text
 from earshot.llm.mixing import op9_mixing
 from earshot.llm.packing import op10_packing
 from earshot.llm.quality import SQL as QUALITY_SQL
 from earshot.llm.quality import op7_quality
 from earshot.llm.secrets import op6_secret_scan
+from earshot.llm.simhash import op1_simhash
 
 QUERIES = {
-    f.__name__: f for f in (op6_secret_scan, op7_quality, op9_mixing, op10_packing)
+    f.__name__: f
+    for f in (
+        op1_simhash,
+        op3_main_text,
+        op4_language,
+        op5_digest,
+        op6_secret_scan,
+        op7_quality,
+        op9_mixing,
+        op10_packing,
+    )
 }
 ORACLE_SQL = {"op7_quality": QUALITY_SQL}
