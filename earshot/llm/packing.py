@@ -29,7 +29,7 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 # Words whose ids a worker remembers; forgetting them only costs time.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_200_000
 # Marks that form pieces of their own after letters, whatever stands next to them.
 MARKS = ".,;:!?#*$%&|()\"-"
 # Pieces of one length are numbered in groups of about this many.
@@ -59,21 +59,27 @@ def encode(texts: list[str | None], path: str) -> Iterator[bytes]:
     for at in range(0, len(texts), 64):
         if len(known) > REMEMBERED:
             known.clear()
-        split = [(text or "").encode().split() for text in texts[at : at + 64]]
+        split = [_lower(text or "").split() for text in texts[at : at + 64]]
         found = [list(map(known.get, words)) for words in split]
-        fresh = {
-            word
-            for words, codes in zip(split, found, strict=True)
-            if None in codes
-            for word, code in zip(words, codes, strict=True)
-            if code is None
-        }
-        known.update(_encode_words(list(fresh), path))
-        for words, codes in zip(split, found, strict=True):
-            yield b"".join(map(known.__getitem__, words) if None in codes else codes)
+        holes = [
+            [i for i, code in enumerate(codes) if code is None] if None in codes else []
+            for codes in found
+        ]
+        fresh = {words[i] for words, gaps in zip(split, holes, strict=True) for i in gaps}
+        known.update(_encode_words(fresh, path))
+        for words, codes, gaps in zip(split, found, holes, strict=True):
+            for i in gaps:
+                codes[i] = known[words[i]]
+            yield b"".join(codes)
+
+
+def _lower(text: str) -> bytes:
+    """UTF-8 with A-Z in lower case, as the tokenizer has it anyway; not near its special tokens."""
+    data = text.encode()
+    return data if b"<|" in data else data.lower()
 
 
-def _encode_words(words: list[bytes], path: str) -> dict[bytes, bytes]:
+def _encode_words(words: set[bytes], path: str) -> dict[bytes, bytes]:
     """Codes of words: letters and the marks after them are pieces of their own."""
     *_, known = _tokenizer(path)
     parts, letters, other = {}, {}, {}
