@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from earshot.llm.digest import op5_digest
 from earshot.llm.langid import op4_language
+from earshot.llm.lm import op2_lm_score
 from earshot.llm.main_text import op3_main_text
 from earshot.llm.mixing import op9_mixing
 from earshot.llm.packing import op10_packing
 from earshot.llm.quality import SQL as QUALITY_SQL
 from earshot.llm.quality import op7_quality
+from earshot.llm.repeats import op8_repeats
 from earshot.llm.secrets import op6_secret_scan
 from earshot.llm.simhash import op1_simhash
 
@@ -16,11 +18,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash,
+        op2_lm_score,
         op3_main_text,
         op4_language,
         op5_digest,
         op6_secret_scan,
         op7_quality,
+        op8_repeats,
         op9_mixing,
         op10_packing,
     )
