@@ -233,10 +233,10 @@ def words_taken(found: Column) -> Column:
     )
 
 
-def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The registered query over all documents."""
+def shares(docs: DataFrame) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` for every row of ``doc_id, source, text``."""
     sizes = kept(
-        read_documents(spark, sf_dir).select(
+        docs.select(
             F.col("doc_id").alias("row"),
             F.col("doc_id").alias("key"),
             "source",
@@ -252,6 +252,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered query over all documents."""
+    return shares(read_documents(spark, sf_dir))
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents as the mix takes them, in the columns of ``docs``.
 

@@ -101,13 +101,14 @@ class Chunk:
             span = np.minimum(span[:-rest], span[rest:])
         return (span[: self.n] & LOW).astype(np.int64)
 
-    def names100(self) -> np.ndarray:
-        names64 = _twice(self.names32, 32)
-        return _twice(names64, LENGTH - 64)
+    def names100(self, at: np.ndarray) -> np.ndarray:
+        """Names of the windows at some positions."""
+        half = LENGTH - 64
+        first = _pair(self.names32[at], self.names32[at + 32])
+        return _pair(first, _pair(self.names32[at + half], self.names32[at + half + 32]))
 
     def names151(self, at: np.ndarray) -> np.ndarray:
-        names = self.names100()
-        return _pair(names[at], names[at + TILE - LENGTH])
+        return _pair(self.names100(at), self.names100(at + TILE - LENGTH))
 
     def owner(self, at: np.ndarray) -> np.ndarray:
         return self.owners[np.searchsorted(self.ends, at, side="right")]
@@ -175,10 +176,10 @@ def _marked(at: np.ndarray, n: int) -> np.ndarray:
 
 
 def _covered(at: np.ndarray, size: int, n: int) -> np.ndarray:
-    """Which of ``n`` positions lie within ``size`` from one of ``at``."""
+    """Which of ``n`` positions lie within ``size`` from one of the distinct ``at``."""
     steps = np.zeros(n + size + 1, np.int32)
-    np.add.at(steps, at, 1)
-    np.add.at(steps, at + size, -1)
+    steps[at] += 1
+    steps[at + size] -= 1
     return np.cumsum(steps)[:n] > 0
 
 
@@ -287,7 +288,7 @@ def stripped(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
     def windows(chunk: Chunk):
         _, at = rounds.settled(chunk)
-        return chunk.names100()[at], chunk.owner(at)
+        return chunk.names100(at), chunk.owner(at)
 
     _run_round(rows, rounds, "gram", grams, with_owners=False)
     _run_round(rows, rounds, "tile", tiles, with_owners=True)
@@ -297,7 +298,7 @@ def stripped(docs: DataFrame, folder: str | None = None) -> DataFrame:
         for ids, places, texts in arrays.texts_in_chunks(batches, CHUNK, "doc_id", "place"):
             chunk = Chunk(np.array(places), texts)
             inside, at = rounds.settled(chunk)
-            again = at[rounds.later("window", chunk, at, chunk.names100()[at])]
+            again = at[rounds.later("window", chunk, at, chunk.names100(at))]
             inside[again] = True
             gone = _covered(np.flatnonzero(inside), LENGTH, chunk.n)
             yield _result(ids, chunk, gone)
