@@ -33,7 +33,8 @@ def show(spark: SparkSession, job: str, params: JobParams) -> None:
         "load-sings": params.sing_table,
     }[job]
     rows = spark.read.parquet(params.table_path(table))
-    preview(rows, "rowkey", "segment").show(truncate=False)
+    keys = [c for c in ("rowkey", "qualifier") if c in rows.columns]
+    preview(rows, *keys).show(truncate=False)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -1,19 +1,14 @@
-"""Dated input names, as column expressions (``JobParams`` has the scalar form)."""
+"""Dated input names: the rule that jobs use."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from datetime import date, timedelta
 
-from earshot.functions.text import is_blank
 
+def yesterday_text(run_date: date) -> str:
+    return (run_date - timedelta(days=1)).isoformat()
 
-def yesterday_text(run_date: Column) -> Column:
-    return F.date_format(F.date_sub(run_date, 1), "yyyy-MM-dd")
 
-
-def dated_input_name(name: Column, run_date: Column) -> Column:
+def dated_input_name(name: str | None, run_date: date) -> str:
     """The given name, or yesterday's ``.dat`` when it is blank or missing."""
-    return F.when(
-        name.isNull() | is_blank(name), F.concat(yesterday_text(run_date), F.lit(".dat"))
-    ).otherwise(F.trim(name))
+    return (name or "").strip() or f"{yesterday_text(run_date)}.dat"

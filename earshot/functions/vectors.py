@@ -5,16 +5,23 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Generated code for this rank stays below the 8,000 bytes that HotSpot compiles.
+COMPILED_RANK = 24
+
 
 def dot(left: Column, right: Column, rank: int) -> Column:
     """Sum of products in double precision.
 
-    Spelt out per position so that it stays inside generated code; higher-order
-    functions are interpreted row by row.
+    Spelt out per position so that it stays inside generated code, up to the rank at which
+    that code grows too long for the JVM to compile; wider vectors go to numpy by batches.
     """
+    if rank > COMPILED_RANK:
+        return _wide_dot(left, right)
     return reduce(
         add,
         (
@@ -30,3 +37,15 @@ def norm(vector: Column) -> Column:
             vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")
         )
     )
+
+
+def _wide_dot(left: Column, right: Column) -> Column:
+    def products(left: pd.Series, right: pd.Series) -> pd.Series:
+        found = np.full(len(left), np.nan)
+        both = (left.notna() & right.notna()).to_numpy()
+        if both.any():
+            a, b = (np.stack(side[both].to_numpy()).astype(np.float64) for side in (left, right))
+            found[both] = np.einsum("ij,ij->i", a, b)
+        return pd.Series(found)
+
+    return F.pandas_udf(products, "double")(left, right)

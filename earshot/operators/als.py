@@ -8,56 +8,47 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.operators.grouped_als import fit_grouped
 from earshot.params import AlsParams
 from earshot.workspace import ensure_checkpoint_dir
 
 MIN_BLOCKS = 10
-# Every user block exchanges factors with every item block, so the number of
-# messages per half-iteration grows with the square of this.
-MAX_BLOCKS = 10_000
 
 
 def block_count(n_ratings: int, ratings_per_block: int) -> int:
-    """User and item blocks for a training set; blocks are ALS's unit of parallelism."""
-    return min(max(MIN_BLOCKS, math.ceil(n_ratings / ratings_per_block)), MAX_BLOCKS)
+    """Blocks for a training set; blocks are ALS's unit of parallelism.
+
+    Every user block exchanges factors with every item block, so ``ratings_per_block``
+    should grow with the memory of an executor.
+    """
+    return max(MIN_BLOCKS, math.ceil(n_ratings / ratings_per_block))
 
 
 def pin_layout(ratings: DataFrame, partitions: int) -> DataFrame:
     """The same rows in the same partitions and order, whatever the input layout.
 
     Keyed on the pair, not the user, so that one busy user spreads over all
-    partitions.  With it equal seeds give equal factors; without it they differ
-    in the last float digits.
+    partitions, and on the number of the copy, so that a repeated row does too.
     """
-    return ratings.repartition(partitions, "userId", "sourceId").sortWithinPartitions(
-        "userId", "sourceId", "rating"
+    copies = ratings.groupBy("userId", "sourceId", "rating").agg(F.count(F.lit(1)).alias("n"))
+    numbered = copies.select(
+        "userId", "sourceId", "rating", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")
+    )
+    return (
+        numbered.repartition(partitions, "userId", "sourceId", "rating", "copy")
+        .sortWithinPartitions("userId", "sourceId", "rating")
+        .drop("copy")
     )
-
-
-def largest_id(ratings: DataFrame) -> int:
-    """The most ratings any one user or item has."""
-    sides = [
-        ratings.groupBy(side).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
-        for side in ("userId", "sourceId")
-    ]
-    return sides[0].unionByName(sides[1]).agg(F.max("n")).first()[0]
 
 
 def fit(ratings: DataFrame, params: AlsParams, n_ratings: int) -> ALSModel:
     """Train on ``userId, sourceId, rating``.
 
     Repeated (user, item) pairs stay separate observations.  ``n_ratings`` sizes
-    the blocks; callers have it from the split counts.
-
-    MLlib holds every rating of one id in one block.  Should a single id have more
-    than ``max_ratings_per_id``, the grouped form takes over.
+    the blocks that ``params`` leave open; callers have it from the split counts.  Blocks
+    and layout follow from the ratings alone, so equal seeds give equal factors.
     """
     if n_ratings == 0:
         raise ValueError("no training rows")
-    if n_ratings > params.max_ratings_per_id:
-        if largest_id(ratings) > params.max_ratings_per_id:
-            return fit_grouped(ratings, params)
     ensure_checkpoint_dir(ratings.sparkSession)
     blocks = block_count(n_ratings, params.ratings_per_block)
     if params.pin_layout:
@@ -68,8 +59,8 @@ def fit(ratings: DataFrame, params: AlsParams, n_ratings: int) -> ALSModel:
         regParam=params.reg,
         nonnegative=params.nonnegative,
         seed=params.seed,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=params.user_blocks or blocks,
+        numItemBlocks=params.item_blocks or blocks,
         userCol="userId",
         itemCol="sourceId",
         ratingCol="rating",

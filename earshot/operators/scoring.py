@@ -23,13 +23,14 @@ def score_pairs(
     items = item_factors.select(
         F.col("id").alias("sourceId"), F.col("features").alias("item_features")
     )
-    score = dot(F.col("user_features"), F.col("item_features"), rank).cast("float")
-    known = F.col("user_features").isNotNull() & F.col("item_features").isNotNull()
+    left, right = F.col("user_features"), F.col("item_features")
+    known = left.isNotNull() & right.isNotNull()
+    score = dot(left, right, rank).cast("float")
+    prediction = F.when(known, score).otherwise(F.lit(float("nan")).cast("float"))
+    # A plain projection would be repeated below every filter on its outcome; a generator
+    # is evaluated once per pair.
     return (
         pairs.join(users, "userId", "left")
         .join(items, "sourceId", "left")
-        .select(
-            *pairs.columns,
-            F.when(known, score).otherwise(F.lit(float("nan")).cast("float")).alias("prediction"),
-        )
+        .select(*pairs.columns, F.inline(F.array(F.struct(prediction.alias("prediction")))))
     )

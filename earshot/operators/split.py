@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from earshot.workspace import ensure_checkpoint_dir
+
 SPLITS = ("train", "validation", "test")
 WEIGHTS = (0.6, 0.2, 0.2)
 SEED = 12
@@ -54,8 +56,14 @@ def hash_split(
 def random_split(
     ratings: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = SEED
 ) -> dict[str, DataFrame]:
-    """Spark's own random split.  Its members change when the partitioning does."""
-    return dict(zip(SPLITS, ratings.randomSplit(list(weights), seed), strict=True))
+    """Spark's own random split.  Its members change when the partitioning does.
+
+    The input is stored first: recomputed for each part, it could come in another layout,
+    and a row fall into two parts or none.
+    """
+    ensure_checkpoint_dir(ratings.sparkSession)
+    parts = ratings.checkpoint().randomSplit(list(weights), seed)
+    return dict(zip(SPLITS, parts, strict=True))
 
 
 def split_counts(split: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, Window
@@ -91,20 +91,42 @@ def top_k_items(
         return first.select(F.col("id").alias("userId"), "recommendations")
 
     ensure_checkpoint_dir(spark)
-    first = first.withColumn("shards", shards.still_possible(k)).checkpoint()
-    done = first.where(F.size("shards") == 0).select(F.col("id").alias("userId"), "recommendations")
-    pending = first.select(
-        "id", "features", F.col("kth_key").alias("floor_key"), F.explode("shards").alias("shard")
+    return _next_rounds(first, shards, blocks, group_users, k)
+
+
+def _next_rounds(
+    state: DataFrame, shards: _Shards, blocks: DataFrame, group_users: int, k: int
+) -> DataFrame:
+    """Further shards by batches of 1, 2, 4, ...; a user leaves when none left can matter.
+
+    Norms fall from shard to shard, so a user whom the next shard cannot serve is done.
+    Each round raises the scores to beat, and at most a batch of rows waits per user.
+    """
+    done, n_shards = [], len(shards.top_norms)
+    low, batch = 1, 1
+    while low < n_shards:
+        high = min(low + batch, n_shards)
+        state = state.withColumn("shards", shards.still_possible(k, low, high)).checkpoint()
+        left = state.where(F.size("shards") > 0)
+        done.append(state.where(F.size("shards") == 0))
+        pending = left.select(
+            "id", "features", F.col("kth_key").alias("floor_key"), F.explode("shards").alias("shard")
+        )
+        # One row per shard of the batch.
+        waiting = {r["shard"]: r["count"] for r in pending.groupBy("shard").count().collect()}
+        if not waiting:
+            break
+        found = _meet(pending, blocks, waiting, group_users, k, carry=False)
+        best = _merge(left.select("id", "recommendations").unionByName(found), k)
+        carried = left.select(F.col("id").alias("userId"), "features", "kth_key")
+        state = best.join(carried, "userId").withColumnRenamed("userId", "id")
+        low, batch = high, 2 * batch
+    else:
+        done.append(state)
+    return reduce(
+        DataFrame.unionByName,
+        [part.select(F.col("id").alias("userId"), "recommendations") for part in done],
     )
-    # One row per shard.
-    waiting = {
-        row["shard"]: row["count"] for row in pending.groupBy("shard").count().collect()
-    }
-    if not waiting:
-        return done
-    open_ = first.where(F.size("shards") > 0).select("id", "recommendations")
-    rest = _meet(pending, blocks, waiting, group_users, k, carry=False)
-    return done.unionByName(_merge(open_.unionByName(rest), k))
 
 
 def flatten(recommendations: DataFrame) -> DataFrame:
@@ -153,6 +175,9 @@ class _Shards:
             first_shard.append(len(top_norms))
             pieces.append(n_pieces)
             top_norms += [row["top"] if row else 0.0] * n_pieces
+        # A bin without items must not look like the end to those who wait for the next.
+        for shard in range(len(top_norms) - 2, -1, -1):
+            top_norms[shard] = max(top_norms[shard], top_norms[shard + 1])
         # A user whose factors are all zero ties on every item and gets the k
         # lowest ids; with those in the first shard such a user is done there.
         lowest = items.select("id").orderBy("id").limit(k).agg(F.max("id")).first()[0]
@@ -176,13 +201,13 @@ class _Shards:
             .alias("shard"),
         )
 
-    def still_possible(self, k: int) -> Column:
-        """Shards past the first that could hold one of the user's k best items."""
+    def still_possible(self, k: int, low: int, high: int) -> Column:
+        """Shards from ``low`` up to ``high`` that could hold one of the user's k best items."""
         bound = norm(F.col("features")) * SLACK
         kth = F.get(F.col("recommendations.rating"), F.lit(k - 1)).cast("double")
         tops = F.array(*[F.lit(float(top)) for top in self.top_norms])
         return F.filter(
-            F.sequence(F.lit(1), F.lit(len(self.top_norms) - 1)),
+            F.sequence(F.lit(low), F.lit(high - 1)),
             lambda shard: kth.isNull()
             | ((bound > 0) & (bound * F.element_at(tops, shard + 1) >= kth)),
         )

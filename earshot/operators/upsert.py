@@ -14,9 +14,12 @@ def last_write(
     """One row per key with the value written last according to ``order``.
 
     Text lines carry no order that survives a distributed scan, so without an
-    ``order`` column the largest value wins: the same answer on every run.  An
-    ``order`` column must not repeat within a key.  Both forms combine map-side, so
+    ``order`` column the largest value wins: the same answer on every run.  So it does
+    among rows whose ``order`` is equal.  Both forms combine map-side, so
     a key that fills a third of the input shuffles one row per task.
     """
-    last = F.max(value) if order is None else F.max_by(value, order)
+    if order is None:
+        last = F.max(value)
+    else:
+        last = F.max(F.struct(F.col(order).alias("order"), F.col(value).alias("value")))["value"]
     return rows.groupBy(*keys).agg(last.alias(value))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields, replace
-from datetime import date, timedelta
+from datetime import date
 from typing import Any
 
+from earshot.functions.dates import dated_input_name, yesterday_text
+
 
 @dataclass(frozen=True)
 class AlsParams:
@@ -23,12 +26,13 @@ class AlsParams:
     # MLlib's default of ten blocks means ten tasks; larger inputs get one block
     # per this many ratings (see operators.als.block_count).
     ratings_per_block: int = 4_000_000
-    # Past this many ratings of one id, fitting goes through grouped sums instead.
-    max_ratings_per_id: int = 50_000_000
-    pin_layout: bool = False
+    user_blocks: int | None = None
+    item_blocks: int | None = None
+    pin_layout: bool = True
 
 
-# The property names job files use today, and the field each sets.
+# The property names job files use today, and the field each sets; the
+# folders and tables below, where they lie.
 PROPERTY_FIELDS = {
     "appName": "app_name",
     "hdfsUrl": "storage_root",
@@ -76,7 +80,6 @@ class JobParams:
     k: int = 5
     weights: tuple[float, float, float] = (0.6, 0.2, 0.2)
     on_bad_line: str = "quarantine"
-    max_cells: int = 100_000
     als: AlsParams = field(default_factory=AlsParams)
 
     def __post_init__(self) -> None:
@@ -84,8 +87,6 @@ class JobParams:
             raise ValueError("storage_root must be set")
         if self.k < 1:
             raise ValueError(f"k must be at least 1, got {self.k}")
-        if self.max_cells < 1:
-            raise ValueError(f"max_cells must be at least 1, got {self.max_cells}")
         if self.on_bad_line not in ("quarantine", "fail"):
             raise ValueError(f"on_bad_line: 'quarantine' or 'fail', not {self.on_bad_line!r}")
         tables = (self.recommend_table, self.listen_table, self.sing_table)
@@ -99,13 +100,19 @@ class JobParams:
         """Parameters from property names; an unknown name or bad value raises."""
         known = {f.name for f in fields(cls)}
         values: dict[str, Any] = {}
+        als: dict[str, Any] = {}
         for name, text in properties.items():
             if name in DEPLOYMENT_PROPERTIES:
                 continue
             target = PROPERTY_FIELDS.get(name, name)
-            if target not in known or target in ("run_date", "weights", "als"):
+            group, dot, setting = target.partition(".")
+            if group == "als" and dot and setting in ALS_READERS:
+                als[setting] = ALS_READERS[setting](text)
+            elif target not in known or target in ("run_date", "als"):
                 raise ValueError(f"unknown job property {name!r}")
-            values[target] = int(text) if target in ("k", "max_cells") else text
+            else:
+                values[target] = READERS.get(target, str)(text)
+        values["als"] = AlsParams(**als)
         values.update(overrides)
         return cls(run_date=run_date, **values)
 
@@ -119,10 +126,10 @@ class JobParams:
 
     @property
     def yesterday(self) -> str:
-        return (self.run_date - timedelta(days=1)).isoformat()
+        return yesterday_text(self.run_date)
 
     def input_name(self, name: str) -> str:
-        return name.strip() or f"{self.yesterday}.dat"
+        return dated_input_name(name, self.run_date)
 
     @property
     def ratings_path(self) -> str:
@@ -144,18 +151,77 @@ class JobParams:
         return self._under_root("tables", table)
 
     def parsed_path(self, record_name: str) -> str:
-        return self._under_root("parsed", record_name)
+        """Parsed rows lie under the name of their input, so that days stay apart."""
+        name = {
+            "rating": self.ratings_name,
+            "listen": self.listen_name,
+            "sing": self.sing_name,
+        }[record_name]
+        return self._under_root("parsed", record_name, self.input_name(name))
+
+    @property
+    def checkpoint_path(self) -> str:
+        return self._under_root("checkpoints")
+
+
+def _flag(text: str) -> bool:
+    if text.lower() not in ("true", "false"):
+        raise ValueError(f"true or false, not {text!r}")
+    return text.lower() == "true"
+
+
+def _weights(text: str) -> tuple[float, float, float]:
+    first, second, third = (float(part) for part in text.split(","))
+    return first, second, third
+
+
+# How the settings that are not text are read; ``als.`` stands before those of the fit.
+READERS = {"k": int, "weights": _weights}
+ALS_READERS = {
+    "rank": int,
+    "max_iter": int,
+    "reg": float,
+    "nonnegative": _flag,
+    "seed": int,
+    "ratings_per_block": int,
+    "user_blocks": int,
+    "item_blocks": int,
+    "pin_layout": _flag,
+}
+
+_ESCAPED = re.compile(r"\\(u[0-9a-fA-F]{4}|.)", re.S)
+_SEPARATOR = re.compile(r"(?:[^\\=: \t\f]|\\.)*")
 
 
 def read_properties(text: str) -> dict[str, str]:
-    """``name=value`` lines; blank lines and ``#`` / ``!`` comments are skipped."""
+    """Java property text: ``=``, ``:`` or a space after the name, backslash escapes.
+
+    Blank lines and ``#`` / ``!`` comments are skipped; an odd number of backslashes at the
+    end of a line joins it to the next.  A name without a separator raises, since that is
+    a mistake in a job file.
+    """
     found: dict[str, str] = {}
-    for line in text.splitlines():
-        line = line.strip()
+    held = ""
+    for raw in text.splitlines():
+        line = held + raw.lstrip(" \t\f")
+        held = ""
         if not line or line[0] in "#!":
             continue
-        name, sep, value = line.partition("=")
-        if not sep:
+        if (len(line) - len(line.rstrip("\\"))) % 2:
+            held = line[:-1]
+            continue
+        name = _SEPARATOR.match(line)[0]
+        rest = line[len(name) :].lstrip(" \t\f")
+        if not rest and len(name) == len(line):
             raise ValueError(f"not a name=value line: {line!r}")
-        found[name.strip()] = value.strip()
+        if rest[:1] in ("=", ":"):
+            rest = rest[1:].lstrip(" \t\f")
+        found[_unescape(name)] = _unescape(rest).strip()
     return found
+
+
+def _unescape(text: str) -> str:
+    plain = {"t": "\t", "n": "\n", "r": "\r", "f": "\f"}
+    return _ESCAPED.sub(
+        lambda m: chr(int(m[1][1:], 16)) if len(m[1]) > 1 else plain.get(m[1], m[1]), text
+    )

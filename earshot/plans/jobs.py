@@ -20,9 +20,10 @@ from earshot.operators.topk import recommend_for_all_users
 from earshot.params import JobParams
 from earshot.schemas import LISTEN, RATING, SING, Record
 from earshot.sinks.tables import overwrite_table
-from earshot.sinks.wide_rows import recommendation_rows, wide_rows
+from earshot.sinks.wide_rows import by_row_key, count_cells, recommendation_rows
 from earshot.sources.parse import classify, fail_on_bad
 from earshot.sources.text_files import scan_lines
+from earshot.workspace import ensure_checkpoint_dir
 
 BAD = "bad"
 GOOD = "good"
@@ -101,6 +102,7 @@ def _part_counts(staged: DataFrame) -> dict[str, int]:
 
 def train(spark: SparkSession, params: JobParams) -> TrainReport:
     """Ratings text -> split -> model folder, with the error on the test split."""
+    ensure_checkpoint_dir(spark, params.checkpoint_path)
     part = split_name("userId", "sourceId", params.weights)
     path = stage_parsed(spark, params.ratings_path, RATING, params, part)
     counts = _part_counts(read_parsed(spark, path, RATING))
@@ -127,6 +129,7 @@ def score_part(spark: SparkSession, params: JobParams, part: str = "test") -> Da
 
 def recommend(spark: SparkSession, params: JobParams) -> str:
     """Saved model -> top-k for every user -> wide rows; returns the table's path."""
+    ensure_checkpoint_dir(spark, params.checkpoint_path)
     model = als.load(params.model_path)
     path = params.table_path(params.recommend_table)
     overwrite_table(recommendation_rows(recommend_for_all_users(model, params.k)), path)
@@ -144,12 +147,11 @@ def load_sings(spark: SparkSession, params: JobParams) -> LoadReport:
 def _load_counts(
     spark: SparkSession, params: JobParams, record: Record, folder: str, table: str
 ) -> LoadReport:
-    """Count text -> one wide row per user, replacing the target table."""
+    """Count text -> cells in row key order, replacing the target table."""
     staged = stage_parsed(spark, folder, record, params, F.lit(GOOD))
     counts = _part_counts(read_parsed(spark, staged, record))
     good = read_part(spark, params, record, GOOD)
     path = params.table_path(table)
-    overwrite_table(
-        wide_rows(good, record.user, record.item, record.value, max_cells=params.max_cells), path
-    )
+    cells = count_cells(good, record.user, record.item, record.value, record.family)
+    overwrite_table(by_row_key(cells), path)
     return LoadReport(path, counts.get(GOOD, 0), counts.get(BAD, 0))

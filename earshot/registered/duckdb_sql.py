@@ -120,12 +120,6 @@ _COUNT_CLASSES = _classified(STRICT_INT, "INT")
 _RATING_CLASSES = _classified(STRICT_FLOAT, "FLOAT", "OR isinf(c)")
 
 
-def _wide(item: str) -> str:
-    return f"""SELECT 'userId:' || "userId" AS rowkey, 0 AS segment,
-       string_agg("{item}" || '=' || "count", ',' ORDER BY "{item}") AS cells
-FROM counts GROUP BY "userId" """
-
-
 def _cells(item: str, family: str) -> str:
     return f"""SELECT 'userId:' || "userId" AS rowkey, '{family}' AS family,
        "{item}"::VARCHAR AS qualifier, "count"::VARCHAR AS value FROM counts"""
@@ -186,6 +180,14 @@ test AS (
      AND "sourceId" IN (SELECT "sourceId" FROM split WHERE split = 'train') AS known
   FROM split WHERE split = 'test')
 SELECT count(*) AS n, count(*) FILTER (NOT known) AS n_cold, count(*) FILTER (known) AS n_eval
+FROM test""",
+    "als_metrics": f"""WITH {_RATINGS}, {_SPLIT},
+test AS (
+  SELECT "userId" IN (SELECT "userId" FROM split WHERE split = 'train')
+     AND "sourceId" IN (SELECT "sourceId" FROM split WHERE split = 'train') AS known
+  FROM split WHERE split = 'test')
+SELECT count(*) AS n, count(*) FILTER (NOT known) AS n_cold, count(*) FILTER (known) AS n_eval,
+       0::BIGINT AS n_different
 FROM test""",
     "als_invariants": f"""WITH {_RATINGS}, {_SPLIT},
 train AS (SELECT * FROM split WHERE split = 'train')
@@ -193,7 +195,22 @@ SELECT 'user' AS side, count(DISTINCT "userId") AS n_ids, 0::BIGINT AS n_wrong_r
        0::BIGINT AS n_negative FROM train
 UNION ALL
 SELECT 'item', count(DISTINCT "sourceId"), 0, 0 FROM train""",
-    "als_half_step": f"""WITH {_RATINGS}, {_SPLIT}
+    "random_split_counts": f"""WITH {_RATINGS}
+SELECT 3::BIGINT AS n_parts, count(*) AS n_rows FROM ratings""",
+    "als_predictions": f"""WITH {_RATINGS}, {_SPLIT},
+train AS (SELECT * FROM split WHERE split = 'train')
+SELECT "userId", "sourceId",
+       "userId" NOT IN (SELECT "userId" FROM train)
+         OR "sourceId" NOT IN (SELECT "sourceId" FROM train) AS cold
+FROM split WHERE split = 'test'""",
+    "als_predict_agrees": f"""WITH {_RATINGS}, {_SPLIT}
+SELECT count(*) AS n_pairs, 0::BIGINT AS n_different FROM split WHERE split = 'test'""",
+    "recommend_all_users": f"""WITH {_RATINGS}, {_SPLIT},
+train AS (SELECT * FROM split WHERE split = 'train')
+SELECT DISTINCT "userId",
+       least({K}, (SELECT count(DISTINCT "sourceId") FROM train))::INT AS n_items
+FROM train""",
+    "als_optimality": f"""WITH {_RATINGS}, {_SPLIT}
 SELECT count(DISTINCT "userId") AS n_users, 0::BIGINT AS n_different
 FROM split WHERE split = 'train'""",
     "model_save_load": f"""WITH {_RATINGS}, {_SPLIT}
@@ -216,18 +233,27 @@ SELECT (count(DISTINCT "userId") * least({K}, count(DISTINCT "sourceId")))::BIGI
 FROM train""",
     "upsert_last_write": f"""WITH {_EVENTS}
 SELECT "userId", item, max_by(value, event_id) AS value FROM ev GROUP BY "userId", item""",
-    "listen_wide_rows": f"WITH {_LISTENS} {_wide('ocId')}",
-    "sing_wide_rows": f"WITH {_SINGS} {_wide('sourceId')}",
+    "listen_wide_rows": f"WITH {_LISTENS} {_cells('ocId', 'listenCountInfo')}",
+    "sing_wide_rows": f"WITH {_SINGS} {_cells('sourceId', 'singCountInfo')}",
     "listen_cells": f"WITH {_LISTENS} {_cells('ocId', 'listenCountInfo')}",
     "sing_cells": f"WITH {_SINGS} {_cells('sourceId', 'singCountInfo')}",
+    "upsert_ties": f"""WITH {_EVENTS},
+last AS (SELECT "userId", item, max(ts::DATE) AS day FROM ev GROUP BY "userId", item)
+SELECT ev."userId", ev.item, max(value) AS value
+FROM ev JOIN last ON ev."userId" = last."userId" AND ev.item = last.item AND ts::DATE = day
+GROUP BY ALL""",
     "upsert_wide_rows": f"""WITH {_EVENTS}
 SELECT 'userId:' || "userId" AS rowkey, 'lastEvent' AS family, item::VARCHAR AS qualifier,
        max(event_id)::VARCHAR AS value
+FROM ev GROUP BY "userId", item""",
+    "upsert_cells": f"""WITH {_EVENTS}
+SELECT 'userId:' || "userId" AS rowkey, 'lastEvent' AS family, item::VARCHAR AS qualifier,
+       max(event_id)::VARCHAR AS value
 FROM ev GROUP BY "userId", item""",
     "recommend_cells": f"""WITH {_TOP_K}
 SELECT 'userId:' || "userId" AS rowkey, 'recommends' AS family,
        "sourceId"::VARCHAR AS qualifier, round(rating::DOUBLE, 5) AS value FROM topk""",
-    "overwrite_reload": f"WITH {_SINGS} {_wide('sourceId')}",
+    "overwrite_reload": f"WITH {_SINGS} {_cells('sourceId', 'counts')}",
     "dated_overwrite": f"""WITH {_EVENTS},
 daily AS (SELECT ts::DATE AS dt, "userId", count(*) AS n FROM ev GROUP BY ALL)
 SELECT dt::VARCHAR AS dt, "userId",
@@ -245,9 +271,10 @@ SELECT split, count(*) AS n,
 FROM split GROUP BY split""",
     "job_recommend": f"""WITH {_RATINGS}, {_SPLIT},
 train AS (SELECT * FROM split WHERE split = 'train')
-SELECT DISTINCT 'userId:' || "userId" AS rowkey, 0 AS segment,
-       least({K}, (SELECT count(DISTINCT "sourceId") FROM train))::INT AS n_cells
+SELECT DISTINCT 'userId:' || "userId" AS rowkey,
+       least({K}, (SELECT count(DISTINCT "sourceId") FROM train))::BIGINT AS n_cells,
+       0::BIGINT AS n_different
 FROM train""",
-    "job_load_listens": f"WITH {_LISTENS} {_wide('ocId')}",
-    "job_load_sings": f"WITH {_SINGS} {_wide('sourceId')}",
+    "job_load_listens": f"WITH {_LISTENS} {_cells('ocId', 'listenCountInfo')}",
+    "job_load_sings": f"WITH {_SINGS} {_cells('sourceId', 'singCountInfo')}",
 }

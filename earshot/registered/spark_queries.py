@@ -6,12 +6,15 @@ import math
 from collections.abc import Callable
 from datetime import date
 
+import pandas as pd
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.functions.dates import dated_input_name
-from earshot.operators import als, grouped_als
+from earshot.functions.vectors import dot
+from earshot.operators import als
 from earshot.operators.evaluate import drop_cold, metrics, rmse
 from earshot.operators.scoring import score_pairs
 from earshot.operators.split import hash_split, random_split, split_counts
@@ -22,7 +25,12 @@ from earshot.plans import jobs
 from earshot.registered import standins as given
 from earshot.schemas import LISTEN, RATING, RECOMMEND_FAMILY, SING
 from earshot.sinks.tables import overwrite_dates, overwrite_table, preview
-from earshot.sinks.wide_rows import cells, recommendation_rows, wide_rows
+from earshot.sinks.wide_rows import (
+    by_row_key,
+    count_cells,
+    recommendation_cells,
+    recommendation_rows,
+)
 from earshot.sources.parse import parse, quarantine
 from earshot.workspace import scratch_root
 
@@ -79,10 +87,16 @@ def dated_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(F.col("o_orderstatus") == "P", "  ").when(
         F.col("o_orderstatus") == "F", F.concat(F.lit(" "), "o_orderpriority", F.lit(".dat "))
     )
+
+    def rule(names: pd.Series, dates: pd.Series) -> pd.Series:
+        return pd.Series([dated_input_name(n, d) for n, d in zip(names, dates, strict=True)])
+
+    dated = F.pandas_udf(rule, "string")
     return (
-        orders.select(dated_input_name(name, F.col("o_orderdate").cast("date")).alias("input_name"))
-        .groupBy("input_name")
+        orders.groupBy(name.alias("name"), F.col("o_orderdate").cast("date").alias("run_date"))
         .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(dated("name", "run_date").alias("input_name"))
+        .agg(F.sum("n").alias("n"))
     )
 
 
@@ -98,9 +112,11 @@ def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What does not depend on the draw: three parts with rows, and all rows in them."""
     parts = random_split(given.ratings(spark, sf_dir))
     named = [part.select(F.lit(name).alias("split")) for name, part in parts.items()]
-    return split_counts(named[0].unionByName(named[1]).unionByName(named[2]))
+    counts = split_counts(named[0].unionByName(named[1]).unionByName(named[2]))
+    return counts.agg(F.count(F.lit(1)).alias("n_parts"), F.sum("n").alias("n_rows"))
 
 
 def random_split_covers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,17 +213,48 @@ def _saved_model(spark: SparkSession, sf_dir: str) -> ALSModel:
 
 
 def als_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    test = _split_ratings(spark, sf_dir).where(F.col("split") == "test").drop("split")
-    return als.predict(_saved_model(spark, sf_dir), test)
+    """The pairs that the model scores and those that are cold to it."""
+    return _als_predictions(spark, sf_dir).select(
+        "userId", "sourceId", F.isnan("prediction").alias("cold")
+    )
+
+
+def _test_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split_ratings(spark, sf_dir).where(F.col("split") == "test").drop("split")
+
+
+def _als_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return als.predict(_saved_model(spark, sf_dir), _test_ratings(spark, sf_dir))
+
+
+def als_predict_agrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MLlib's scores against the pair-by-pair ones of the same factors."""
+    model = _saved_model(spark, sf_dir)
+    theirs = _als_predictions(spark, sf_dir).withColumnRenamed("prediction", "theirs")
+    both = score_pairs(theirs, model.userFactors, model.itemFactors, AlsParams().rank)
+    ours, other = F.col("prediction"), F.col("theirs")
+    same = F.when(F.isnan(ours) | F.isnan(other), F.isnan(ours) & F.isnan(other)).otherwise(
+        F.abs(ours - other) <= 1e-5 * (1 + F.abs(other))
+    )
+    return both.agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.count_if(~same).alias("n_different")
+    )
 
 
 def als_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics(als_predictions(spark, sf_dir))
+    """Our error against MLlib's evaluator on the usable test pairs."""
+    scored = _als_predictions(spark, sf_dir).checkpoint()
+    usable = drop_cold(scored)
+    theirs = RegressionEvaluator(metricName="rmse", labelCol="rating").evaluate(usable)
+    gap = F.abs(F.col("rmse") - F.lit(theirs))
+    return metrics(scored).select(
+        "n", "n_cold", "n_eval", (~(gap <= 1e-9 * F.lit(theirs))).cast("bigint").alias("n_different")
+    )
 
 
 def als_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many test pairs the model knows both sides of."""
-    return als_metrics(spark, sf_dir).select("n", "n_cold", "n_eval")
+    return metrics(_als_predictions(spark, sf_dir)).select("n", "n_cold", "n_eval")
 
 
 def als_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,21 +277,34 @@ def als_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def als_half_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User factors solved by grouped sums against the ones MLlib ended on."""
-    model = _saved_model(spark, sf_dir)
+def als_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User factors against what the last half step must reach, given the item factors.
+
+    Per user and position the slope of the squared error and its ridge: nowhere falling,
+    and level where the factor is above zero, as far as the floats of the fit allow.
+    """
+    model, params = _saved_model(spark, sf_dir), AlsParams()
     train = _split_ratings(spark, sf_dir).where(F.col("split") == "train").drop("split")
-    solved = grouped_als.half_step(
-        grouped_als.prepare(train), model.itemFactors, "sourceId", "userId", AlsParams()
+    users = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("x"))
+    items = model.itemFactors.select(F.col("id").alias("sourceId"), F.col("features").alias("f"))
+    pairs = train.join(users, "userId").join(items, "sourceId")
+
+    def at(vector: str, i: int) -> Column:
+        return F.get(vector, F.lit(i)).cast("double")
+
+    error = dot(F.col("x"), F.col("f"), params.rank) - F.col("rating").cast("double")
+    sums = pairs.withColumn("error", error).groupBy("userId", "x").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.col("error") * at("f", i)).alias(f"slope{i}") for i in range(params.rank)],
+        *[F.sum(F.abs("rating") * F.abs(at("f", i))).alias(f"size{i}") for i in range(params.rank)],
     )
-    both = solved.join(model.userFactors.withColumnRenamed("features", "mllib"), "id", "full")
-    close = F.forall(
-        F.zip_with("features", "mllib", lambda x, y: F.abs(x - y) <= 1e-3 * (1 + F.abs(y))),
-        lambda ok: ok,
-    )
-    return both.agg(
-        F.count(F.lit(1)).alias("n_users"),
-        F.count_if(~F.coalesce(close, F.lit(False))).alias("n_different"),
+    wrong = F.lit(False)
+    for i in range(params.rank):
+        slope = F.col(f"slope{i}") + params.reg * F.col("n") * at("x", i)
+        slack = 1e-3 * (1 + F.col(f"size{i}"))
+        wrong = wrong | (slope < -slack) | ((at("x", i) > 1e-4) & (slope > slack))
+    return sums.agg(
+        F.count(F.lit(1)).alias("n_users"), F.count_if(wrong).alias("n_different")
     )
 
 
@@ -305,12 +365,19 @@ def recommended_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recommend_all_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trained user and how many items are recommended."""
+    return recommendations(spark, sf_dir).select(
+        "userId", F.size("recommendations").alias("n_items")
+    )
+
+
+def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend_for_all_users(_saved_model(spark, sf_dir), K)
 
 
 def recommend_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k items for every trained user, none twice, scores falling."""
-    found = recommend_all_users(spark, sf_dir)
+    found = recommendations(spark, sf_dir)
     scores = F.col("recommendations.rating")
     return found.agg(
         F.count(F.lit(1)).alias("n_users"),
@@ -342,39 +409,50 @@ def upsert_last_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_write(given.events(spark, sf_dir), ["userId", "item"], "value", "event_id")
 
 
-def listen_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = parse(given.as_lines(given.listens(spark, sf_dir)), LISTEN)
-    return _wide_text(wide_rows(rows, "userId", "ocId", "count"))
-
-
-def sing_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = parse(given.as_lines(given.sings(spark, sf_dir)), SING)
-    return _wide_text(wide_rows(rows, "userId", "sourceId", "count"))
+def upsert_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last day's value per (user, item); of several on that day the largest."""
+    dated = given.events(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    return last_write(dated, ["userId", "item"], "value", "day")
 
 
 def listen_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = parse(given.as_lines(given.listens(spark, sf_dir)), LISTEN)
-    return cells(wide_rows(rows, "userId", "ocId", "count"), LISTEN.family)
+    return count_cells(rows, "userId", "ocId", "count", LISTEN.family)
 
 
 def sing_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = parse(given.as_lines(given.sings(spark, sf_dir)), SING)
-    return cells(wide_rows(rows, "userId", "sourceId", "count"), SING.family)
+    return count_cells(rows, "userId", "sourceId", "count", SING.family)
 
 
-def upsert_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated puts to one cell: the last event wins.
+def _stored(spark: SparkSession, cells: DataFrame) -> DataFrame:
+    path = scratch_root(spark, "cells")
+    overwrite_table(by_row_key(cells), path)
+    return spark.read.parquet(path)
+
+
+def listen_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of every user's wide row, stored in row key order and read back."""
+    return _stored(spark, listen_cells(spark, sf_dir))
+
+
+def sing_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sing_cells(spark, sf_dir))
 
-    Users above 50 events are cut into segments, and the cells come out the same.
-    """
-    wide = wide_rows(
-        given.events(spark, sf_dir), "userId", "item", "event_id", "event_id", max_cells=50
-    )
-    return cells(wide, "lastEvent")
+
+def upsert_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated puts to one cell: the last event wins."""
+    events = given.events(spark, sf_dir)
+    return count_cells(events, "userId", "item", "event_id", "lastEvent", "event_id")
+
+
+def upsert_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, upsert_cells(spark, sf_dir))
 
 
 def recommend_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cells(recommendation_rows(_factor_top_k(spark, sf_dir)), RECOMMEND_FAMILY)
+    wide = recommendation_rows(_factor_top_k(spark, sf_dir))
+    rows = recommendation_cells(wide, RECOMMEND_FAMILY)
     number = F.col("value").cast("float").cast("double")
     return rows.select("rowkey", "family", "qualifier", F.round(number, 5).alias("value"))
 
@@ -384,8 +462,9 @@ def overwrite_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_root(spark, "table")
     for load in (given.listens, given.sings):
         rows = load(spark, sf_dir).toDF("userId", "item", "count")
-        overwrite_table(wide_rows(rows, "userId", "item", "count"), path)
-    return _wide_text(spark.read.parquet(path))
+        cells = count_cells(rows, "userId", "item", "count", "counts")
+        overwrite_table(by_row_key(cells), path)
+    return spark.read.parquet(path)
 
 
 def dated_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,22 +518,43 @@ def job_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, then recommend; returns the recommendation table's shape per user."""
+    """Train, then recommend; per user the cells stored and how many of them are not the model's."""
     params, _ = _train_on(spark, sf_dir)
-    wide = spark.read.parquet(jobs.recommend(spark, params))
-    return wide.select("rowkey", "segment", F.size("cells").alias("n_cells"))
+    stored = recommendation_cells(
+        spark.read.parquet(jobs.recommend(spark, params)), RECOMMEND_FAMILY
+    )
+    model = als.load(params.model_path)
+    # The job takes these items in one shard; three shards go through further rounds.
+    third = math.ceil(model.itemFactors.count() / 3)
+    best = flatten(
+        top_k_items(model.userFactors, model.itemFactors, params.k, shard_items=third)
+    ).withColumn("rowkey", F.concat(F.lit("userId:"), "userId"))
+    lowest = best.groupBy("rowkey").agg(F.min("rating").alias("lowest"))
+    # Items that tie for the last place may differ; their scores may not.
+    scores = best.withColumn("qualifier", F.col("sourceId").cast("string"))
+    value = F.col("value").cast("float")
+    close = F.abs(value - F.coalesce("rating", "lowest")) <= 1e-4 * (1 + F.abs(value))
+    return (
+        stored.join(lowest, "rowkey", "left")
+        .join(scores.select("rowkey", "qualifier", "rating"), ["rowkey", "qualifier"], "left")
+        .groupBy("rowkey")
+        .agg(
+            F.count(F.lit(1)).alias("n_cells"),
+            F.count_if(~F.coalesce(close, F.lit(False))).alias("n_different"),
+        )
+    )
 
 
 def job_load_listens(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = _job_params(spark)
     given.written_lines(given.listens(spark, sf_dir), params.listen_path)
-    return _wide_text(spark.read.parquet(jobs.load_listens(spark, params).table_path))
+    return spark.read.parquet(jobs.load_listens(spark, params).table_path)
 
 
 def job_load_sings(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = _job_params(spark)
     given.written_lines(given.sings(spark, sf_dir), params.sing_path)
-    return _wide_text(spark.read.parquet(jobs.load_sings(spark, params).table_path))
+    return spark.read.parquet(jobs.load_sings(spark, params).table_path)
 
 
 # -- shared shapes ------------------------------------------------------------
@@ -468,14 +568,6 @@ def _metric(row: DataFrame) -> DataFrame:
     return row.select("n_eval", F.round("rmse", 6).alias("rmse"))
 
 
-def _wide_text(wide: DataFrame) -> DataFrame:
-    """Wide rows with the cells spelt out as ``item=value`` text."""
-    entries = F.transform(
-        F.map_entries("cells"), lambda e: F.concat(e["key"], F.lit("="), e["value"])
-    )
-    return wide.select("rowkey", "segment", F.concat_ws(",", entries).alias("cells"))
-
-
 QUERIES: dict[str, Query] = {
     "scan_ratings": scan_ratings,
     "scan_listens": scan_listens,
@@ -501,7 +593,8 @@ QUERIES: dict[str, Query] = {
     "als_metrics": als_metrics,
     "als_coverage": als_coverage,
     "als_invariants": als_invariants,
-    "als_half_step": als_half_step,
+    "als_predict_agrees": als_predict_agrees,
+    "als_optimality": als_optimality,
     "model_save_load": model_save_load,
     "topk_scores": topk_scores,
     "topk_scores_sharded": topk_scores_sharded,
@@ -511,10 +604,12 @@ QUERIES: dict[str, Query] = {
     "recommend_invariants": recommend_invariants,
     "recommend_scores_agree": recommend_scores_agree,
     "upsert_last_write": upsert_last_write,
+    "upsert_ties": upsert_ties,
     "listen_wide_rows": listen_wide_rows,
     "sing_wide_rows": sing_wide_rows,
     "listen_cells": listen_cells,
     "sing_cells": sing_cells,
+    "upsert_cells": upsert_cells,
     "upsert_wide_rows": upsert_wide_rows,
     "recommend_cells": recommend_cells,
     "overwrite_reload": overwrite_reload,

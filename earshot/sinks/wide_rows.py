@@ -1,4 +1,8 @@
-"""One wide row per user: a row key and its cells (item id as text -> value as text)."""
+"""Cells of wide rows, one per (user, item): ``rowkey, family, qualifier, value``, all text.
+
+Counts are stored as cells, whatever the number a user has; only recommendations, of which
+a user has k, are also handled as one row per user.
+"""
 
 from __future__ import annotations
 
@@ -7,61 +11,38 @@ from pyspark.sql import functions as F
 
 from earshot.functions.text import row_key
 from earshot.operators.upsert import last_write
-from earshot.workspace import ensure_checkpoint_dir
-
-MAX_CELLS = 100_000
-# A list of busy users is broadcast up to this many rows (two numbers each).
-BROADCAST_USERS = 500_000
-SALTS = 32
 
 
-def wide_rows(
-    rows: DataFrame,
-    user: str,
-    item: str,
-    value: str,
-    order: str | None = None,
-    max_cells: int = MAX_CELLS,
+def count_cells(
+    rows: DataFrame, user: str, item: str, value: str, family: str, order: str | None = None
 ) -> DataFrame:
-    """``rowkey, segment, cells map<string,string>`` with the last write per cell.
-
-    A user is one row, segment 0.  Only a user with more than ``max_cells`` input
-    rows is spread over several segments, each a hash share of the items, so that
-    no single row (and no single task) has to hold an unbounded user.
-    """
-    rows = rows.select(user, item, value, *([] if order is None else [order]))
-    busy = _busy_users(rows, user, max_cells)
-    if busy is None:
-        # Nobody brings more than max_cells rows, so one shuffle on the user serves
-        # both the upsert and the grouping.
-        latest = last_write(rows.repartition(user), [user, item], value, order)
-        segmented = latest.withColumn("segment", F.lit(0))
-    else:
-        # Upsert first: it combines map-side and spreads a busy user over items.
-        latest = last_write(rows, [user, item], value, order)
-        segmented = _with_segment(latest, busy, user, item)
-    entry = F.struct(F.col(item).alias("item"), F.col(value).alias("value"))
-    grouped = segmented.groupBy(user, "segment").agg(
-        F.sort_array(F.collect_list(entry)).alias("entries")
-    )
-    return grouped.select(
+    """The last write per cell.  It combines map-side and spreads a busy user over items."""
+    latest = last_write(rows, [user, item], value, order)
+    return latest.select(
         row_key(F.col(user)).alias("rowkey"),
-        "segment",
-        _cells(F.col("entries"), "item", "value").alias("cells"),
+        F.lit(family).alias("family"),
+        F.col(item).cast("string").alias("qualifier"),
+        F.col(value).cast("string").alias("value"),
+    )
+
+
+def by_row_key(cells: DataFrame) -> DataFrame:
+    """Cells in ranges of row key and qualifier: a user's stand together, a busy one's in pieces."""
+    return cells.repartitionByRange("rowkey", "qualifier").sortWithinPartitions(
+        "rowkey", "qualifier"
     )
 
 
 def recommendation_rows(recommendations: DataFrame) -> DataFrame:
-    """Wide rows of a top-k result.  It already is one row per user: no shuffle."""
+    """``rowkey, cells`` of a top-k result.  It already is one row per user: no shuffle."""
     return recommendations.select(
         row_key(F.col("userId")).alias("rowkey"),
-        F.lit(0).alias("segment"),
         _cells(F.col("recommendations"), "sourceId", "rating").alias("cells"),
     )
 
 
-def cells(wide: DataFrame, family: str) -> DataFrame:
-    """The long form: ``rowkey, family, qualifier, value``, one row per cell."""
+def recommendation_cells(wide: DataFrame, family: str) -> DataFrame:
+    """The same as one row per cell."""
     return wide.select(
         "rowkey",
         F.lit(family).alias("family"),
@@ -75,31 +56,3 @@ def _cells(entries: Column, item: str, value: str) -> Column:
             entries, lambda e: F.struct(e[item].cast("string"), e[value].cast("string"))
         )
     )
-
-
-def _busy_users(rows: DataFrame, user: str, max_cells: int) -> DataFrame | None:
-    """Users with more than ``max_cells`` rows and their segments, if there are any."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    busy = (
-        rows.groupBy(user)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > max_cells)
-        .select(user, F.ceil(F.col("n") / max_cells).cast("int").alias("segments"))
-        .checkpoint()
-    )
-    return None if busy.isEmpty() else busy
-
-
-def _with_segment(rows: DataFrame, busy: DataFrame, user: str, item: str) -> DataFrame:
-    """Attach a segment without sending a busy user's rows to one task."""
-    if busy.count() <= BROADCAST_USERS:
-        joined = rows.join(F.broadcast(busy), user, "left")
-    else:
-        salt = F.pmod(F.xxhash64(item, F.lit("salt")), F.lit(SALTS))
-        copies = busy.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        copies = copies.withColumn("salt", F.col("salt").cast("bigint"))
-        joined = rows.withColumn("salt", salt).join(copies, [user, "salt"], "left").drop("salt")
-    segments = F.coalesce(F.col("segments"), F.lit(1))
-    return joined.withColumn(
-        "segment", F.pmod(F.xxhash64(item), segments).cast("int")
-    ).drop("segments")

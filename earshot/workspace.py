@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -26,13 +28,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="earshot-")
+    folder = tempfile.mkdtemp(prefix="earshot-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` and ALS's own checkpoints land in the shared folder."""
+def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> None:
+    """Make ``DataFrame.checkpoint`` and ALS's own checkpoints land in the shared folder.
+
+    ``folder`` serves where the session names none: jobs give one below their storage root.
+    """
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        if folder is None or spark.conf.get("spark.checkpoint.dir", None):
+            folder = shared_folder(spark)
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def scratch_root(spark: SparkSession, name: str) -> str:

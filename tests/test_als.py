@@ -4,14 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from earshot.operators import als, grouped_als
+from earshot.operators import als
 from earshot.operators.evaluate import rmse
 from earshot.operators.topk import recommend_for_all_users
 from earshot.params import AlsParams
 from earshot.registered import standins
 
-PINNED = AlsParams(pin_layout=True)
-
 
 @pytest.fixture(scope="module")
 def ratings(spark, sf_dir):
@@ -48,7 +46,7 @@ def test_factors_are_non_negative(model):
 
 def test_equal_seeds_and_pinned_layout_give_equal_factors(ratings):
     models = [
-        als.fit(ratings.repartition(n), PINNED, ratings.count()) for n in (1, 3, 11)
+        als.fit(ratings.repartition(n), AlsParams(), ratings.count()) for n in (1, 3, 11)
     ]
     first = vectors(models[0].userFactors)
     for other in models[1:]:
@@ -89,108 +87,20 @@ def test_no_training_rows_is_an_error(ratings):
 def test_blocks_grow_with_the_ratings():
     assert als.block_count(1, 4_000_000) == 10
     assert als.block_count(400_000_000, 4_000_000) == 100
-    assert als.block_count(10**13, 4_000_000) == als.MAX_BLOCKS
-
-
-# -- the grouped form ---------------------------------------------------------
-
-
-def test_half_step_equals_mllibs_last_one(ratings, model):
-    """MLlib ends on a user step, so its user factors follow from its item factors."""
-    solved = grouped_als.half_step(
-        grouped_als.prepare(ratings), model.itemFactors, "sourceId", "userId", AlsParams()
-    )
-    ours, theirs = vectors(solved), vectors(model.userFactors)
-    assert ours.keys() == theirs.keys()
-    for i, vector in theirs.items():
-        assert ours[i] == pytest.approx(vector, rel=1e-4, abs=1e-5)
-
-
-def test_half_step_without_the_sign_constraint(ratings):
-    params = AlsParams(nonnegative=False)
-    model = als.fit(ratings, params, ratings.count())
-    solved = grouped_als.half_step(
-        grouped_als.prepare(ratings), model.itemFactors, "sourceId", "userId", params
-    )
-    ours = vectors(solved)
-    for i, vector in vectors(model.userFactors).items():
-        assert ours[i] == pytest.approx(vector, rel=1e-3, abs=1e-3)
-
+    assert als.block_count(10**13, 4_000_000) == 2_500_000
 
-def test_salted_pieces_add_up(ratings, model):
-    prepared = grouped_als.prepare(ratings)
-    hot = prepared.withColumn("userId_salts", F.lit(7))
-    salted, plain = (
-        vectors(grouped_als.half_step(p, model.itemFactors, "sourceId", "userId", AlsParams()))
-        for p in (hot, prepared)
-    )
-    assert salted.keys() == plain.keys()
-    for i, vector in plain.items():
-        assert salted[i] == pytest.approx(vector, rel=1e-5, abs=1e-6)
 
-
-def test_repeated_pairs_stay_separate_observations(ratings):
-    doubled = ratings.unionByName(ratings.where("userId % 2 = 0"))
-    model = als.fit(doubled, AlsParams(), doubled.count())
-    solved = grouped_als.half_step(
-        grouped_als.prepare(doubled), model.itemFactors, "sourceId", "userId", AlsParams()
-    )
-    ours = vectors(solved)
-    for i, vector in vectors(model.userFactors).items():
-        assert ours[i] == pytest.approx(vector, rel=1e-4, abs=1e-5)
-
-
-def test_only_ids_above_a_partitions_share_are_salted(spark):
-    rows = spark.range(8000).select(
-        F.expr("int(if(id % 2 = 0, 1, id % 1000 + 2))").alias("userId"),
-        F.col("id").cast("int").alias("sourceId"),
-        F.lit(1.0).cast("float").alias("rating"),
-    )
-    salts = {
-        r["userId"]: r["salts"]
-        for r in grouped_als.prepare(rows)
-        .groupBy("userId")
-        .agg(F.max("userId_salts").alias("salts"))
-        .collect()
-    }
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert salts.pop(1) == partitions // 2
-    assert set(salts.values()) == {1}
+def test_a_repeated_pair_spreads_over_partitions(spark):
+    """Its copies are numbered, so that no partition gets them all."""
+    copies = spark.range(4000).selectExpr("1 userId", "2 sourceId", "cast(3.0 as float) rating")
+    pinned = als.pin_layout(copies, 8)
+    assert pinned.columns == ["userId", "sourceId", "rating"]
+    sizes = [r["count"] for r in pinned.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 1000
 
 
-def test_an_overwhelming_id_goes_through_grouped_sums(tmp_path, spark, ratings, model):
-    """One user holds a third of the rows; the fit is as good and is a usual model."""
-    n = ratings.count()
-    hot = ratings.limit(1).crossJoin(spark.range(n // 2)).drop("id")
+def test_a_busy_user_is_fitted_like_any_other(spark, ratings):
+    hot = ratings.limit(1).crossJoin(spark.range(ratings.count() // 2)).drop("id")
     skewed = ratings.unionByName(hot).checkpoint()
-    total = skewed.count()
-    assert als.largest_id(skewed) > total / 3
-    params = AlsParams(max_ratings_per_id=total // 4)
-    grouped = als.fit(skewed, params, total)
-    assert "grouped" in grouped.uid
-    plain = als.fit(skewed, AlsParams(), total)
-    errors = [rmse(als.predict(m, skewed)).first()["rmse"] for m in (grouped, plain)]
-    assert errors[0] < errors[1] * 1.25
-    als.save(grouped, str(tmp_path / "model"))
-    again = als.load(str(tmp_path / "model"))
-    assert rmse(als.predict(again, skewed)).first()["rmse"] == pytest.approx(errors[0])
-    assert recommend_for_all_users(again, 5).count() == model.userFactors.count()
-
-
-@pytest.mark.parametrize("observations", [2, 6, 40])
-def test_non_negative_solver_meets_the_optimality_conditions(observations):
-    """Few observations leave the problem badly conditioned, held up by the ridge alone."""
-    rng = np.random.default_rng(2)
-    half = np.abs(rng.normal(size=(300, 10, observations))) * 10
-    a = half @ half.transpose(0, 2, 1) + 0.01 * observations * np.eye(10)
-    b = np.einsum("ijk,ik->ij", half, rng.normal(size=(300, observations)) * 20 + 10)
-    x = grouped_als.solve_nonnegative(a, b)
-    slope = (np.einsum("ijk,ik->ij", a, x) - b) / np.abs(b).max(axis=1, keepdims=True)
-    assert (x >= 0).all() and (x > 0).any() and (x == 0).any()
-    assert slope.min() > -1e-9  # no coordinate wants to grow
-    assert np.abs(slope[x > 0]).max() < 1e-9  # none in use wants to shrink
-
-
-def test_non_negative_solver_on_a_zero_target():
-    assert (grouped_als.solve_nonnegative(np.eye(3)[None], np.zeros((1, 3))) == 0).all()
-    assert (grouped_als.solve_nonnegative(np.eye(3)[None], -np.ones((1, 3))) == 0).all()
+    model = als.fit(skewed, AlsParams(user_blocks=7, item_blocks=3), skewed.count())
+    assert rmse(als.predict(model, skewed)).first()["rmse"] > 0

@@ -28,7 +28,14 @@ def put_lines(folder: str, *lines: str) -> None:
 
 
 def wide(spark, path):
-    return {r["rowkey"]: r["cells"] for r in spark.read.parquet(path).collect()}
+    """Cells by row key, from either form of table."""
+    rows = spark.read.parquet(path)
+    if "cells" in rows.columns:
+        return {r["rowkey"]: r["cells"] for r in rows.collect()}
+    found = {}
+    for row in rows.collect():
+        found.setdefault(row["rowkey"], {})[row["qualifier"]] = row["value"]
+    return found
 
 
 def test_train_then_recommend(spark, tmp_path, sf_dir):
@@ -171,16 +178,50 @@ def test_blank_names_mean_yesterday(tmp_path):
 
 
 def test_properties_set_fields_and_unknown_ones_raise():
-    text = "# job\nhdfsUrl = /data/\n\n! old\nrecommendCount=7\nsparkMaster=local\nmax_cells=9"
+    text = "# job\nhdfsUrl = /data/\n\n! old\nrecommendCount=7\nsparkMaster=local\n"
+    text += "als.rank=3\nals.nonnegative=False\nweights=0.5,0.2,0.3"
     params = JobParams.from_properties(read_properties(text), date(2024, 3, 1))
-    assert (params.storage_root, params.k, params.max_cells) == ("/data/", 7, 9)
-    for bad in ("noSuchName=1", "run_date=2024-01-01", "recommendCount=many", "recommendCount=0"):
+    assert (params.storage_root, params.k, params.weights) == ("/data/", 7, (0.5, 0.2, 0.3))
+    assert params.als == AlsParams(rank=3, nonnegative=False)
+    wrong = ("noSuchName=1", "als.noSuch=1", "als.rank=x", "weights=1", "run_date=2024-01-01")
+    for bad in (*wrong, "recommendCount=many", "recommendCount=0"):
         with pytest.raises(ValueError):
             JobParams.from_properties(
                 {"hdfsUrl": "/data", **read_properties(bad)}, date(2024, 3, 1)
             )
     with pytest.raises(ValueError):
-        read_properties("no separator")
+        read_properties("noseparator")
+
+
+def test_java_property_text():
+    text = """! written by a job
+hdfsUrl=hdfs\\://host\\:8020/
+name: with spaces \\
+   and a second line
+empty=
+tab\\tname=caf\\u00e9
+key\\ one two
+"""
+    assert read_properties(text) == {
+        "hdfsUrl": "hdfs://host:8020/",
+        "name": "with spaces and a second line",
+        "empty": "",
+        "tab\tname": "café",
+        "key one": "two",
+    }
+
+
+def test_two_days_stay_apart(spark, tmp_path):
+    """The first day's model still meets its own test rows after the second day's training."""
+    first = make_params(tmp_path, als=AlsParams(max_iter=2))
+    second = first.with_(run_date=date(2024, 3, 2))
+    put_lines(first.ratings_path, *(f"{u}|{i}|{u % 5}" for u in range(30) for i in range(20)))
+    put_lines(second.ratings_path, *(f"{u}|{i}|1" for u in range(900, 930) for i in range(700, 720)))
+    report = jobs.train(spark, first)
+    jobs.train(spark, second)
+    again = rmse(jobs.score_part(spark, first)).first()
+    assert again["n_eval"] == report.n_eval > 0
+    assert again["rmse"] == pytest.approx(report.rmse)
 
 
 def test_tables_must_differ(tmp_path):

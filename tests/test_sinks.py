@@ -4,31 +4,31 @@ import pytest
 from pyspark.sql import functions as F
 
 from earshot.operators.upsert import last_write
-from earshot.sinks import wide_rows as sink
 from earshot.sinks.tables import overwrite_dates, overwrite_table, preview
-from earshot.sinks.wide_rows import cells, recommendation_rows, wide_rows
+from earshot.sinks.wide_rows import (
+    by_row_key,
+    count_cells,
+    recommendation_cells,
+    recommendation_rows,
+)
 from tests.plans import plan_of, shuffle_keys
 
 
-def test_one_row_per_user_with_text_cells(spark):
+def cells_in(frame):
+    return sorted((r["rowkey"], r["family"], r["qualifier"], r["value"]) for r in frame.collect())
+
+
+def test_counts_become_text_cells(spark):
     rows = spark.createDataFrame(
-        [(1, 10, 3), (1, 2, 4), (2, 10, 5)], "userId int, ocId int, count int"
+        [(1, 10, 3), (1, 2, 4), (2, 10, 5), (1, 10, 2)], "userId int, ocId int, count int"
     )
-    wide = wide_rows(rows, "userId", "ocId", "count")
-    assert wide.dtypes == [
-        ("rowkey", "string"),
-        ("segment", "int"),
-        ("cells", "map<string,string>"),
-    ]
-    got = {r["rowkey"]: r["cells"] for r in wide.collect()}
-    assert got == {"userId:1": {"2": "4", "10": "3"}, "userId:2": {"10": "5"}}
-    assert list(got["userId:1"]) == ["2", "10"]
-    long = {tuple(r) for r in cells(wide, "listenCountInfo").collect()}
-    assert long == {
-        ("userId:1", "listenCountInfo", "2", "4"),
+    cells = count_cells(rows, "userId", "ocId", "count", "listenCountInfo")
+    assert cells.dtypes == [(c, "string") for c in ("rowkey", "family", "qualifier", "value")]
+    assert cells_in(cells) == [
         ("userId:1", "listenCountInfo", "10", "3"),
+        ("userId:1", "listenCountInfo", "2", "4"),
         ("userId:2", "listenCountInfo", "10", "5"),
-    }
+    ]
 
 
 def test_last_write_wins(spark):
@@ -41,52 +41,49 @@ def test_last_write_wins(spark):
     assert {tuple(r) for r in ordered.collect()} == {(1, 1, 4), (2, 1, 5)}
     unordered = last_write(rows, keys, "value")
     assert {tuple(r) for r in unordered.collect()} == {(1, 1, 9), (2, 1, 5)}
-    wide = wide_rows(rows, *keys, "value", "at")
-    assert {r["rowkey"]: r["cells"] for r in wide.collect()} == {
-        "userId:1": {"1": "4"},
-        "userId:2": {"1": "5"},
+    tied = rows.withColumn("at", F.lit(1))
+    assert {tuple(r) for r in last_write(tied, keys, "value", "at").collect()} == {
+        (1, 1, 9),
+        (2, 1, 5),
     }
+    assert cells_in(count_cells(rows, *keys, "value", "f", "at")) == [
+        ("userId:1", "f", "1", "4"),
+        ("userId:2", "f", "1", "5"),
+    ]
 
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """User 0 holds a third of 6,000 rows; some of its cells are written twice."""
-    return spark.range(6000).select(
+    """User 0 holds a third of 200,000 rows, and one of its cells is written 30,000 times."""
+    return spark.range(200_000).select(
         F.expr("int(if(id % 3 = 0, 0, id % 200 + 1))").alias("userId"),
-        (F.col("id") % 1500).cast("int").alias("item"),
+        F.expr("int(if(id < 90000, 7, id))").alias("item"),
         F.col("id").cast("int").alias("value"),
         F.col("id").alias("at"),
     )
 
 
-@pytest.mark.parametrize("broadcast_users", [500_000, 0])
-def test_a_busy_user_is_cut_into_segments_and_stays_whole(skewed, monkeypatch, broadcast_users):
-    monkeypatch.setattr(sink, "BROADCAST_USERS", broadcast_users)
-    columns = ("userId", "item", "value", "at")
-    plain = cells(wide_rows(skewed, *columns), "f")
-    cut = wide_rows(skewed, *columns, max_cells=100).checkpoint()
-    assert {tuple(r) for r in cells(cut, "f").collect()} == {tuple(r) for r in plain.collect()}
-    rows = [(r["rowkey"], r["segment"], len(r["cells"])) for r in cut.collect()]
-    assert len({(key, segment) for key, segment, _ in rows}) == len(rows)
-    busy = [n for key, _, n in rows if key == "userId:0"]
-    assert len(busy) == 20 and max(busy) < 200
-    assert all(segment == 0 for key, segment, _ in rows if key != "userId:0")
-
-
-def test_a_busy_users_rows_do_not_meet_in_one_partition(skewed):
-    cut = wide_rows(skewed, "userId", "item", "value", "at", max_cells=100)
-    keys = shuffle_keys(plan_of(cut))
-    # Every shuffle of the busy plan is keyed on more than the user.
-    assert keys and all(key.count("#") >= 2 for key in keys), keys
-
-
-def test_nobody_busy_means_one_shuffle(spark):
-    rows = spark.range(1000).select(
-        (F.col("id") % 50).cast("int").alias("userId"),
-        F.col("id").cast("int").alias("item"),
-        F.lit(1).alias("count"),
-    )
-    assert plan_of(wide_rows(rows, "userId", "item", "count")).count("Exchange ") == 1
+def test_a_busy_user_has_the_same_cells_as_others(skewed, tmp_path):
+    cells = count_cells(skewed, "userId", "item", "value", "f", "at")
+    conf = skewed.sparkSession.conf
+    conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small as it is
+    overwrite_table(by_row_key(cells), str(tmp_path / "cells"))
+    conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stored = skewed.sparkSession.read.parquet(str(tmp_path / "cells"))
+    busy = stored.where("rowkey = 'userId:0'")
+    assert busy.count() == 1 + sum(1 for i in range(90_000, 200_000) if i % 3 == 0)
+    assert busy.where("qualifier = '7'").collect()[0]["value"] == "89997"
+    # It spans files, and nothing in the plan gathers a user's cells.
+    assert busy.select(F.input_file_name()).distinct().count() > 1
+    plan = plan_of(by_row_key(cells))
+    assert "collect_list" not in plan
+    assert all(key.count("#") >= 2 for key in shuffle_keys(plan))
+
+
+def test_cells_stand_in_row_key_order(skewed):
+    laid = by_row_key(count_cells(skewed, "userId", "item", "value", "f", "at"))
+    parts = laid.select(F.spark_partition_id().alias("p"), "rowkey", "qualifier").collect()
+    assert [tuple(r) for r in parts] == sorted(tuple(r) for r in parts)
 
 
 def test_recommendations_need_no_shuffle(spark):
@@ -98,6 +95,10 @@ def test_recommendations_need_no_shuffle(spark):
     assert "Exchange" not in plan_of(wide)
     got = {r["rowkey"]: r["cells"] for r in wide.collect()}
     assert got == {"userId:7": {"3": "0.5", "1": "0.25"}, "userId:8": {}}
+    assert cells_in(recommendation_cells(wide, "recommends")) == [
+        ("userId:7", "recommends", "1", "0.25"),
+        ("userId:7", "recommends", "3", "0.5"),
+    ]
 
 
 def test_overwrite_replaces_and_creates(spark, tmp_path):
