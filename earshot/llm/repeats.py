@@ -34,7 +34,8 @@ from earshot.workspace import scratch_root
 LENGTH = 100
 GRAM = 51  # picked positions are at most LENGTH - GRAM + 1 apart
 TILE = LENGTH + GRAM
-CHUNK, GATHERED = 1_000_000, 2_000_000
+# Bytes of text that are worked on at a time, few enough for a core's cache; names gathered.
+CHUNK, GATHERED = 60_000, 2_000_000
 LOWEST = -(1 << 63)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 HIGH, LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
@@ -59,6 +60,16 @@ def _twice(names: np.ndarray, apart: int) -> np.ndarray:
     return _pair(names[:-apart], names[apart:])
 
 
+def _names32(raw: np.ndarray) -> np.ndarray:
+    """Names of the strings of 32 bytes, doubled up from those of 8, which are the bytes."""
+    wide = raw.astype(np.uint64)
+    for shift in (1, 2, 4):
+        wide = wide[:-shift] | wide[shift:] << np.uint64(8 * shift)
+    wide *= PRIME
+    wide ^= wide >> np.uint64(32)
+    return _twice(_twice(wide, 8), 16)
+
+
 @dataclass
 class Chunk:
     """Texts one after the other, with what all rounds need of them."""
@@ -72,13 +83,7 @@ class Chunk:
         self.ends = self.begins + sizes
         raw = np.frombuffer(b"".join(self.texts) + bytes(2 * TILE), np.uint8)
         self.n = len(raw) - 2 * TILE
-        wide = raw.astype(np.uint64)
-        for shift in (1, 2, 4):
-            wide = wide[:-shift] | wide[shift:] << np.uint64(8 * shift)
-        eight = wide * PRIME
-        eight ^= eight >> np.uint64(32)
-        sixteen = _twice(eight, 8)
-        self.names32 = _twice(sixteen, 16)
+        self.names32 = _names32(raw)
         self.grams = _twice(self.names32, GRAM - 32)
         # How far each position is from the end of its text.
         self.left = np.repeat(self.ends, sizes) - np.arange(self.n)
