@@ -35,7 +35,7 @@ LENGTH = 100
 GRAM = 51  # picked positions are at most LENGTH - GRAM + 1 apart
 TILE = LENGTH + GRAM
 # Bytes of text that are worked on at a time, few enough for a core's cache; names gathered.
-CHUNK, GATHERED = 60_000, 2_000_000
+CHUNK, GATHERED = 60_000, 1_000_000
 LOWEST = -(1 << 63)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 HIGH, LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
@@ -203,19 +203,25 @@ def _added(names, owners, counts) -> tuple[np.ndarray, ...]:
     )
 
 
-def _sent(parts: Iterator[tuple[np.ndarray, np.ndarray]], shards: int):
+def _sent(parts: Iterator[tuple[np.ndarray, np.ndarray]], shards: int, with_owners: bool):
     """Names and owners of a partition as rows of :data:`SENT`, equal names once."""
 
     def send() -> pa.RecordBatch:
         names, owners, counts = _added(*zip(*held, strict=True))
         found = list(arrays.runs(arrays.range_shard(names, shards)))
-        shifted = owners.astype(np.uint64) ^ np.uint64(1 << 63)
+        many = np.minimum(counts, 2).astype(np.uint8)  # once, or more often
+
+        def own(a: int, b: int) -> bytes:
+            if not with_owners:
+                return b""
+            return arrays.planes(owners[a:b].astype(np.uint64) ^ np.uint64(1 << 63))
+
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([s for s, _, _ in found], pa.int32()),
                 pa.array([arrays.packed(names[a:b]) for _, a, b in found], pa.binary()),
-                pa.array([arrays.planes(shifted[a:b]) for _, a, b in found], pa.binary()),
-                pa.array([arrays.planes(counts[a:b]) for _, a, b in found], pa.binary()),
+                pa.array([own(a, b) for _, a, b in found], pa.binary()),
+                pa.array([many[a:b].tobytes() for _, a, b in found], pa.binary()),
             ],
             ["shard", "names", "owners", "counts"],
         )
@@ -238,16 +244,19 @@ def _run_round(docs: DataFrame, rounds: Rounds, name: str, parts_of, with_owners
 
     def send(batches):
         chunks = (Chunk(np.array(ids), texts) for ids, texts in _chunks(batches))
-        return _sent(map(parts_of, chunks), rounds.shards)
+        return _sent(map(parts_of, chunks), rounds.shards, with_owners)
 
     def meet(key, table):
         shard = key[0].as_py()
         columns = {c: [v.as_py() for v in table.column(c)] for c in ("names", "owners", "counts")}
-        owners = [arrays.from_planes(v) ^ np.uint64(1 << 63) for v in columns["owners"]]
+        many = [np.frombuffer(v, np.uint8).astype(np.int64) for v in columns["counts"]]
+        if with_owners:
+            shifted = [arrays.from_planes(v) ^ np.uint64(1 << 63) for v in columns["owners"]]
+            owners = [o.view("<i8") for o in shifted]
+        else:
+            owners = [np.zeros(len(m), np.int64) for m in many]
         names, first, counts = _added(
-            [arrays.unpacked(v) for v in columns["names"]],
-            [o.view("<i8") for o in owners],
-            [arrays.from_planes(v) for v in columns["counts"]],
+            [arrays.unpacked(v) for v in columns["names"]], owners, many
         )
         again = counts > 1
         arrays.store(rounds.folder, name, shard, names[again])
