@@ -244,10 +244,10 @@ def redacted(docs: DataFrame, mark: str = MARK) -> DataFrame:
     Rows without a span are untouched.  Overlapping spans are replaced as one.
     ``n_chars``, where there is such a column, is counted anew for rows that change.
     """
-    (found,) = free_names(docs.columns, "found")
+    found, clean_text = free_names(docs.columns, "found", "clean_text")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     scanned = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.inline(F.array(F.struct(spans(F.col("text")).alias(found)))),
+        *columns, F.inline(F.array(F.struct(spans(F.col("text")).alias(found))))
     )
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     text = F.col("text")
@@ -273,16 +273,19 @@ def redacted(docs: DataFrame, mark: str = MARK) -> DataFrame:
         ),
     )
     has = F.size(found) > 0
-    new_text = F.when(has, clean).otherwise(text)
-    return scanned.select(
+    new_text = F.when(has, clean).otherwise(text).alias(clean_text)
+    cleaned = scanned.select(
+        *columns, has.alias(found), F.inline(F.array(F.struct(new_text)))
+    )
+    fresh = {
+        "text": F.col(clean_text),
+        "n_chars": F.when(F.col(found), F.char_length(clean_text)).otherwise(F.col("n_chars"))
+        if "n_chars" in docs.columns
+        else None,
+    }
+    return cleaned.select(
         *[
-            _cast(new_text, f).alias(f.name)
-            if f.name == "text"
-            else _cast(
-                F.when(has, F.char_length(clean)).otherwise(F.col("`n_chars`")), f
-            ).alias(f.name)
-            if f.name == "n_chars"
-            else F.col(f"`{f.name}`")
+            _cast(fresh.get(f.name, F.col(f"`{f.name}`")), f).alias(f.name)
             for f in docs.schema.fields
         ]
     )
