@@ -37,7 +37,8 @@ ALLOWED = (
     r"\A[0-9+/_=-]*\z",
     r"(?i)\A[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\z",
     r"(?i)example|sample|dummy|placeholder|xxxx|0123456789|abcdefgh",
-    r"\A([a-z]+|[0-9]{1,4})([/_-]([A-Za-z][a-z]*|[0-9]{1,4}))*\z",
+    # Possessive: a run of any number of parts is matched in a loop, not by recursion.
+    r"\A(?:[a-z]+|[0-9]{1,4})(?:[/_-](?:[A-Za-z][a-z]*+|[0-9]{1,4}+))*+\z",
     r"\A(.{1,6}?)\1{2,}.{0,5}\z",
 )
 

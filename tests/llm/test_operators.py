@@ -372,6 +372,15 @@ def test_entropy_finds_keys_and_leaves_the_rest(spark):
     assert not any(spans[i] for i in range(len(keys), len(spans)))
 
 
+def test_candidates_of_very_many_parts(spark):
+    long = ["a" + "/b" * 60_000 + "/1", "a" + "-12" * 40_000, "xy1" * 40_000, "x1" + "/b" * 60_000]
+    frame = spark.createDataFrame(
+        [(i, f"see {s} here") for i, s in enumerate(long)], "doc_id bigint, text string"
+    )
+    found = secrets.scan(frame).select("doc_id", secrets.written(F.col("found")).alias("spans"))
+    assert {r["doc_id"]: r["spans"] for r in found.collect()} == dict.fromkeys(range(len(long)), "")
+
+
 def test_secrets_are_taken_out(spark):
     frame = spark.createDataFrame(
         [(0, "é token = 0123456789abcdef01234567 z", 9), (1, "clean", 5), (2, None, None)],
