@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,18 @@ def kept(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's batches; what Arrow keeps of those that are done goes back to the system.
+
+    Python workers live on from stage to stage beside the executor's JVM, and Arrow would
+    hold on to its largest batches for as long.
+    """
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """``crc32(doc_id as text) mod divisor``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor

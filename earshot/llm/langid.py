@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm.common import free_names, read_documents, remainder
+from earshot.llm.common import free_names, read_documents, released, remainder
 
 FOLDS = 5
 UNKNOWN = "und"
@@ -279,7 +279,7 @@ def predict(docs: DataFrame, net: Network | None, *names: str) -> DataFrame:
     lang, score, share = names or ("lang_pred", "score", "position_share")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        for whole in released(batches):
             for at in range(0, len(whole), 512):  # bounds the memory, not the work
                 batch = whole.slice(at, 512)
                 texts = [t or "" for t in batch.column("text").to_pylist()]

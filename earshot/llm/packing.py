@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from earshot.llm.common import kept, read_documents
+from earshot.llm.common import kept, read_documents, released
 
 CAPACITY = 4096
 END_ID = 1
@@ -138,7 +138,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_
     size = 4 * capacity
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
             for doc_id, ids in zip(doc_ids, encode(texts, path), strict=True):

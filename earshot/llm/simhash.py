@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from earshot.llm.common import free_names, kept, read_documents, star_components
+from earshot.llm.common import free_names, kept, read_documents, released, star_components
 
 BITS = 64
 SHINGLE = 4
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, text_hash, fp`` of every row; ``text_hash`` tells rows of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             found = [fingerprint(text.as_py(), shingle) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(found, pa.int64())],
