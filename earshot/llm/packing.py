@@ -29,7 +29,7 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 # Words whose ids a worker remembers; forgetting them only costs time.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 # Marks that form pieces of their own after letters, whatever stands next to them.
 MARKS = ".,;:!?#*$%&|()\"-"
 # Pieces of one length are numbered in groups of about this many.
