@@ -279,7 +279,9 @@ def links(fps: DataFrame, parts: list[Part], distance: int = DISTANCE) -> DataFr
 
 
 def components(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``fp, component_id``: the smallest doc_id that each distinct fingerprint reaches."""
+    """``fp, root, component_id`` of each distinct fingerprint: the smallest fingerprint and the
+    smallest doc_id that it reaches.
+    """
     fps = kept(
         prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     )
@@ -290,17 +292,18 @@ def components(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
     rooted = kept(rooted)
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return kept(rooted.join(lowest, "root").select("fp", "component_id"))
+    return kept(rooted.join(lowest, "root").select("fp", "root", "component_id"))
 
 
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
 ) -> DataFrame:
-    """``doc_id, text_hash, fp, component_id`` for every row of ``doc_id, text``.
+    """``doc_id, text_hash, fp, root, component_id`` for every row of ``doc_id, text``.
 
     Null and empty texts have fingerprint zero and link like any other.  Copies are one
     fingerprint, so a group of copies of any size is one node.  A row without a doc_id is
-    in a component like any other but gives it no id; a component of such rows has none.
+    in a component like any other but gives it no id; a component of such rows has none, and
+    components of unrelated texts can share one.  ``root`` is each component's own.
     """
     prints = kept(fingerprints(docs, shingle))
     return prints.join(components(prints, distance), "fp")
@@ -317,10 +320,11 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component left: the one its id names.
 
     Where several rows have that id and are in the component, one of them stays, chosen by
-    their contents.  Components without an id keep one row likewise.
+    their contents.  Components without an id keep one row each likewise.
     """
     found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = found.groupBy("component_id", "doc_id").agg(F.min("text_hash").alias("text_hash"))
+    # An id can name several components, or none: only the root tells them apart.
+    first = found.groupBy("root", "doc_id").agg(F.min("text_hash").alias("text_hash"))
     text_hash, place = free_names(docs.columns, "text_hash", "place")
     hashed = docs.withColumn(text_hash, F.xxhash64("text"))
     stay = hashed.alias("d").join(

@@ -152,3 +152,13 @@ def test_stages(spark, odd, sf_dir, name, stage):
 def test_one_row_of_a_group_stays(spark, odd, sf_dir):
     stay = corpus_pipeline.near_duplicates(spark, odd, sf_dir).collect()
     assert sorted(r["doc_id"] or -1 for r in stay) == [-1, 1, 3, 4, 6, 8, 9]
+
+
+def test_groups_of_one_id_or_none_stay_apart(spark, sf_dir):
+    cat, dog = "the cat sat on the mat with its hat " * 4, "a dog ran over some hills by night " * 4
+    sea, sun = "ships go down to cold seas in winter " * 4, "hot suns rise upon dry lands at noon " * 4
+    rows = [(None, cat), (None, cat), (None, dog), (7, sea), (7, sun), (7, sun), (None, sun)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    stay = corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()
+    expected = [(None, cat), (None, dog), (7, sea), (7, sun)]
+    assert sorted(map(str, stay)) == sorted(f"Row(doc_id={i}, text={t!r})" for i, t in expected)
