@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +34,8 @@ STOP_WORDS = frozenset(
 )
 
 # What HTML elements are.
-DROPPED = "script|style|noscript|template|textarea|title|svg|math|iframe|object|select|button"
+RAW = frozenset("script style title textarea iframe".split())  # hold no markup
+DROPPED = frozenset("noscript template svg math object select button".split())
 APART = frozenset("nav aside form menu dialog footer fieldset".split())
 NESTING = APART | frozenset(
     """
@@ -59,9 +62,13 @@ MARKS = frozenset(
 )
 PAGE_HEADER = frozenset(("header", "topbar"))
 
-COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>", re.S)
-RAW = re.compile(rf"<({DROPPED})\b(?:\s[^>]*)?>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>")
+COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*>|<\?[^>]*>"
+TAG = r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>"
+MARKUP = re.compile(f"{COMMENT}|{TAG}", re.S)
+RAW_TAGS = {name: re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
+RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
+# A slash at the end of a tag belongs to a value without quotes, if there is one.
+BARE_VALUE = re.compile(r"=\s*[^\s\"'=>]+\Z")
 ATTRIBUTE = re.compile(
     r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.S
 )
@@ -79,9 +86,87 @@ class Block:
     label: bool | None = None  # is it main text?
 
 
+class Tag(NamedTuple):
+    start: int
+    end: int
+    closing: bool
+    name: str  # empty for a comment
+    attributes: str
+    alone: bool  # closed in itself
+
+
+def _tags(page: str) -> list[Tag]:
+    """The page's tags and comments in order; an element of raw text is one with its content."""
+    found: list[Tag] = []
+    unended: set[str] = set()
+    at = 0
+    while match := MARKUP.search(page, at):
+        closing, name, attributes = match[1] == "/", (match[2] or "").lower(), match[3] or ""
+        alone = attributes.endswith("/") and not BARE_VALUE.search(attributes)
+        at = match.end()
+        if name in RAW and not closing:
+            at = _raw_end(page, at, name, alone, unended)
+        found.append(Tag(match.start(), at, closing, name, attributes, alone))
+    return found
+
+
+def _raw_end(page: str, at: int, name: str, alone: bool, unended: set[str]) -> int:
+    """Where the raw element ends whose tag ends at ``at``."""
+    if alone:  # its content is its own only if its end is what comes next of its name
+        other = RAW_TAGS[name].search(page, at)
+        return other.end() if other and other[1] else at
+    end = None if name in unended else RAW_ENDS[name].search(page, at)
+    if end:
+        return end.end()
+    if name in ("script", "style"):
+        return len(page)
+    unended.add(name)  # none follows the next one either
+    following = page.find("<", at)
+    return len(page) if following < 0 else following
+
+
+def _dropped(tags: list[Tag]) -> dict[int, tuple[int, int]]:
+    """For each tag that opens a dropped element: the tag to go on with and where text resumes.
+
+    An element ends at its own end tag.  One that has none before an element around it ends
+    is left open by mistake, and holds what stands before the next block.
+    """
+    ends: dict[int, tuple[int, int]] = {}
+    open_: list[tuple[str, int]] = []
+    depths: Counter[str] = Counter()
+    for i, tag in enumerate(tags):
+        if tag.name not in DROPPED and tag.name not in BLOCKS or tag.name in ("br", "hr"):
+            continue
+        if not tag.closing:
+            if not tag.alone:
+                open_.append((tag.name, i))
+                depths[tag.name] += 1
+        elif depths[tag.name]:
+            while True:
+                name, opened = open_.pop()
+                depths[name] -= 1
+                if name == tag.name:
+                    break
+            if name in DROPPED:
+                ends[opened] = i + 1, tag.end
+    following = len(tags)
+    for i in range(len(tags) - 1, -1, -1):
+        tag = tags[i]
+        if tag.name in DROPPED and not tag.closing:
+            if tag.alone:
+                ends[i] = i + 1, tag.end
+            elif i not in ends:
+                at = tags[following].start if following < len(tags) else tags[-1].end
+                ends[i] = following, at
+        elif tag.name in BLOCKS and tag.name not in ("option", "hr"):
+            following = i
+    return ends
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order; what is never shown is not among them."""
-    page = RAW.sub(" \n<br>", COMMENT.sub("", page))
+    tags = _tags(page)
+    dropped = _dropped(tags)
     found: list[Block] = []
     # Open elements: tag, apart, in an article.
     open_: list[tuple[str, bool, bool]] = []
@@ -102,12 +187,18 @@ def blocks(page: str) -> list[Block]:
             found.append(Block(text, heading, in_article, apart, link_chars))
         parts, link_chars = [], 0
 
-    at = 0
-    for tag in TAG.finditer(page):
-        if tag.start() > at:
-            add(page[at : tag.start()])
-        at = tag.end()
-        closing, name = tag[1] == "/", tag[2].lower()
+    at = i = 0
+    while i < len(tags):
+        tag = tags[i]
+        if tag.start > at:
+            add(page[at : tag.start])
+        i, at = dropped.get(i, (i + 1, tag.end))
+        closing, name = tag.closing, tag.name
+        if name in DROPPED or name in RAW:
+            if not closing:
+                close_block()
+                link_depth = 0
+            continue
         if name == "a":
             link_depth = 0 if closing else 1
         if name not in BLOCKS:
@@ -125,12 +216,12 @@ def blocks(page: str) -> list[Block]:
                 if open_[depth][0] == name:
                     del open_[depth:]
                     break
-        elif not tag[3].endswith("/"):
+        elif not tag.alone:
             if name == "li" and open_ and open_[-1][0] == "li":
                 open_.pop()
             _, apart, in_article = open_[-1] if open_ else ("", False, False)
             in_article = in_article or name in ("article", "main")
-            apart = apart or _is_apart(name, tag[3], in_article)
+            apart = apart or _is_apart(name, tag.attributes, in_article)
             open_.append((name, apart, in_article))
     add(page[at:])
     close_block()

@@ -217,6 +217,36 @@ def test_second_pass_takes_labels_from_neighbours():
     assert "near text" in main_text(f"{long}<p>near text</p>{long}")
 
 
+PARA = "The words of the text that are in this block and on this page for you to read."
+
+
+@pytest.mark.parametrize(
+    "odd",
+    [
+        '<svg class="i"/>',
+        '<math x="1"/>',
+        '<object data="x"/>',
+        '<iframe src="x"/>',
+        '<svg><style/><path d="M0"/></svg>',
+        "<svg><svg>no</svg>no</svg>",
+        '<svg class="i">',
+        "<div><button>Share</div>",
+        "<div><select><option>one<option>two</div>",
+        '<button>Share<p></p><button>Like</button>',
+        '<div><object data="x">no</div>',
+        '<script>var a = "<!--";</script>',
+        "<style><!-- p { margin: 0 }</style>",
+        "<script><!--\nvar a = '<p>no</p>';</script>",
+        '<!-- <script> --><div title="<script>"></div>',
+        "<!-->",
+    ],
+)
+def test_dropped_elements_end_where_they_do(odd):
+    page = f"<article><p>{PARA}</p>{odd}<p>{PARA}</p><svg><title>no</title></svg><p>{PARA}</p></article>"
+    assert main_text(page) == " ".join([PARA] * 3)
+    assert main_text(f"<p>{PARA}</p>{odd}<p>{PARA}</p>") == f"{PARA} {PARA}"
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<p a='>x", "</p></div>", "<!-- x"])
 def test_main_text_of_broken_pages(page):
     assert isinstance(main_text(page), str)
