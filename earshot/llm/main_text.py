@@ -48,8 +48,9 @@ BLOCKS = NESTING | frozenset(
     p h1 h2 h3 h4 h5 h6 pre hr br caption figcaption summary head legend option center
     """.split()
 )
+ARTICLES = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# Words of class, id and role that name what is not the article.
+# What a class, id or role is made of that names what is not the article: these words, ...
 MARKS = frozenset(
     """
     ad ads adv advert adverts advertisement advertising adbox adslot banner sponsor sponsored
@@ -61,6 +62,19 @@ MARKS = frozenset(
     """.split()
 )
 PAGE_HEADER = frozenset(("header", "topbar"))
+# ... and words that say where or of what form it is.  Any other word, as in no-comments or
+# has-sidebar, names something else.
+PLACES = frozenset(
+    """
+    site main top bottom left right primary secondary global mobile desktop area wrapper wrap
+    container box bar slot block list item items links link posts articles buttons icons form
+    section text inner outer nav
+    """.split()
+)
+# Sections of comments; their articles are comments too.
+COMMENTS = frozenset("comment comments disqus reply replies respond".split())
+# Elements that hold whole pages on some sites: they are apart unless most text is in them.
+WRAPPERS = frozenset("form fieldset header".split())
 
 COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*>|<\?[^>]*>"
 TAG = r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>"
@@ -76,6 +90,19 @@ WORD = re.compile(r"\w+")
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+@dataclass(eq=False)
+class Place:
+    """An open element that others nest in."""
+
+    name: str
+    around: Place | None
+    in_article: bool
+    why: str = ""  # it is apart: "hidden", "comments", "marked", "tag" or not at all
+    chars: int = 0  # of text in it that can be main text
+    free: int = 0  # the same, without what is apart
+    holds_article: bool = False
+
+
 @dataclass
 class Block:
     text: str
@@ -83,6 +110,7 @@ class Block:
     in_article: bool
     apart: bool
     link_chars: int
+    inside: Place | None = None
     label: bool | None = None  # is it main text?
 
 
@@ -168,8 +196,8 @@ def blocks(page: str) -> list[Block]:
     tags = _tags(page)
     dropped = _dropped(tags)
     found: list[Block] = []
-    # Open elements: tag, apart, in an article.
-    open_: list[tuple[str, bool, bool]] = []
+    open_: list[Place] = []
+    places: list[Place] = []
     heading, link_depth, link_chars = False, 0, 0
     parts: list[str] = []
 
@@ -183,8 +211,9 @@ def blocks(page: str) -> list[Block]:
         nonlocal parts, link_chars
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            _, apart, in_article = open_[-1] if open_ else ("", False, False)
-            found.append(Block(text, heading, in_article, apart, link_chars))
+            inside = open_[-1] if open_ else None
+            in_article = inside is not None and inside.in_article
+            found.append(Block(text, heading, in_article, False, link_chars, inside))
         parts, link_chars = [], 0
 
     at = i = 0
@@ -213,38 +242,95 @@ def blocks(page: str) -> list[Block]:
             continue
         if closing:
             for depth in range(len(open_) - 1, -1, -1):
-                if open_[depth][0] == name:
+                if open_[depth].name == name:
                     del open_[depth:]
                     break
         elif not tag.alone:
-            if name == "li" and open_ and open_[-1][0] == "li":
+            if name == "li" and open_ and open_[-1].name == "li":
                 open_.pop()
-            _, apart, in_article = open_[-1] if open_ else ("", False, False)
-            in_article = in_article or name in ("article", "main")
-            apart = apart or _is_apart(name, tag.attributes, in_article)
-            open_.append((name, apart, in_article))
+            around = open_[-1] if open_ else None
+            in_article = name in ARTICLES or around is not None and around.in_article
+            place = Place(name, around, in_article, _why_apart(name, tag.attributes, in_article))
+            open_.append(place)
+            places.append(place)
     add(page[at:])
     close_block()
+    _set_apart(found, places)
     return found
 
 
-def _is_apart(name: str, attributes: str, in_article: bool) -> bool:
+def _why_apart(name: str, attributes: str, in_article: bool) -> str:
+    """Why an element is apart by itself; empty if it is not."""
+    why = ""
     if name in APART or name == "header" and not in_article:
-        return True
+        why = "marked" if name in WRAPPERS else "tag"
     if not attributes.strip() or name in ("html", "body"):
-        return False
+        return why
     for found in ATTRIBUTE.finditer(attributes):
         key = (found[1] or found[5] or "").lower()
         value = found[2] or found[3] or found[4] or ""
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return "hidden"
         if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-        if key in ("class", "id", "role"):
-            words = {w.lower() for w in PIECES.findall(value)}
-            if words & MARKS or words & PAGE_HEADER and not in_article:
-                return True
-    return False
+            return "hidden"
+        if key in ("class", "id", "role") and name != "main" and why != "comments":
+            for whole in value.split():
+                words = {w.lower() for w in PIECES.findall(whole)}
+                marks = MARKS if in_article else MARKS | PAGE_HEADER
+                if words & marks and words <= marks | PLACES:
+                    why = "comments" if words & COMMENTS else why or "marked"
+    return why
+
+
+def _set_apart(found: list[Block], places: list[Place]) -> None:
+    """Set ``apart`` of the blocks: they are in an element that is apart and stays so.
+
+    A form or marked element stays apart unless most of the page's text is in it, links
+    aside, and not just more than in an article beside it.  An article or main is apart only where it is a comment, hidden, or one of the
+    small ones beside an article that stands free.
+    """
+    # Outer places come before inner ones.
+    lost: dict[Place, bool] = {}  # hidden or in a comment section
+    shut: dict[Place, bool] = {}  # inside something apart
+    for place in places:
+        around = place.around
+        lost[place] = place.why in ("hidden", "comments") or around is not None and lost[around]
+        shut[place] = bool(place.why) or around is not None and shut[around]
+    total = 0
+    for block in found:
+        inside = block.inside
+        if inside is not None and lost[inside] or _clear(block) is False:
+            continue
+        total += len(block.text)
+        if inside is not None:
+            inside.chars += len(block.text)
+            if not shut[inside]:
+                inside.free += len(block.text)
+    for place in reversed(places):
+        around = place.around
+        if around is not None:
+            around.chars += place.chars
+            around.free += place.free
+            if place.holds_article or place.name in ARTICLES and not lost[place]:
+                around.holds_article = True
+    beside = any(p.name in ARTICLES and p.free for p in places)
+
+    apart: dict[Place, bool] = {}
+    for place in places:
+        why = place.why
+        most = 2 * place.chars > total
+        if why == "marked" and place.name == "form" and place.holds_article:
+            why = ""
+        elif why == "marked" and most and (place.in_article or place.holds_article or not beside):
+            why = ""
+        elif why == "tag" and most and place.holds_article:
+            why = ""
+        inherited = place.around is not None and apart[place.around]
+        if place.name in ARTICLES and not lost[place] and not why and not beside:
+            inherited = False
+        apart[place] = bool(why) or inherited
+    for block in found:
+        block.apart = block.inside is not None and apart[block.inside]
 
 
 def classify(found: list[Block]) -> None:

@@ -247,6 +247,54 @@ def test_dropped_elements_end_where_they_do(odd):
     assert main_text(f"<p>{PARA}</p>{odd}<p>{PARA}</p>") == f"{PARA} {PARA}"
 
 
+MORE = "It was on the other side of the house that the cat and the dog were to be seen, as it is."
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<form id="aspnetForm">{}</form>',
+        '<form><fieldset><article>{}</article></fieldset></form>',
+        '<div id="page" class="has-sidebar">{}</div>',
+        '<main class="content with-sidebar">{}</main>',
+        '<main class="sidebar">{}</main>',
+        '<main><form>{}</form></main>',
+        '<article class="post no-comments">{}</article>',
+        '<div class="widget"><article class="promo">{}</article></div>',
+        '<div class="overlay"><div class="banner">{}</div></div>',
+        "<aside><article>{}</article></aside>",
+        "<header>{}",
+    ],
+)
+def test_a_wrapper_does_not_empty_the_page(around):
+    article = f"<p>{PARA}</p><div class='ad'><p>{MORE}</p></div><p>{PARA}</p><p>{PARA}</p>"
+    page = f"<body><nav><a href=/>Home</a></nav>{around.format(article)}"
+    assert main_text(page) == " ".join([PARA] * 3)
+
+
+@pytest.mark.parametrize(
+    "apart",
+    [
+        '<section class="comments">{}</section>',
+        '<section class="comments-area"><article class="comment-body">{}</article></section>',
+        '<div id="comments"><form>{}</form></div>',
+        '<div class="site-sidebar">{}</div>',
+        '<div class="sidebar"><article>{}</article></div>',
+        "<aside><article>{}</article></aside>",
+        '<div class="relatedPosts">{}</div>',
+        "<div hidden><main>{}</main></div>",
+        "<form>{}</form>",
+    ],
+)
+def test_what_is_apart_stays_apart(apart):
+    text = f"<p>{PARA}</p>" * 3
+    more = apart.format(f"<p>{MORE}</p>")
+    for page in (f"<article>{text}</article>{more}", f"<article>{text}{more}</article>"):
+        assert main_text(page) == " ".join([PARA] * 3)
+    if "<article" not in apart:
+        assert main_text(f"<div>{text}{more}</div>") == " ".join([PARA] * 3)
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<p a='>x", "</p></div>", "<!-- x"])
 def test_main_text_of_broken_pages(page):
     assert isinstance(main_text(page), str)
