@@ -1,8 +1,9 @@
 """Main text of web pages by two-pass block rules.
 
 A page becomes blocks of text.  The first pass decides on the clear ones by where they
-stand, the share of text in links, length and the density of stop words; the second lets
-what is left inherit from the nearest decided neighbours.
+stand, the share of text in links, length and, where the page is in a language of the list,
+the density of stop words; the second lets what is left inherit from the nearest decided
+neighbours.
 """
 
 from __future__ import annotations
@@ -87,6 +88,8 @@ ATTRIBUTE = re.compile(
     r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.S
 )
 WORD = re.compile(r"\w+")
+# Chinese, Japanese and Korean characters.
+WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -111,6 +114,7 @@ class Block:
     apart: bool
     link_chars: int
     inside: Place | None = None
+    density: float = 0.0  # share of stop words
     label: bool | None = None  # is it main text?
 
 
@@ -213,7 +217,11 @@ def blocks(page: str) -> list[Block]:
         if text:
             inside = open_[-1] if open_ else None
             in_article = inside is not None and inside.in_article
-            found.append(Block(text, heading, in_article, False, link_chars, inside))
+            block = Block(text, heading, in_article, False, link_chars, inside)
+            if _tells(block):
+                words = WORD.findall(text.lower())
+                block.density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+            found.append(block)
         parts, link_chars = [], 0
 
     at = i = 0
@@ -296,10 +304,10 @@ def _set_apart(found: list[Block], places: list[Place]) -> None:
         around = place.around
         lost[place] = place.why in ("hidden", "comments") or around is not None and lost[around]
         shut[place] = bool(place.why) or around is not None and shut[around]
-    total = 0
+    total, listed = 0, _listed(found)
     for block in found:
         inside = block.inside
-        if inside is not None and lost[inside] or _clear(block) is False:
+        if inside is not None and lost[inside] or _clear(block, listed) is False:
             continue
         total += len(block.text)
         if inside is not None:
@@ -335,15 +343,18 @@ def _set_apart(found: list[Block], places: list[Place]) -> None:
 
 def classify(found: list[Block]) -> None:
     """Label the blocks of a page in place, in two passes."""
+    listed = _listed(found)
     for block in found:
-        block.label = _clear(block)
-    # With an article on the page that has text, what stands beside it is not part of it.
-    if any(b.in_article and b.label is not False for b in found):
+        block.label = _clear(block, listed)
+    # With an article on the page that has text, what stands beside it is not part of it and
+    # says nothing about it.
+    article = any(b.in_article and b.label is not False for b in found)
+    if article:
         for block in found:
             if not block.in_article:
                 block.label = False
     # Structure says nothing about what is near it: only the rest are neighbours.
-    near = [b for b in found if not b.apart]
+    near = [b for b in found if not b.apart and (b.in_article or not article)]
     decided = [(i, b.label) for i, b in enumerate(near) if b.label is not None]
     place = 0
     for i, block in enumerate(near):
@@ -356,17 +367,35 @@ def classify(found: list[Block]) -> None:
         block.label = _inherit(block, i, before, after)
 
 
-def _clear(block: Block) -> bool | None:
+def _size(text: str) -> int:
+    """Length in characters, those of scripts that write a word in one or two as three."""
+    return len(text) if text.isascii() else len(text) + 2 * len(WIDE.findall(text))
+
+
+def _tells(block: Block) -> bool:
+    """Is it text enough, and not of links, for its words to say something?"""
+    few_links = block.link_chars <= LINKS * len(block.text)
+    return few_links and not block.heading and _size(block.text) >= SHORT
+
+
+def _listed(found: list[Block]) -> bool:
+    """Is the page as a whole in a language of the list?  Most of what tells has stop words."""
+    telling = [b for b in found if not b.apart and _tells(b)]
+    with_words = sum(_size(b.text) for b in telling if b.density >= SPARSE)
+    return 2 * with_words >= sum(_size(b.text) for b in telling)
+
+
+def _clear(block: Block, listed: bool) -> bool | None:
     """First pass: True, False, or None where the block alone does not tell."""
     if block.apart or block.link_chars > LINKS * len(block.text):
         return False
-    if len(block.text) < SHORT or block.heading:
+    if not _tells(block):
         return None
-    words = WORD.findall(block.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
-    if density >= DENSE or density >= SPARSE and len(block.text) >= LONG:
+    if not listed or block.density >= DENSE:
+        return True
+    if block.density >= SPARSE and len(block.text) >= LONG:
         return True
-    if density < SPARSE and not block.in_article and len(block.text) < LONG:
+    if block.density < SPARSE and not block.in_article and len(block.text) < LONG:
         return False
     return None
 

@@ -295,6 +295,41 @@ def test_what_is_apart_stays_apart(apart):
         assert main_text(f"<div>{text}{more}</div>") == " ".join([PARA] * 3)
 
 
+@pytest.mark.parametrize(
+    "paragraph",
+    [
+        "Кошка сидела на окне и смотрела, как во дворе играли дети и летали птицы.",
+        "Kot siedział w oknie i patrzył, jak na podwórku bawiły się dzieci i latały ptaki.",
+        "猫坐在窗台上，看着院子里的孩子们玩耍，鸟儿在树上唱歌，天气很好，大家都很高兴。",
+        "Kissa istui ikkunalla ja katseli, kuinka lapset leikkivät pihalla ja linnut lensivät.",
+    ],
+)
+def test_main_text_in_other_languages(paragraph):
+    links = "<div>" + "<a href=x>some link or other</a> " * 5 + "</div>"
+    three = " ".join([paragraph] * 3)
+    long = " ".join([paragraph] * 8)
+    page = f"{links}<p>{paragraph}</p><p>{paragraph}</p><p>{paragraph}</p>{links}"
+    assert main_text(page) == three
+    assert main_text(f"{links}<p>{paragraph}</p><p>{long}</p>{links}") == f"{paragraph} {long}"
+    assert main_text(f"{links}<div class=ad>{PARA}</div><p>{long}</p>{links}") == long
+    page = f"{links}<article><p>{paragraph}</p><p>{paragraph}</p><p>{paragraph}</p></article>"
+    assert main_text(page) == three
+
+
+def test_only_blocks_of_the_article_are_neighbours():
+    plain = "<div>Plain text that stands before the article, which nobody wants, of any sort.</div>"
+    page = f"{plain}<article><p>One.</p><p>Two.</p><p>{PARA}</p></article>{plain}"
+    assert main_text(page) == f"One. Two. {PARA}"
+    code = "x1 = f(y2); " * 10
+    page = f"{plain}<article><p>{code}</p></article>{plain}"
+    assert main_text(page) == code.strip()
+
+
+def test_sparse_blocks_stay_out_in_listed_languages():
+    sparse = "<p>Price 100 200 300 widgets gadgets sprockets flanges bolts washers nuts gears</p>"
+    assert main_text(f"<p>{PARA}</p>{sparse}<p>{MORE}</p>") == f"{PARA} {MORE}"
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<p a='>x", "</p></div>", "<!-- x"])
 def test_main_text_of_broken_pages(page):
     assert isinstance(main_text(page), str)
