@@ -21,9 +21,9 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # a run below 20 characters holds no longer one
 HEX = r"[0-9a-f]{24,}"  # whole runs: a shorter run holds no longer one
 KINDS = ("assign", "access", "hex", "entropy")
 
-# A candidate is a whole run of key characters with a digit and a letter in it.
+# A candidate is a whole run of key characters with a letter in it.
 CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])"
+    r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])"
     r"[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])"
 )
 WINDOW = 20
@@ -31,17 +31,20 @@ WINDOW = 20
 # most that 20 characters can have is 4 bits in hex and log2(20) = 4.32 otherwise.
 HEX_ONLY, HEX_BITS = r"\A[0-9a-fA-F]+\z", 3.0
 MIXED_BITS = 3.6
-# Candidates that look random but are none: dates and numbers with separators, UUIDs,
-# examples, paths of plain words, and runs that repeat one short piece.
+# What looks random but is not: dates and numbers with separators, UUIDs, paths of plain
+# words, letters that are words by their case, and runs that repeat one short piece.
 ALLOWED = (
     r"\A[0-9+/_=-]*\z",
     r"(?i)\A[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\z",
-    r"(?i)example|sample|dummy|placeholder|xxxx|0123456789|abcdefgh",
     # Possessive: a run of any number of parts is matched in a loop, not by recursion.
     r"\A(?:[a-z]+|[0-9]{1,4})(?:[/_-](?:[A-Za-z][a-z]*+|[0-9]{1,4}+))*+\z",
+    r"\A[/_=+-]*+(?:(?:(?:[A-Z]?[a-z]{2,}+)++|[A-Za-z][a-z]?|[A-Z]{1,15}+)(?:[/_=+-]++|\z))*+\z",
     r"\A(.{1,6}?)\1{2,}.{0,5}\z",
 )
 
+# Words of examples: windows that they are in do not count, others of the run do.
+EXAMPLES = r"(?i)(?:example|sample|dummy|placeholder|xxxx|0123456789|abcdefgh)[/_=+-]*+"
+
 SPAN = "array<struct<start:int,rank:int,end:int>>"
 
 
@@ -151,40 +154,62 @@ def highest_entropy(candidate: Column, window: int = WINDOW) -> Column:
 
 
 def is_random(candidate: Column) -> Column:
-    """Does a window of the candidate reach its class's entropy, and is it not allowed?"""
-    allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | candidate.rlike(pattern)
-    least = F.when(candidate.rlike(HEX_ONLY), HEX_BITS).otherwise(MIXED_BITS)
-    return F.when(allowed, False).otherwise(highest_entropy(candidate) >= least)
+    """Does a window of the candidate reach its class's entropy, and is it not allowed?
+
+    Words of examples cut the candidate; only windows within a piece count.
+    """
+
+    def allowed(piece: Column) -> Column:
+        found = F.lit(False)
+        for pattern in ALLOWED:
+            found = found | piece.rlike(pattern)
+        return found
+
+    def reaches(piece: Column) -> Column:
+        least = F.when(piece.rlike(HEX_ONLY), HEX_BITS).otherwise(MIXED_BITS)
+        return (
+            F.when(F.char_length(piece) < WINDOW, False)
+            .when(allowed(piece), False)
+            .otherwise(highest_entropy(piece) >= least)
+        )
+
+    return F.when(allowed(candidate), False).otherwise(
+        F.exists(F.split(candidate, EXAMPLES, -1), reaches)
+    )
+
+
+def _covered(span: Column, base: Column) -> Column:
+    """Is the whole span inside spans of ``base``, which are in order?"""
+    reached = F.aggregate(
+        base,
+        span["start"],
+        lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at),
+    )
+    return reached >= span["end"]
 
 
 def spans(text: Column) -> Column:
     """All spans of a text as ``start, rank, end`` in order; ``rank`` counts in ``KINDS``.
 
-    Base spans are the pattern matches.  Entropy adds whole candidate runs; one that
-    overlaps a base span adds nothing and is left out.  Null is empty text.
+    Base spans are the pattern matches.  Entropy adds whole candidate runs; one that is
+    inside base spans adds nothing and is left out.  Null is empty text.
     """
     text = F.coalesce(text, F.lit(""))
     values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
     long_enough = F.transform(values, lambda v: F.char_length(v) >= ASSIGN_VALUE)
-    base = F.concat(
-        _spans(text, "assign", ASSIGN, long_enough),
-        _spans(text, "access", ACCESS),
-        _spans(text, "hex", HEX),
+    base = F.array_sort(
+        F.concat(
+            _spans(text, "assign", ASSIGN, long_enough),
+            _spans(text, "access", ACCESS),
+            _spans(text, "hex", HEX),
+        )
     )
     candidates = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     random = _spans(text, "entropy", CANDIDATE, F.transform(candidates, is_random))
     both = F.transform(
         F.array(F.struct(base.alias("base"), random.alias("random"))),
         lambda x: F.concat(
-            x["base"],
-            F.filter(
-                x["random"],
-                lambda r: ~F.exists(
-                    x["base"], lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])
-                ),
-            ),
+            x["base"], F.filter(x["random"], lambda r: ~_covered(r, x["base"]))
         ),
     )
     return F.array_sort(F.element_at(both, 1))
