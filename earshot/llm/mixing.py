@@ -3,7 +3,8 @@
 Targets are in words.  They are turned into whole blocks of equal size, dealt to
 sources and then to the shards of a source by highest quotient (votes divided by
 1, 3, 5, ...); a shard takes every block as often as its quota goes round, and the
-rest in a seeded order.
+rest in a seeded order.  A source of few blocks takes its target to the word instead: all
+words as often as it goes round, and the rest as one run.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2
 BLOCK_WORDS = 64
+FEW_BLOCKS = 16
 SHARD_WORDS = 250_000
 SEED = 17
 # The table of sources is copied to every task only when it is known to be this small.
@@ -114,27 +116,33 @@ def mix(
 
     ``row`` is carried along; ``key`` places it in a shard and in its seeded order.
     Returns ``row, size, source_size, target`` and what :func:`pieces` needs: the
-    row's start in its shard's stream of words, the shard's size, blocks and quota.
+    row's start in its shard's stream of words, the shard's size, blocks and quota (of a
+    small source, whose blocks are words, in words).
     Rows of size zero and a null source are rows and a source like any other; an
     empty table gives an empty mix; repeated rows each have a place of their own.
     """
     shared = targets(frame.groupBy("source").agg(F.sum("size").alias("source_size")))
-    blocks_in_all = F.round(F.sum("target").over(Window.partitionBy(F.lit(0))) / block_words)
+    small = F.col("source_size") < FEW_BLOCKS * block_words
+    in_blocks = shared.where(~small)
+    words = in_blocks.agg(F.sum("target")).first()[0] or 0
     dealt = highest_quotients(
-        shared.withColumn("votes", F.col("target")).withColumn(
-            "seats", blocks_in_all.cast("long")
+        in_blocks.withColumn("votes", F.col("target")).withColumn(
+            "seats", F.round(F.lit(words / block_words)).cast("long")
         ),
         [],
         ["rank"],
-    )
+    ).withColumn("seats", F.col("quota"))
+    in_words = shared.where(small).withColumn("seats", F.round("target").cast("long"))
+    columns = ["source", "source_size", "rank", "target", "seats"]
     by_source = kept(
-        dealt.select(
-            "source",
-            "source_size",
-            "rank",
-            "target",
-            F.col("quota").alias("seats"),
-            F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).alias("shards"),
+        dealt.select(*columns)
+        .union(in_words.select(*columns))
+        .select(
+            *columns,
+            small.alias("small"),
+            F.when(small, 1)
+            .otherwise(F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)))
+            .alias("shards"),
         )
     )
     placed = _with_source(frame, by_source).withColumn(
@@ -142,7 +150,7 @@ def mix(
     )
     shards = placed.groupBy("rank", "shard").agg(F.sum("size").alias("shard_size"))
     quotas = highest_quotients(
-        shards.join(by_source.select("rank", "seats"), "rank").withColumn(
+        shards.join(by_source.select("rank", "seats", "small"), "rank").withColumn(
             "votes", F.col("shard_size").cast("double")
         ),
         ["rank"],
@@ -151,16 +159,25 @@ def mix(
         "rank",
         "shard",
         "shard_size",
-        F.greatest(F.lit(1), F.round(F.col("shard_size") / block_words))
+        F.greatest(
+            F.lit(1),
+            F.when(F.col("small"), F.col("shard_size")).otherwise(
+                F.round(F.col("shard_size") / block_words)
+            ),
+        )
         .cast("long")
         .alias("blocks"),
         "quota",
+        "small",
     )
     order = Window.partitionBy("rank", "shard").orderBy(
         F.xxhash64(F.lit(seed + 1), "key"), "key", "size"
     )
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     stream = placed.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    places = F.when(
+        F.col("small"), F.col("blocks") - F.col("quota") % F.col("blocks") + 1
+    ).otherwise(F.col("blocks"))
     return stream.join(kept(quotas), ["rank", "shard"]).select(
         "row",
         "size",
@@ -170,7 +187,8 @@ def mix(
         "shard_size",
         "blocks",
         F.least("quota", F.col("blocks") * MOST).alias("quota"),
-        F.pmod(F.xxhash64(F.lit(seed + 2), "rank", "shard"), "blocks").alias("phase"),
+        F.pmod(F.xxhash64(F.lit(seed + 2), "rank", "shard"), places).alias("phase"),
+        "small",
     )
 
 
@@ -212,7 +230,22 @@ def pieces() -> Column:
     """``start, end, times`` of the row's words, block by block; positions within the row."""
     end = F.col("start") + F.col("size")
     blocks = F.sequence(_block_of(F.col("start")), _block_of(end - 1))
-    return F.when(F.col("size") == 0, F.array().cast(PIECES)).otherwise(
+    # Of a small source: before the run of the rest, the run, and after it.
+    rest = F.col("quota") % F.col("blocks")
+    nothing = F.lit(0).cast("long")
+    cuts = F.array(nothing, F.col("phase"), F.col("phase") + rest, F.col("shard_size"))
+    runs = F.filter(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(2)),
+            lambda j: F.struct(
+                (F.greatest(F.get(cuts, j), "start") - F.col("start")).alias("start"),
+                (F.least(F.get(cuts, j + 1), end) - F.col("start")).alias("end"),
+                (F.floor(F.col("quota") / F.col("blocks")) + (j == 1).cast("long")).alias("times"),
+            ),
+        ),
+        lambda p: p["start"] < p["end"],
+    )
+    return F.when(F.col("size") == 0, F.array().cast(PIECES)).when(F.col("small"), runs).otherwise(
         F.transform(
             blocks,
             lambda j: F.struct(

@@ -668,6 +668,26 @@ def test_mix_reaches_its_targets(spark, sf_dir, docs, texts):
         assert abs(n - expected[s]) <= 2 * mixing.BLOCK_WORDS
 
 
+def test_small_sources_reach_their_targets_to_the_word(spark):
+    sizes = {"a": [40], "b": [7, 3], "c": [1], "d": [5_000] * 4, "e": [90, 0, 100], "f": [300, 701]}
+    sizes |= {"g": [20], "h": [20_000], None: [12]}
+    rows = [(s, n) for s, some in sizes.items() for n in some]
+    frame = spark.createDataFrame(
+        [(i, s, " ".join(f"w{k}" for k in range(n)), n) for i, (s, n) in enumerate(rows)],
+        "doc_id bigint, source string, text string, n_chars bigint",
+    )
+    expected = plain_targets({s: sum(some) for s, some in sizes.items()})
+    taken, words = Counter(), Counter()
+    for row in mixing.shares(frame).collect():
+        taken[rows[row["doc_id"]][0]] += row["taken"]
+    for row in mixing.mixed_documents(frame).collect():
+        words[row["source"]] += len(row["text"].split())
+    assert taken == words
+    for s, some in sizes.items():
+        most = 2 * mixing.BLOCK_WORDS if sum(some) > 2_000 else 0.5
+        assert abs(taken[s] - expected[s]) <= most
+
+
 def test_highest_quotients_are_sainte_lague(spark):
     rng = np.random.default_rng(5)
     cases, frame = {}, []
