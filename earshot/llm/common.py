@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -80,6 +80,43 @@ def numbered(frame: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     )
 
 
+def ranked_within(
+    frame: DataFrame, group: Sequence[str], order: Sequence[Column], *names: str
+) -> DataFrame:
+    """``frame`` (stored) with ``names``: rank from 0 within a group, the group's size, a part.
+
+    A range sort over group and order gives each partition its share of a group of any size,
+    and equal rows are spread by where they stand in the input; what is joined back is a row
+    for each group and partition it reaches.  ``group`` holds no nulls, ``order`` leaves no ties
+    between rows that differ, and ``frame`` must itself be stored: its row numbers must not
+    change when a task runs again.
+    """
+    rank, size, part = names
+    spread = [*[F.col(c) for c in group], *order, F.monotonically_increasing_id()]
+    placed = kept(frame.orderBy(*spread).withColumn(part, F.spark_partition_id()))
+    counts = placed.groupBy(*group, part).agg(F.count(F.lit(1)).alias("__n"))
+    whole = Window.partitionBy(*group)  # a row for each partition that the group reaches
+    before = whole.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        *group,
+        part,
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"),
+        F.sum("__n").over(whole).alias(size),
+    )
+    within = F.row_number().over(Window.partitionBy(*group, part).orderBy(*order)) - 1
+    return (
+        placed.withColumn("__within", within)
+        .join(starts, [*group, part])
+        .withColumn(rank, F.col("__start") + F.col("__within"))
+        .select(*frame.columns, *names)
+    )
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def star_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """``node, root``: the smallest node each linked node can reach, from ``a, b`` edges.
 
