@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,15 +28,24 @@ def kept(frame: DataFrame) -> DataFrame:
 
 
 def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's batches; what Arrow keeps of those that are done goes back to the system.
+    """A task's batches; memory that those that are done leave free goes back to the system.
 
-    Python workers live on from stage to stage beside the executor's JVM, and Arrow would
-    hold on to its largest batches for as long.
+    Python workers live on from stage to stage beside the executor's JVM, and Arrow and the C
+    library would hold on to their largest working sets for as long.
     """
+    trim = _memory_trim()
     for batch in batches:
         yield batch
         del batch
         pa.default_memory_pool().release_unused()
+        trim()
+
+
+@cache
+def _memory_trim() -> Callable[[], object]:
+    """What hands the C library's free memory back, where there is such a call."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    return (lambda: trim(0)) if trim else (lambda: None)
 
 
 def remainder(doc_id: Column, divisor: int) -> Column:

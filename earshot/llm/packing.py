@@ -11,14 +11,18 @@ the patterns.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import cache
+from unicodedata import is_normalized
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -28,104 +32,164 @@ from earshot.llm.common import kept, read_documents, released
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-# Words whose ids a worker remembers; forgetting them only costs time.
-REMEMBERED = 800_000
+# Text that is split and encoded at a time.
+STEP_BYTES = 8 << 20
+# Words of letters whose ids a worker remembers, about 45 bytes each.
+REMEMBERED = 500_000
 # Marks that form pieces of their own after letters, whatever stands next to them.
 MARKS = ".,;:!?#*$%&|()\"-"
+# The one letter whose lower case is a letter and a mark.
+TURKISH_I = "\u0130"
 # Pieces of one length are numbered in groups of about this many.
 GROUP = 1_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
 
 @cache
-def _tokenizer(path: str) -> tuple[Tokenizer, np.ndarray, dict[bytes, bytes]]:
-    """The tokenizer, which of its ids end a piece of a word, and the words known so far."""
+def _tokenizer(path: str) -> tuple[Tokenizer, np.ndarray]:
+    """The tokenizer, and which of its ids end a piece of a word."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks
     tokenizer = Tokenizer.from_file(path)
     ends = np.zeros(tokenizer.get_vocab_size(), bool)
     for token, number in tokenizer.get_vocab().items():
         ends[number] = token.endswith("</w>")
-    return tokenizer, ends, {}
+    return tokenizer, ends
+
+
+@dataclass
+class Codes:
+    """Runs of ids, all in one array: run ``i`` is ``ids[starts[i]:starts[i] + lengths[i]]``."""
+
+    ids: np.ndarray
+    lengths: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def picked(self, runs: np.ndarray) -> Codes:
+        """The runs of these numbers one after another; -1 is an empty one."""
+        lengths = np.where(runs >= 0, self.lengths[runs], 0).astype(np.int32)
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+        at += np.repeat((self.starts[runs] - (ends - lengths)).astype(np.int32), lengths)
+        return Codes(self.ids[at], lengths)
+
+
+class Known:
+    """Words met so far and their codes in flat arrays; forgetting them only costs time."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.codes = Codes(np.empty(0, "<u4"), np.empty(0, np.int32))
+
+    def told(self, words: pa.Array, encode: Callable) -> Codes:
+        """The codes of different words; ``encode`` gives the ids and lengths of a list of new ones."""
+        if len(self.words) + len(words) > self.most:
+            self._forget()
+        at = pc.index_in(words, value_set=self.words)
+        fresh = words.filter(pc.is_null(at))
+        if len(fresh):
+            ids, lengths = encode(fresh.to_pylist())
+            self.codes = Codes(
+                np.append(self.codes.ids, ids),
+                np.append(self.codes.lengths, lengths).astype(np.int32),
+            )
+            at = at.to_numpy(zero_copy_only=False)
+            at[np.isnan(at)] = len(self.words) + np.arange(len(fresh))
+            self.words = pa.concat_arrays([self.words, fresh])
+        return self.codes.picked(np.asarray(at, np.int64))
 
 
-def encode(texts: list[str | None], path: str) -> Iterator[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit numbers.
+@cache
+def _known(path: str) -> Known:
+    return Known(REMEMBERED)
 
-    This tokenizer drops white space before it forms pieces, so a text's ids are
-    those of its white-space-separated words in turn, and a word is encoded once.
-    """
-    *_, known = _tokenizer(path)
-    for at in range(0, len(texts), 64):
-        if len(known) > REMEMBERED:
-            known.clear()
-        split = [_lower(text or "").split() for text in texts[at : at + 64]]
-        found = [list(map(known.get, words)) for words in split]
-        holes = [
-            [i for i, code in enumerate(codes) if code is None] if None in codes else []
-            for codes in found
-        ]
-        fresh = {words[i] for words, gaps in zip(split, holes, strict=True) for i in gaps}
-        known.update(_encode_words(fresh, path))
-        for words, codes, gaps in zip(split, found, holes, strict=True):
-            for i in gaps:
-                codes[i] = known[words[i]]
-            yield b"".join(codes)
-
-
-def _lower(text: str) -> bytes:
-    """UTF-8 with A-Z in lower case, as the tokenizer has it anyway; not near its special tokens."""
-    data = text.encode()
-    return data if b"<|" in data else data.lower()
-
-
-def _encode_words(words: set[bytes], path: str) -> dict[bytes, bytes]:
-    """Codes of words: letters and the marks after them are pieces of their own."""
-    *_, known = _tokenizer(path)
-    parts, letters, other = {}, {}, {}
-    for word in words:
-        text = word.decode()
-        stem = text.rstrip(MARKS)
-        if stem.isalpha():
-            stem_key, mark_key = stem.encode(), text[len(stem) :].encode()
-            parts[word] = stem_key, mark_key
-            letters[stem_key] = stem
-            other[mark_key] = text[len(stem) :]
-        else:
-            other[word] = text
-    codes = {b"": b""}
-    for found in (letters, other):
-        for key in found.keys() & known.keys():
-            codes[key] = known[key]
-            del found[key]
-    codes |= _encode_letters(letters, path)
-    codes |= _encode_each(other, path)
-    return codes | {word: codes[a] + codes[b] for word, (a, b) in parts.items()}
-
-
-def _encode_letters(texts: dict[bytes, str], path: str) -> dict[bytes, bytes]:
-    """Words of letters alone: each ends with an id that ends a piece, so many go as one text."""
-    tokenizer, ends, _ = _tokenizer(path)
-    codes, keys = {}, list(texts)
-    for at in range(0, len(keys), 500):
-        some = keys[at : at + 500]
-        joined = tokenizer.encode(" ".join([texts[k] for k in some]), add_special_tokens=False)
-        ids = np.array(joined.ids, "<u4")
-        stops = ((np.flatnonzero(ends[ids]) + 1) * 4).tolist()
-        if len(stops) != len(some):  # a letter that normalises to more than letters
-            codes |= _encode_each({k: texts[k] for k in some}, path)
-            continue
-        raw = ids.tobytes()
-        codes |= {
-            k: raw[start:stop] for k, start, stop in zip(some, [0, *stops], stops, strict=False)
-        }
-    return codes
 
+def encode(texts: pa.Array, path: str) -> Codes:
+    """Each text's ids; a null text has none.
 
-def _encode_each(texts: dict[bytes, str], path: str) -> dict[bytes, bytes]:
-    tokenizer, *_ = _tokenizer(path)
-    found = tokenizer.encode_batch(list(texts.values()), add_special_tokens=False)
-    return {k: np.array(c.ids, "<u4").tobytes() for k, c in zip(texts, found, strict=True)}
+    This tokenizer drops white space before it forms pieces, so a text's ids are
+    those of its white-space-separated words in turn, and each different word is encoded once.
+    """
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    # The tokenizer lower-cases too, but looks for its special tokens before it does.
+    special = pc.match_substring(texts, "<|")
+    texts = pc.if_else(special, texts, pc.ascii_lower(texts))
+    words = pc.ascii_split_whitespace(texts)
+    first, stops = words.offsets[0].as_py(), np.asarray(words.offsets)[1:]
+    words = words.flatten().dictionary_encode()
+    if not len(words):
+        return Codes(np.empty(0, "<u4"), np.zeros(len(texts), np.int64))
+    found = _encode_words(words.dictionary, path).picked(np.asarray(words.indices))
+    totals = np.append(0, np.cumsum(found.lengths, dtype=np.int64))[stops - first]
+    return Codes(found.ids, np.diff(totals, prepend=0))
+
+
+def _encode_words(words: pa.Array, path: str) -> Codes:
+    """Codes of different words: letters and the marks after them are pieces of their own."""
+    stems = pc.utf8_rtrim(words, characters=MARKS)
+    # Some letters decompose, or lower-case to a letter and a mark.
+    still = [is_normalized("NFC", stem) for stem in stems.to_pylist()]
+    plain = pc.and_(pc.utf8_is_alpha(stems), pa.array(still, pa.bool_()))
+    plain = pc.and_not(plain, pc.match_substring(stems, TURKISH_I))
+    marks = pc.replace_substring_regex(words, f"^.*[^{re.escape(MARKS)}]", "")
+    letters = pc.if_else(plain, stems, None).dictionary_encode()
+    others = pc.if_else(plain, marks, words).dictionary_encode()
+    told = _known(path).told(letters.dictionary, lambda fresh: _encode_letters(fresh, path))
+    ids, lengths = _encode_each(others.dictionary.to_pylist(), path)
+    parts = Codes(np.append(told.ids, ids), np.append(told.lengths, lengths))
+    first = pc.fill_null(letters.indices, -1)
+    both = np.stack([first, pc.add(others.indices, len(letters.dictionary))], 1)
+    found = parts.picked(both.ravel())
+    return Codes(found.ids, found.lengths.reshape(-1, 2).sum(1))
+
+
+def _encode_letters(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Words of letters alone: each ends with an id that ends a piece, so many go as one text.
+
+    All their ids, and how many each has.
+    """
+    tokenizer, ends = _tokenizer(path)
+    ids, lengths = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+    for at in range(0, len(words), 500):
+        some = words[at : at + 500]
+        joined = tokenizer.encode(" ".join(some), add_special_tokens=False)
+        found = np.array(joined.ids, "<u4")
+        counts = np.diff(np.flatnonzero(ends[found]), prepend=-1)
+        if len(counts) != len(some):  # a letter that this tokenizer does not take for one
+            found, counts = _encode_each(some, path)
+        ids.append(found)
+        lengths.append(counts)
+    return np.concatenate(ids), np.concatenate(lengths)
+
+
+def _encode_each(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    tokenizer, _ = _tokenizer(path)
+    ids, lengths = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+    for at in range(0, len(texts), 5_000):
+        found = tokenizer.encode_batch(texts[at : at + 5_000], add_special_tokens=False)
+        ids += [np.array(f.ids, "<u4") for f in found]
+        lengths.append(np.array([len(f.ids) for f in found], np.int64))
+    return np.concatenate(ids), np.concatenate(lengths)
+
+
+def in_steps(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Cuts of about ``size`` bytes, or one text if it is longer: first row and one past the last."""
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    first, total = 0, 0
+    for i, length in enumerate(lengths.tolist()):
+        if total and total + length > size:
+            yield first, i
+            first, total = i, 0
+        total += length
+    if first < len(lengths):
+        yield first, len(lengths)
 
 
 def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -135,23 +199,31 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_
     alone); only rows longer than ``capacity`` are cut.
     """
     end = struct.pack("<I", end_id)
-    size = 4 * capacity
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in released(batches):
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows = []
-            for doc_id, ids in zip(doc_ids, encode(texts, path), strict=True):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids), size)):
-                    part = ids[at : at + size]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+            for first, last in in_steps(batch.column(1), STEP_BYTES):
+                some = batch.slice(first, last - first)
+                yield pa.RecordBatch.from_arrays(_pieces(some), PIECE_NAMES)
+
+    def _pieces(batch: pa.RecordBatch) -> list[pa.Array]:
+        codes = encode(batch.column(1), path)
+        ids = memoryview(codes.ids).cast("B")
+        doc_ids, pieces, starts, lengths, sums = [], [], [], [], []
+        for doc_id, at, n in zip(
+            batch.column(0).to_pylist(), codes.starts.tolist(), codes.lengths.tolist(), strict=True
+        ):
+            for piece, start in enumerate(range(0, n + 1, capacity)):
+                stop = min(start + capacity, n + 1)
+                found = zlib.crc32(ids[4 * (at + start) : 4 * (at + min(stop, n))])
+                doc_ids.append(doc_id)
+                pieces.append(piece)
+                starts.append(start)
+                lengths.append(stop - start)
+                sums.append(zlib.crc32(end, found) if stop > n else found)
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        columns = [doc_ids, pieces, starts, lengths, sums]
+        return [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(pieces, PIECES)
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 import hashlib
 import html
 import math
+import random
 import re
+import sys
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -757,10 +761,48 @@ def test_words_encode_as_in_the_whole_text():
         " \t ",
         "́ a ﬁ Å K 한글 中文字 123abc a1b2 😀😀x ǅ ŉ ẞ ª º",
         "WORD!! word## (word) \"word\" wo-rd -- word's.",
+        "BİLGİ. İ, İ aİ,b",
+        None,
+        "",
     ]
-    for text, code in zip(odd, packing.encode(odd, path), strict=True):
-        ids = tokenizer.encode(text, add_special_tokens=False).ids
-        assert code == np.array(ids, "<u4").tobytes(), text
+    rng = random.Random(5)
+    kinds = defaultdict(list)
+    for char in map(chr, range(sys.maxunicode + 1)):
+        if unicodedata.category(char) not in ("Cs", "Cn", "Co"):
+            kinds[unicodedata.category(char)].append(char)
+    names = sorted(kinds)
+    common = "abCDé İ.,;'s 19-\n<|>"
+    for _ in range(20_000):
+        odd.append(
+            "".join(
+                rng.choice(kinds[rng.choice(names)]) if rng.random() < 0.6 else rng.choice(common)
+                for _ in range(rng.randint(1, 12))
+            )
+        )
+    want = tokenizer.encode_batch([t or "" for t in odd], add_special_tokens=False)
+    for at in range(0, len(odd), 3_000):  # words of earlier steps are remembered
+        codes = packing.encode(pa.array(odd[at : at + 3_000]), path)
+        for i, (start, n) in enumerate(zip(codes.starts, codes.lengths, strict=True)):
+            assert codes.ids[start : start + n].tolist() == want[at + i].ids, odd[at + i]
+
+
+def test_remembered_words_are_forgotten_in_time():
+    known, asked = packing.Known(5), []
+
+    def encode(words):
+        asked.append(words)
+        return np.array([len(w) for w in words], "<u4"), np.ones(len(words), np.int64)
+
+    for words in (["a", "bb"], ["bb", "ccc"], ["a", "dddd", "e"], ["a"], ["x"] ):
+        codes = known.told(pa.array(words), encode)
+        assert codes.ids.tolist() == [len(w) for w in words]
+    assert asked == [["a", "bb"], ["ccc"], ["a", "dddd", "e"], ["x"]]
+
+
+def test_steps_cover_all_texts_once():
+    texts = pa.array(["ab", None, "x" * 100, "", "cd", "ef", None])
+    assert list(packing.in_steps(texts, 4)) == [(0, 2), (2, 3), (3, 7)]
+    assert list(packing.in_steps(texts.slice(0, 0), 4)) == []
 
 
 def test_a_sequence_is_filled_as_full_as_can_be():
