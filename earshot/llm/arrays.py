@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +40,30 @@ def store(folder: str, name: str, shard: int, values: np.ndarray) -> None:
     os.replace(passing, path)
 
 
-@lru_cache(maxsize=None)
-def mapped(folder: str, name: str, shard: int, kind: str) -> np.ndarray:
-    path = f"{folder}/{name}-{shard}"
-    if not os.path.exists(path) or not os.path.getsize(path):
+_MAPS: dict[str, dict[tuple[str, int], np.ndarray]] = {}
+
+
+def mapped(folder: str, name: str, shard: int, kind: str, n: int) -> np.ndarray:
+    """A stored array of ``n`` values; a file that is not there, or not whole, raises.
+
+    A worker keeps the mappings of one folder at a time.
+    """
+    if not n:  # shards that nothing fell into have no file
         return np.empty(0, kind)
-    return np.memmap(path, kind, "r")
+    if folder not in _MAPS:
+        _MAPS.clear()
+        _MAPS[folder] = {}
+    known = _MAPS[folder]
+    if (name, shard) not in known:
+        path = f"{folder}/{name}-{shard}"
+        there = os.path.getsize(path) if os.path.exists(path) else None
+        if there != n * np.dtype(kind).itemsize:
+            raise RuntimeError(
+                f"{path} should hold {n} values, this machine finds {there} bytes: the folder has "
+                "to be the same on all machines"
+            )
+        known[name, shard] = np.memmap(path, kind, "r")
+    return known[name, shard]
 
 
 def runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:

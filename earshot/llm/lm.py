@@ -147,6 +147,12 @@ class Model:
     discounts: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)  # of pairs seen 0, 1, 2, more times
     word_discounts: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
     n_pairs: int = 0
+    pair_sizes: tuple[int, ...] = ()  # of each shard of pairs
+
+    def field(self, name: str, shard: int, kind: str) -> np.ndarray:
+        """A field of the words of a shard."""
+        size = self.first_ids[shard + 1] - self.first_ids[shard]
+        return mapped(self.folder, name, shard, kind, size)
 
     @property
     def n_words(self) -> int:
@@ -166,7 +172,7 @@ class Model:
         """Ids of sorted hashes, -1 where a word is not known."""
         found = np.full(len(hashes), -1, np.int64)
         for shard, a, b in runs(self.word_shard(hashes)):
-            known = mapped(self.folder, "hash", shard, "<u8")
+            known = self.field("hash", shard, "<u8")
             at = places(known, hashes[a:b])
             found[a:b] = np.where(at >= 0, at + self.first_ids[shard], -1)
         return found
@@ -176,7 +182,7 @@ class Model:
         found = np.empty(len(ids), np.dtype(kind).newbyteorder("="))
         shards = np.searchsorted(np.array(self.first_ids), ids, side="right") - 1
         for shard, a, b in runs(shards):
-            values = mapped(self.folder, name, shard, kind)
+            values = self.field(name, shard, kind)
             found[a:b] = values[ids[a:b] - self.first_ids[shard]]
         return found
 
@@ -184,11 +190,12 @@ class Model:
         """Training counts of pairs."""
         shards = self.pair_shard(keys)
         order = np.lexsort((keys, shards))
-        found = np.zeros(len(keys), np.uint32)
+        found = np.zeros(len(keys), np.uint64)
         for shard, a, b in runs(shards[order]):
             some = order[a:b]
-            at = places(mapped(self.folder, "pair", shard, "<u8"), keys[some])
-            counts = mapped(self.folder, "pair_count", shard, "<u4")
+            size = self.pair_sizes[shard]
+            at = places(mapped(self.folder, "pair", shard, "<u8", size), keys[some])
+            counts = mapped(self.folder, "pair_count", shard, "<u8", size)
             found[some[at >= 0]] = counts[at[at >= 0]]
         return found
 
@@ -261,13 +268,18 @@ def _learn_words(rows: DataFrame, model: Model) -> Model:
     firsts = tuple(int(n) for n in np.append(0, np.cumsum(sizes)))
     if firsts[-1] >= 1 << 32:
         raise ValueError("more than 2**32 different words")
+    model = replace(model, first_ids=firsts, n_tokens=total)
     # Words above a quarter of a shard's share: at most four times as many as shards.
     least = max(1000, total // (4 * model.shards))
-    busy = []
-    for shard in stored:
-        counts = mapped(model.folder, "count", shard, "<u8")
-        busy += [firsts[shard] + int(i) for i in np.flatnonzero(counts > least)]
-    return replace(model, first_ids=firsts, n_tokens=total, busy=tuple(sorted(busy)))
+
+    def busiest(batches):
+        for batch in batches:
+            for shard in batch.column("id").to_pylist():
+                at = np.flatnonzero(model.field("count", shard, "<u8") > least)
+                yield pa.RecordBatch.from_arrays([pa.array(firsts[shard] + at)], ["id"])
+
+    found = rows.sparkSession.range(0, model.shards).mapInArrow(busiest, "id bigint").collect()
+    return replace(model, busy=tuple(sorted(row["id"] for row in found)))
 
 
 def _pairs(model: Model, texts: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -295,7 +307,7 @@ def _learn_pairs(rows: DataFrame, model: Model) -> Model:
         shard = key[0].as_py()
         pairs, counts = _merged(table)
         store_array(model.folder, "pair", shard, pairs)
-        store_array(model.folder, "pair_count", shard, counts.astype("<u4"))
+        store_array(model.folder, "pair_count", shard, counts.astype("<u8"))
         out = {"shard": [], "what": [], "ids": [], "counts": []}
         seen = np.minimum(counts, 3)
         sides = [("after", pairs & np.uint64(0xFFFFFFFF))]
@@ -311,7 +323,7 @@ def _learn_pairs(rows: DataFrame, model: Model) -> Model:
         histogram = np.array([(counts == k).sum() for k in (1, 2, 3, 4)], "<u8")
         out["shard"].append(-1)
         out["what"].append("histogram")
-        out["ids"].append(b"")
+        out["ids"].append(np.array([shard, len(pairs)], "<u8").tobytes())
         out["counts"].append(histogram.tobytes())
         return pa.table(out, pa.schema(_SENT))
 
@@ -320,7 +332,8 @@ def _learn_pairs(rows: DataFrame, model: Model) -> Model:
         .groupBy("shard")
         .applyInArrow(store, "shard int, what string, ids binary, counts binary")
     )
-    histograms = sent.where("shard = -1").select("counts").collect()  # one row per shard
+    histograms = sent.where("shard = -1").select("ids", "counts").collect()  # one row per shard
+    sizes = dict(np.frombuffer(row["ids"], "<u8").tolist() for row in histograms)
     total = sum(
         (np.frombuffer(row["counts"], "<u8") for row in histograms), np.zeros(4, np.uint64)
     )
@@ -336,7 +349,7 @@ def _learn_pairs(rows: DataFrame, model: Model) -> Model:
             at = np.frombuffer(ids.as_py(), "<u4")
             fields[what.as_py()][at] += np.frombuffer(counts.as_py(), "<u4")
         mass = sum(d * fields[f"times{k}"] for k, d in enumerate(discounts, 1))
-        seen = mapped(model.folder, "count", shard, "<u8")
+        seen = model.field("count", shard, "<u8")
         store_array(model.folder, "after", shard, fields["after"].astype("<u4"))
         store_array(model.folder, "left", shard, (mass / seen).astype("<f8"))
         after = fields["after"]
@@ -354,6 +367,7 @@ def _learn_pairs(rows: DataFrame, model: Model) -> Model:
         discounts=(0.0, *discounts),
         word_discounts=(float(left), *words),
         n_pairs=int(found[5]),
+        pair_sizes=tuple(sizes.get(shard, 0) for shard in range(model.shards)),
     )
 
 

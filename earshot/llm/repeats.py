@@ -20,7 +20,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ LOWEST = -(1 << 63)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 HIGH, LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 
+# Rounds whose names are stored with the document that has them first.
+OWNED = ("tile", "window")
 SENT = "shard int, names binary, owners binary, counts binary"
 
 
@@ -126,6 +128,8 @@ class Chunk:
 class Rounds:
     folder: str
     shards: int
+    # How many names each shard stored, by round; tasks get those of the rounds before theirs.
+    sizes: dict[str, list[int]] = field(default_factory=dict)
 
     def repeated(self, name: str, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which names occur more than once in the corpus, and which document has them first."""
@@ -133,11 +137,12 @@ class Rounds:
         again = np.zeros(len(distinct), bool)
         first = np.zeros(len(distinct), np.int64)
         for shard, a, b in arrays.runs(arrays.range_shard(distinct, self.shards)):
-            known = arrays.mapped(self.folder, name, shard, "<u8")
+            size = self.sizes[name][shard]
+            known = arrays.mapped(self.folder, name, shard, "<u8", size)
             at = arrays.places(known, distinct[a:b])
             again[a:b] = at >= 0
-            owners = arrays.mapped(self.folder, f"{name}_owner", shard, "<i8")
-            if len(owners):
+            if size and name in OWNED:
+                owners = arrays.mapped(self.folder, f"{name}_owner", shard, "<i8", size)
                 first[a:b] = owners[np.maximum(at, 0)]
         return again[inverse], first[inverse]
 
@@ -239,8 +244,9 @@ def _sent(parts: Iterator[tuple[np.ndarray, np.ndarray]], shards: int, with_owne
         yield send()
 
 
-def _run_round(docs: DataFrame, rounds: Rounds, name: str, parts_of, with_owners: bool) -> None:
+def _run_round(docs: DataFrame, rounds: Rounds, name: str, parts_of) -> None:
     """Send ``parts_of(chunk)`` of all chunks; store the names met more than once."""
+    with_owners = name in OWNED
 
     def send(batches):
         chunks = (Chunk(np.array(ids), texts) for ids, texts in _chunks(batches))
@@ -262,11 +268,11 @@ def _run_round(docs: DataFrame, rounds: Rounds, name: str, parts_of, with_owners
         arrays.store(rounds.folder, name, shard, names[again])
         if with_owners:
             arrays.store(rounds.folder, f"{name}_owner", shard, first[again])
-        return pa.table({"n": [int(again.sum())]})
+        return pa.table({"shard": [shard], "n": [int(again.sum())]})
 
-    docs.mapInArrow(send, SENT).groupBy("shard").applyInArrow(meet, "n bigint").agg(
-        F.sum("n")
-    ).collect()
+    met = docs.mapInArrow(send, SENT).groupBy("shard").applyInArrow(meet, "shard bigint, n bigint")
+    sizes = {row["shard"]: row["n"] for row in met.collect()}  # one row per shard
+    rounds.sizes[name] = [sizes.get(shard, 0) for shard in range(rounds.shards)]
 
 
 def _chunks(batches):
@@ -304,9 +310,9 @@ def stripped(docs: DataFrame, folder: str | None = None) -> DataFrame:
         _, at = rounds.settled(chunk)
         return chunk.names100(at), chunk.owner(at)
 
-    _run_round(rows, rounds, "gram", grams, with_owners=False)
-    _run_round(rows, rounds, "tile", tiles, with_owners=True)
-    _run_round(rows, rounds, "window", windows, with_owners=True)
+    _run_round(rows, rounds, "gram", grams)
+    _run_round(rows, rounds, "tile", tiles)
+    _run_round(rows, rounds, "window", windows)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, places, texts in arrays.texts_in_chunks(batches, CHUNK, "doc_id", "place"):
