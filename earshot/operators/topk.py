@@ -39,12 +39,14 @@ _FOUND = "id int, recommendations array<struct<sourceId:int,rating:float>>"
 _CARRIED = f"{_FOUND}, features array<float>, kth_key bigint"
 
 
-def recommend_for_all_users(model: ALSModel, k: int, **sizes: int) -> DataFrame:
+def recommend_for_all_users(
+    model: ALSModel, k: int, rated: DataFrame | None = None, **sizes: int
+) -> DataFrame:
     """``userId, recommendations``: the k best items of each user in the model.
 
-    Items a user has already rated are kept in.
+    Items a user has already rated are kept in unless ``rated`` names them.
     """
-    return top_k_items(model.userFactors, model.itemFactors, k, **sizes)
+    return top_k_items(model.userFactors, model.itemFactors, k, rated=rated, **sizes)
 
 
 def top_k_items(
@@ -53,12 +55,15 @@ def top_k_items(
     k: int,
     shard_items: int | None = None,
     group_users: int | None = None,
+    rated: DataFrame | None = None,
 ) -> DataFrame:
     """``userId, recommendations`` from two ``(id int, features array<float>)`` tables.
 
     Both tables are scanned several times, so pass stored ones (a saved model's).
     Each array runs from the highest score down, ties by lower item id, and holds
-    ``min(k, number of items)`` entries.
+    ``min(k, number of items)`` entries, of the items that ``rated`` (``userId, sourceId``,
+    repeats allowed) does not name for the user.  Scores to beat are those of what is left, so the
+    bounds stay exact; a user who has rated everything gets an empty array.
     """
     if k < 1:
         raise ValueError(f"k must be at least 1, got {k}")
@@ -86,16 +91,41 @@ def top_k_items(
         F.lit(0).alias("shard"),
     )
     single = len(shards.top_norms) == 1
-    first = _meet(everyone, blocks, {0: n_users}, group_users, k, carry=not single)
+    if rated is not None:
+        ensure_checkpoint_dir(spark)
+        rated = _rated_by_shard(rated, shards.assign(items)).checkpoint()
+    first = _meet(everyone, blocks, {0: n_users}, group_users, k, not single, rated)
     if single:
         return first.select(F.col("id").alias("userId"), "recommendations")
 
     ensure_checkpoint_dir(spark)
-    return _next_rounds(first, shards, blocks, group_users, k)
+    return _next_rounds(first, shards, blocks, group_users, k, rated)
+
+
+def _rated_by_shard(rated: DataFrame, sharded: DataFrame) -> DataFrame:
+    """``id, shard, rated``: per user and shard the ids to leave out, no longer than a shard.
+
+    Items the model does not have need no leaving out.
+    """
+    pairs = rated.select(
+        F.col("userId").cast("int").alias("id"), F.col("sourceId").cast("int").alias("item")
+    )
+    known = sharded.select(F.col("id").alias("item"), "shard")
+    return (
+        pairs.distinct()
+        .join(known, "item")
+        .groupBy("id", "shard")
+        .agg(F.sort_array(F.collect_list("item")).alias("rated"))
+    )
 
 
 def _next_rounds(
-    state: DataFrame, shards: _Shards, blocks: DataFrame, group_users: int, k: int
+    state: DataFrame,
+    shards: _Shards,
+    blocks: DataFrame,
+    group_users: int,
+    k: int,
+    rated: DataFrame | None,
 ) -> DataFrame:
     """Further shards by batches of 1, 2, 4, ...; a user leaves when none left can matter.
 
@@ -106,7 +136,8 @@ def _next_rounds(
     low, batch = 1, 1
     while low < n_shards:
         high = min(low + batch, n_shards)
-        state = state.withColumn("shards", shards.still_possible(k, low, high)).checkpoint()
+        possible = shards.still_possible(k, low, high, lowest_first=rated is None)
+        state = state.withColumn("shards", possible).checkpoint()
         left = state.where(F.size("shards") > 0)
         done.append(state.where(F.size("shards") == 0))
         pending = left.select(
@@ -116,10 +147,16 @@ def _next_rounds(
         waiting = {r["shard"]: r["count"] for r in pending.groupBy("shard").count().collect()}
         if not waiting:
             break
-        found = _meet(pending, blocks, waiting, group_users, k, carry=False)
+        found = _meet(pending, blocks, waiting, group_users, k, False, rated)
         best = _merge(left.select("id", "recommendations").unionByName(found), k)
         carried = left.select(F.col("id").alias("userId"), "features", "kth_key")
-        state = best.join(carried, "userId").withColumnRenamed("userId", "id")
+        # A user for whom all items so far were left out has none yet.
+        none = F.array().cast(RECOMMENDATIONS["recommendations"].dataType)
+        state = (
+            carried.join(best, "userId", "left")
+            .withColumn("recommendations", F.coalesce("recommendations", none))
+            .withColumnRenamed("userId", "id")
+        )
         low, batch = high, 2 * batch
     else:
         done.append(state)
@@ -201,15 +238,22 @@ class _Shards:
             .alias("shard"),
         )
 
-    def still_possible(self, k: int, low: int, high: int) -> Column:
-        """Shards from ``low`` up to ``high`` that could hold one of the user's k best items."""
+    def still_possible(self, k: int, low: int, high: int, lowest_first: bool) -> Column:
+        """Shards from ``low`` up to ``high`` that could hold one of the user's k best items.
+
+        A user whose factors are all zero is done with the first shard if it holds the k
+        lowest ids that such a user gets.
+        """
         bound = norm(F.col("features")) * SLACK
         kth = F.get(F.col("recommendations.rating"), F.lit(k - 1)).cast("double")
         tops = F.array(*[F.lit(float(top)) for top in self.top_norms])
         return F.filter(
             F.sequence(F.lit(low), F.lit(high - 1)),
             lambda shard: kth.isNull()
-            | ((bound > 0) & (bound * F.element_at(tops, shard + 1) >= kth)),
+            | (
+                (bound > 0 if lowest_first else F.lit(True))
+                & (bound * F.element_at(tops, shard + 1) >= kth)
+            ),
         )
 
 
@@ -243,6 +287,7 @@ def _meet(
     group_users: int,
     k: int,
     carry: bool,
+    rated: DataFrame | None,
 ) -> DataFrame:
     """Bring groups of users together with the shard each of their rows names.
 
@@ -258,6 +303,8 @@ def _meet(
     partitions = max(min(total, cores), min(math.ceil(total / 8), MAX_PARTITIONS))
 
     group = F.pmod(F.xxhash64("id"), _at(groups, F.col("shard"))).cast("int")
+    if rated is not None:
+        users = users.join(rated, ["id", "shard"], "left")
     left = users.withColumn("group", group).repartition(partitions, "shard", "group")
     copies = blocks.where(F.col("shard").isin([s for s, n in enumerate(groups) if n])).select(
         F.col("shard").alias("item_shard"),

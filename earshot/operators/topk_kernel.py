@@ -35,7 +35,8 @@ def read_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def best_items(users: pa.Table, blocks: pa.Table, k: int, carry: bool) -> pa.Table:
     """The k best items of the shard for each user, only those above its floor.
 
-    With ``carry`` also the user's vector and k-th best key, for another round.
+    With ``carry`` also the user's vector and k-th best key, for another round.  A column
+    ``rated`` holds ids that are not for the user.
     """
     n = users.num_rows
     floor = users["floor_key"].fill_null(NOTHING).to_numpy()
@@ -48,19 +49,56 @@ def best_items(users: pa.Table, blocks: pa.Table, k: int, carry: bool) -> pa.Tab
         norms = np.sqrt(np.einsum("ij,ij->i", items, items))
         by_norm = np.argsort(-norms, kind="stable")
         items, item_ids, norms = items[by_norm], item_ids[by_norm], norms[by_norm]
+        barred = _barred(users, item_ids)
         at_once = max(1, min(USERS_AT_ONCE, 4_000_000 // (k + ITEMS_AT_ONCE)))
         for start in range(0, n, at_once):
             part = slice(start, start + at_once)
-            _improve(keys[part], vectors[part], items, item_ids, norms)
+            _improve(keys[part], vectors[part], items, item_ids, norms, barred.part(part))
     return _table(users, keys, floor, carry)
 
 
+class Barred:
+    """Pairs of a user's row and an item's place that are out, by row, then place."""
+
+    def __init__(self, rows: np.ndarray, places: np.ndarray) -> None:
+        order = np.lexsort((places, rows))
+        self.rows, self.places = rows[order], places[order]
+
+    def part(self, rows: slice) -> Barred:
+        """Those of some rows, numbered from the first."""
+        low, high = np.searchsorted(self.rows, (rows.start, rows.stop))
+        return Barred(self.rows[low:high] - rows.start, self.places[low:high])
+
+    def strike(self, keys: np.ndarray, rows: np.ndarray, start: int) -> None:
+        """Take them out of ``keys``: of these rows, items from place ``start`` on."""
+        at = np.searchsorted(rows, self.rows)
+        at[at == len(rows)] = 0
+        here = (self.places >= start) & (self.places < start + keys.shape[1])
+        here &= rows[at] == self.rows
+        keys[at[here], self.places[here] - start] = NOTHING
+
+
+def _barred(users: pa.Table, item_ids: np.ndarray) -> Barred:
+    if "rated" not in users.column_names:
+        return Barred(np.empty(0, np.int64), np.empty(0, np.int64))
+    lists = users["rated"].combine_chunks()
+    counts = lists.value_lengths().fill_null(0).to_numpy()
+    ids = lists.flatten().to_numpy()
+    rows = np.repeat(np.arange(len(counts)), counts)
+    by_id = np.argsort(item_ids, kind="stable")
+    place = np.searchsorted(item_ids[by_id], ids)
+    place[place == len(item_ids)] = 0
+    there = item_ids[by_id[place]] == ids
+    return Barred(rows[there], by_id[place[there]])
+
+
 def _improve(
     keys: np.ndarray,
     vectors: np.ndarray,
     items: np.ndarray,
     item_ids: np.ndarray,
     norms: np.ndarray,
+    barred: Barred,
 ) -> None:
     """Raise each row of ``keys`` to the best seen, skipping users who are done."""
     k = keys.shape[1]
@@ -79,6 +117,7 @@ def _improve(
         rows, scores = rows[hit], scores[hit]
         if len(rows):
             found = sort_keys(scores, item_ids[None, start : start + ITEMS_AT_ONCE])
+            barred.strike(found, rows, start)
             both = np.concatenate([keys[rows], found], axis=1)
             keys[rows] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
 

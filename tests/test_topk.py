@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from earshot.operators.topk import flatten, item_ids, top_k_items
 from earshot.operators.topk_kernel import NOTHING, read_keys, sort_keys
@@ -116,3 +117,55 @@ def test_sort_keys_order_and_round_trip():
     assert (back_scores == scores).all() and (back_ids == ids).all()
     best = np.argsort(-keys.astype(object))
     assert list(best) == [5, 0, 4, 2, 1, 3, 6]
+
+
+@pytest.mark.parametrize("shard_items", [None, 7, 40])
+@pytest.mark.parametrize("k", [1, 4])
+def test_what_is_rated_is_left_out(spark, k, shard_items):
+    rng = np.random.default_rng(5)
+    users = rng.normal(size=(30, 3)).astype(np.float32)
+    items = rng.normal(size=(90, 3)).astype(np.float32)
+    users[3] = 0  # ties on every item, and gets the lowest ids that are left
+    users[4] = 0
+    items[10:20] = items[10]
+    rated = {u: {int(i) for i in rng.choice(90, 15)} for u in range(30)}
+    rated[3] = {0, 1, 2, 5}
+    rated[4] = set(range(60))
+    rated[5] = set(range(90))  # nothing left
+    rated[6] = set(range(89))
+    rated[7] = set()
+    # A user whose best items are all taken must look beyond the first shards.
+    rated[8] = {int(i) for i in np.argsort(-np.linalg.norm(items, axis=1))[:70]}
+
+    def factors(rows):
+        return spark.createDataFrame(
+            [(i, [float(x) for x in v]) for i, v in enumerate(rows)], "id int, features array<float>"
+        )
+
+    pairs = [(u, i) for u, chosen in rated.items() for i in chosen] * 2
+    pairs += [(1, 5000), (999, 3), (None, 4), (4, None)]
+    left_out = spark.createDataFrame(pairs, "userId int, sourceId int")
+    found = {
+        r["userId"]: [(e["sourceId"], e["rating"]) for e in r["recommendations"]]
+        for r in top_k_items(
+            factors(users), factors(items), k, shard_items=shard_items, rated=left_out
+        ).collect()
+    }
+    scores = (users.astype(np.float64) @ items.astype(np.float64).T).astype(np.float32)
+    for u in range(30):
+        order = sorted(
+            (i for i in range(90) if i not in rated[u]), key=lambda i: (-scores[u, i], i)
+        )[:k]
+        assert [i for i, _ in found[u]] == order, u
+        assert [s for _, s in found[u]] == pytest.approx([scores[u, i] for i in order], abs=1e-5)
+
+
+def test_leaving_nothing_out_changes_nothing(spark):
+    vectors = spark.range(50).select(
+        F.col("id").cast("int").alias("id"),
+        F.transform(F.sequence(F.lit(1), F.lit(4)), lambda j: F.sin(F.col("id") * j)).cast("array<float>").alias("features"),
+    )
+    none = spark.createDataFrame([], "userId int, sourceId int")
+    plain = top_k_items(vectors, vectors, 3, shard_items=9)
+    same = top_k_items(vectors, vectors, 3, shard_items=9, rated=none)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, same.collect()))
