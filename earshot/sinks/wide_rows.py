@@ -26,6 +26,24 @@ def count_cells(
     )
 
 
+def dated_cells(
+    rows: DataFrame, user: str, item: str, value: str, family: str, day: str
+) -> DataFrame:
+    """The same with the ``day`` of each cell's last write; of several on a day the largest."""
+    last = F.max(F.struct(F.col(day).alias("day"), F.col(value).alias("value"))).alias("last")
+    return (
+        rows.groupBy(user, item)
+        .agg(last)
+        .select(
+            row_key(F.col(user)).alias("rowkey"),
+            F.lit(family).alias("family"),
+            F.col(item).cast("string").alias("qualifier"),
+            F.col("last.value").cast("string").alias("value"),
+            F.col("last.day").cast("string").alias("day"),
+        )
+    )
+
+
 def by_row_key(cells: DataFrame) -> DataFrame:
     """Cells in ranges of row key and qualifier: a user's stand together, a busy one's in pieces."""
     return cells.repartitionByRange("rowkey", "qualifier").sortWithinPartitions(
