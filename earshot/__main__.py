@@ -19,6 +19,8 @@ JOBS = {
     "recommend": jobs.recommend,
     "load-listens": jobs.load_listens,
     "load-sings": jobs.load_sings,
+    "load-new-listens": jobs.load_new_listens,
+    "load-new-sings": jobs.load_new_sings,
 }
 
 
@@ -27,12 +29,14 @@ def show(spark: SparkSession, job: str, params: JobParams) -> None:
     if job == "train":
         preview(jobs.score_part(spark, params), "userId", "sourceId").show()
         return
-    table = {
-        "recommend": params.recommend_table,
-        "load-listens": params.listen_table,
-        "load-sings": params.sing_table,
+    path = {
+        "recommend": params.table_path(params.recommend_table),
+        "load-listens": params.table_path(params.listen_table),
+        "load-sings": params.table_path(params.sing_table),
+        "load-new-listens": params.cells_path(params.listen_table),
+        "load-new-sings": params.cells_path(params.sing_table),
     }[job]
-    rows = spark.read.parquet(params.table_path(table))
+    rows = spark.read.parquet(path)
     keys = [c for c in ("rowkey", "qualifier") if c in rows.columns]
     preview(rows, *keys).show(truncate=False)
 

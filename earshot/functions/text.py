@@ -42,3 +42,8 @@ def is_blank(text: Column) -> Column:
 
 def row_key(user: Column) -> Column:
     return F.concat(F.lit("userId:"), user.cast("string"))
+
+
+def row_key_text(user: int) -> str:
+    """The same on the driver, for a lookup."""
+    return f"userId:{user}"

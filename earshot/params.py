@@ -6,6 +6,7 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields, replace
 from datetime import date
+from itertools import product
 from typing import Any
 
 from earshot.functions.dates import dated_input_name, yesterday_text
@@ -81,6 +82,10 @@ class JobParams:
     weights: tuple[float, float, float] = (0.6, 0.2, 0.2)
     on_bad_line: str = "quarantine"
     als: AlsParams = field(default_factory=AlsParams)
+    # Settings to choose from by their validation error; none means those of ``als``.
+    grid: tuple[AlsParams, ...] = ()
+    # Whether recommendations leave out what a user has rated.
+    exclude_rated: bool = False
 
     def __post_init__(self) -> None:
         if not self.storage_root.strip():
@@ -101,6 +106,7 @@ class JobParams:
         known = {f.name for f in fields(cls)}
         values: dict[str, Any] = {}
         als: dict[str, Any] = {}
+        choices: dict[str, list[Any]] = {}
         for name, text in properties.items():
             if name in DEPLOYMENT_PROPERTIES:
                 continue
@@ -108,11 +114,18 @@ class JobParams:
             group, dot, setting = target.partition(".")
             if group == "als" and dot and setting in ALS_READERS:
                 als[setting] = ALS_READERS[setting](text)
-            elif target not in known or target in ("run_date", "als"):
+            elif group == "grid" and dot and setting in ALS_READERS:
+                choices[setting] = [ALS_READERS[setting](one) for one in text.split(",")]
+            elif target not in known or target in ("run_date", "als", "grid"):
                 raise ValueError(f"unknown job property {name!r}")
             else:
                 values[target] = READERS.get(target, str)(text)
         values["als"] = AlsParams(**als)
+        if choices:
+            values["grid"] = tuple(
+                AlsParams(**als | dict(zip(choices, chosen, strict=True)))
+                for chosen in product(*choices.values())
+            )
         values.update(overrides)
         return cls(run_date=run_date, **values)
 
@@ -150,6 +163,22 @@ class JobParams:
     def table_path(self, table: str) -> str:
         return self._under_root("tables", table)
 
+    def cells_path(self, table: str) -> str:
+        """The table of cells that days are merged into."""
+        return self._under_root("cells", table)
+
+    def ledger_path(self, table: str) -> str:
+        return self._under_root("ledger", table)
+
+    def days_path(self, record_name: str) -> str:
+        """Parsed rows of the days that were merged, a folder each."""
+        return self._under_root("parsed_days", record_name)
+
+    def dated_folder(self, record_name: str) -> str:
+        """Where the dated folders of a record's text are."""
+        folders = {"rating": self.ratings_dir, "listen": self.listen_dir, "sing": self.sing_dir}
+        return self._under_root(folders[record_name])
+
     def parsed_path(self, record_name: str) -> str:
         """Parsed rows lie under the name of their input, so that days stay apart."""
         name = {
@@ -175,8 +204,9 @@ def _weights(text: str) -> tuple[float, float, float]:
     return first, second, third
 
 
-# How the settings that are not text are read; ``als.`` stands before those of the fit.
-READERS = {"k": int, "weights": _weights}
+# How the settings that are not text are read; ``als.`` stands before those of the fit, ``grid.``
+# before lists of them to choose from.
+READERS = {"k": int, "weights": _weights, "exclude_rated": _flag}
 ALS_READERS = {
     "rank": int,
     "max_iter": int,

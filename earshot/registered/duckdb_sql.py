@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from earshot.functions.text import STRICT_FLOAT, STRICT_INT
 from earshot.operators.split import SPLITS
-from earshot.registered.spark_queries import K
+from earshot.operators.biases import SHRINK
+from earshot.registered.spark_queries import BIAS_ROUNDS, GRID, K, LATE_DAY, LOOKED_UP
 
 # -- shared pieces ------------------------------------------------------------
 
@@ -128,6 +129,54 @@ def _cells(item: str, family: str) -> str:
 _LISTENS = _counts("view", "ocId")
 _SINGS = _counts("click", "sourceId")
 
+_TOP_K_UNRATED = f"""{_EVENTS},
+scored AS (
+  SELECT u.vec_id::INT AS "userId", i.vec_id::INT AS "sourceId",
+         {_dot("u.embedding", "i.embedding")} AS rating
+  FROM embeddings u CROSS JOIN embeddings i
+  WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev."userId" = u.vec_id AND ev.item = i.vec_id)),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY "userId" ORDER BY rating DESC, "sourceId") - 1)::INT
+            AS place FROM scored),
+topk AS (SELECT * FROM ranked WHERE place < {K})"""
+
+
+def _biases(of: str, where: str = "true") -> str:
+    """Rounds of item and user biases, spelt out; the last ones are ``items_n`` and ``users_n``."""
+    parts = [
+        f"""known AS (SELECT "userId", "sourceId", rating::DOUBLE AS rating FROM {of} WHERE {where}),
+mean AS (SELECT avg(rating) AS mean FROM known),
+users_0 AS (SELECT DISTINCT "userId", 0.0::DOUBLE AS bias FROM known)"""
+    ]
+    for n in range(1, BIAS_ROUNDS + 1):
+        for side, key, other, by in (
+            ("items", "sourceId", f"users_{n - 1}", "userId"),
+            ("users", "userId", f"items_{n}", "sourceId"),
+        ):
+            parts.append(
+                f"""{side}_{n} AS (
+  SELECT k."{key}", sum(k.rating - mean - o.bias) / (count(*) + {SHRINK}) AS bias
+  FROM mean, known k JOIN {other} o ON o."{by}" = k."{by}" GROUP BY k."{key}")"""
+            )
+    return ",\n".join(parts)
+
+
+def _baseline(rows: str) -> str:
+    return f"""based AS (
+  SELECT r.*, mean + coalesce(u.bias, 0) + coalesce(i.bias, 0) AS baseline
+  FROM mean, {rows} r LEFT JOIN users_{BIAS_ROUNDS} u ON u."userId" = r."userId"
+                      LEFT JOIN items_{BIAS_ROUNDS} i ON i."sourceId" = r."sourceId")"""
+
+
+_DATED_CELLS = """SELECT 'userId:' || "userId" AS rowkey, 'lastEvent' AS family,
+       item::VARCHAR AS qualifier, max_by(event_id, (ts::DATE, event_id))::VARCHAR AS value,
+       max(ts::DATE)::VARCHAR AS day
+FROM ev {} GROUP BY "userId", item"""
+
+_DAY_COUNTS = """daily AS (
+  SELECT ts::DATE AS day, "userId", item, count(*) AS n FROM ev
+  WHERE event_type = 'view' GROUP BY ALL)"""
+
 # -- one statement per registered name ----------------------------------------
 
 ORACLE_SQL: dict[str, str] = {
@@ -277,4 +326,58 @@ SELECT DISTINCT 'userId:' || "userId" AS rowkey,
 FROM train""",
     "job_load_listens": f"WITH {_LISTENS} {_cells('ocId', 'listenCountInfo')}",
     "job_load_sings": f"WITH {_SINGS} {_cells('sourceId', 'singCountInfo')}",
+    "split_by_date_members": """WITH ranked AS (
+  SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS place, count(*) OVER () AS n
+  FROM events)
+SELECT event_id, CASE WHEN place <= n * 6 // 10 THEN 'train'
+                      WHEN place <= n * 8 // 10 THEN 'validation' ELSE 'test' END AS split
+FROM ranked""",
+    "split_by_day_members": """WITH ranked AS (
+  SELECT l_partkey, l_orderkey, l_linenumber, count(*) OVER () AS n,
+         row_number() OVER (ORDER BY l_shipdate::DATE, l_partkey, l_orderkey, l_linenumber) AS place
+  FROM lineitem)
+SELECT l_partkey, l_orderkey, l_linenumber,
+       CASE WHEN place <= n // 4 THEN 'train'
+            WHEN place <= n // 2 THEN 'validation' ELSE 'test' END AS split
+FROM ranked""",
+    "bias_predictions": f"""WITH {_RATINGS}, {_SPLIT}, {_biases("split", "split = 'train'")},
+{_baseline("split")}
+SELECT "userId", "sourceId", split, round(baseline, 6) AS baseline FROM based""",
+    "cold_pairs_filled": f"""WITH {_RATINGS}, {_PREDICTIONS}, {_biases("ratings")},
+{_baseline("predictions")}
+SELECT "userId", "sourceId", prediction IS NULL AS cold,
+       round(coalesce(prediction, baseline::FLOAT)::DOUBLE, 4) AS prediction FROM based""",
+    "als_grid_choice": f"""WITH {_EVENT_RATINGS}, {_SPLIT},
+judged AS (
+  SELECT count(*) AS n FROM split WHERE split = 'validation'
+    AND "userId" IN (SELECT "userId" FROM split WHERE split = 'train')
+    AND "sourceId" IN (SELECT "sourceId" FROM split WHERE split = 'train'))
+SELECT t.rank, t.reg, n AS n_eval, 0::BIGINT AS n_different, 0::BIGINT AS n_wrong_choice
+FROM judged, (VALUES {", ".join(f"({p.rank}, {p.reg}::DOUBLE)" for p in GRID)}) AS t(rank, reg)""",
+    "topk_unrated": f"WITH {_TOP_K_UNRATED} {_PLACED}",
+    "topk_unrated_sharded": f"WITH {_TOP_K_UNRATED} {_PLACED}",
+    "merged_loads": f"WITH {_EVENTS} {_DATED_CELLS.format('')}",
+    "cells_looked_up": f"""WITH {_EVENTS},
+busiest AS (
+  SELECT "userId" FROM ev GROUP BY "userId" ORDER BY count(*) DESC, "userId" LIMIT {LOOKED_UP})
+{_DATED_CELLS.format('WHERE "userId" IN (SELECT "userId" FROM busiest)')}""",
+    "replace_cut_off": f"WITH {_LISTENS} {_cells('ocId', 'listenCountInfo')}",
+    "job_recommend_unrated": f"""WITH {_RATINGS}, {_SPLIT},
+train AS (SELECT * FROM split WHERE split = 'train'),
+items AS (SELECT DISTINCT "sourceId" FROM train),
+met AS (
+  SELECT "userId", count(*) AS n FROM ratings
+  WHERE "sourceId" IN (SELECT "sourceId" FROM items) GROUP BY "userId")
+SELECT 'userId:' || "userId" AS rowkey,
+       least({K}, (SELECT count(*) FROM items) - n)::BIGINT AS n_cells, 0::BIGINT AS n_rated
+FROM met WHERE "userId" IN (SELECT "userId" FROM train)
+  AND (SELECT count(*) FROM items) > n""",
+    "job_load_new_days": f"""WITH {_EVENTS}, {_DAY_COUNTS}
+SELECT 'userId:' || "userId" AS rowkey, 'listenCountInfo' AS family, item::VARCHAR AS qualifier,
+       max_by(n, day)::VARCHAR AS value, max(day)::VARCHAR AS day
+FROM daily GROUP BY "userId", item""",
+    "days_loaded": f"""WITH {_EVENTS}, {_DAY_COUNTS}
+SELECT day::VARCHAR AS day, count(*) AS good_lines, 0::BIGINT AS bad_lines,
+       CASE WHEN day = DATE '{LATE_DAY}' THEN 2 ELSE 0 END AS run
+FROM daily GROUP BY 1, day""",
 }

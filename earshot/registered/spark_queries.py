@@ -6,37 +6,48 @@ import math
 from collections.abc import Callable
 from datetime import date
 
-import pandas as pd
+from pyspark.errors import PySparkException
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.functions.dates import dated_input_name
+from earshot.functions.dates import input_name
+from earshot.functions.text import row_key, row_key_text
 from earshot.functions.vectors import dot
 from earshot.operators import als
+from earshot.operators.biases import baseline, fill_cold, fit_biases
 from earshot.operators.evaluate import drop_cold, metrics, rmse
 from earshot.operators.scoring import score_pairs
-from earshot.operators.split import hash_split, random_split, split_counts
+from earshot.operators.split import hash_split, random_split, split_counts, time_split
 from earshot.operators.topk import flatten, item_ids, recommend_for_all_users, top_k_items
+from earshot.operators.tuning import choose
 from earshot.operators.upsert import last_write
 from earshot.params import AlsParams, JobParams
 from earshot.plans import jobs
 from earshot.registered import standins as given
 from earshot.schemas import LISTEN, RATING, RECOMMEND_FAMILY, SING
+from earshot.sinks.cell_store import lookup, merge_cells, read_cells
 from earshot.sinks.tables import overwrite_dates, overwrite_table, preview
 from earshot.sinks.wide_rows import (
     by_row_key,
     count_cells,
+    dated_cells,
     recommendation_cells,
     recommendation_rows,
 )
+from earshot.sources.ledger import read_ledger
 from earshot.sources.parse import parse, quarantine
 from earshot.workspace import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 K = 5
 RUN_DATE = date(2024, 1, 2)
+BIAS_ROUNDS = 3
+GRID = tuple(AlsParams(rank=rank, reg=reg, max_iter=3) for rank in (4, 8) for reg in (0.01, 0.5))
+# Row keys that a lookup asks for.
+LOOKED_UP = 20
+LATE_DAY = "2024-01-11"
 
 
 # -- scans and parsing --------------------------------------------------------
@@ -87,15 +98,10 @@ def dated_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(F.col("o_orderstatus") == "P", "  ").when(
         F.col("o_orderstatus") == "F", F.concat(F.lit(" "), "o_orderpriority", F.lit(".dat "))
     )
-
-    def rule(names: pd.Series, dates: pd.Series) -> pd.Series:
-        return pd.Series([dated_input_name(n, d) for n, d in zip(names, dates, strict=True)])
-
-    dated = F.pandas_udf(rule, "string")
     return (
         orders.groupBy(name.alias("name"), F.col("o_orderdate").cast("date").alias("run_date"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(dated("name", "run_date").alias("input_name"))
+        .groupBy(input_name(F.col("name"), F.col("run_date")).alias("input_name"))
         .agg(F.sum("n").alias("n"))
     )
 
@@ -131,6 +137,21 @@ def random_split_covers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def split_by_date_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in order of time, exact shares of them."""
+    events = given.table(spark, sf_dir, "events").select("event_id", "ts")
+    return time_split(events, "ts", ["event_id"]).select("event_id", "split")
+
+
+def split_by_day_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines in order of their day, which many share; ties go by part, order and line."""
+    lines = given.table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("day"), "l_partkey", "l_orderkey", "l_linenumber"
+    )
+    keys = ["l_partkey", "l_orderkey", "l_linenumber"]
+    return time_split(lines, "day", keys, (0.25, 0.25, 0.5)).select(*keys, "split")
+
+
 # -- score and evaluate -------------------------------------------------------
 
 
@@ -188,6 +209,24 @@ def rmse_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metric(rmse(_factor_predictions(spark, sf_dir).where(F.isnan("prediction"))))
 
 
+def bias_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rating's baseline from biases of the training split, after a few rounds."""
+    split = hash_split(given.ratings(spark, sf_dir)).checkpoint()
+    train = split.where(F.col("split") == "train")
+    biases = fit_biases(train, most_rounds=BIAS_ROUNDS, tolerance=0.0)
+    return baseline(biases, split).select(
+        "userId", "sourceId", "split", F.round("baseline", 6).alias("baseline")
+    )
+
+
+def cold_pairs_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all pairs; those that the factors do not know get the baseline."""
+    ratings = given.ratings(spark, sf_dir).checkpoint()
+    biases = fit_biases(ratings, most_rounds=BIAS_ROUNDS, tolerance=0.0)
+    filled = fill_cold(biases, _factor_predictions(spark, sf_dir))
+    return filled.select("userId", "sourceId", "cold", _round("prediction", 4))
+
+
 # -- the model ----------------------------------------------------------------
 
 _models: dict[tuple[str, str], str] = {}
@@ -308,6 +347,31 @@ def als_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def als_grid_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid of fits judged together, against each fitted and judged by itself."""
+    split = hash_split(given.event_ratings(spark, sf_dir)).checkpoint()
+    train = split.where(F.col("split") == "train").drop("split")
+    validation = split.where(F.col("split") == "validation").drop("split")
+    n_train = train.count()
+    choice = choose(train, validation, GRID, n_train)
+    alone = [
+        metrics(als.predict(als.fit(train, params, n_train), validation)).first() for params in GRID
+    ]
+    least = min(range(len(GRID)), key=lambda i: alone[i]["rmse"])
+    rows = [
+        (
+            params.rank,
+            params.reg,
+            trial.n_eval,
+            int(trial.n_eval != own["n_eval"] or abs(trial.rmse - own["rmse"]) > 1e-6 * own["rmse"]),
+            int((i == choice.best) != (i == least)),
+        )
+        for i, (params, trial, own) in enumerate(zip(GRID, choice.trials, alone, strict=True))
+    ]
+    schema = "rank int, reg double, n_eval bigint, n_different bigint, n_wrong_choice bigint"
+    return spark.createDataFrame(rows, schema)
+
+
 def model_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test pairs scored by the fitted model and by its saved copy, compared."""
     fitted = fit_model(spark, sf_dir)
@@ -341,6 +405,24 @@ def topk_scores_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _placed(top_k_items(vectors, vectors, K, shard_items=math.ceil(vectors.count() / 8)))
 
 
+def _rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What users have done with items, as often as they did: the pairs to leave out."""
+    return given.events(spark, sf_dir).select("userId", F.col("item").alias("sourceId"))
+
+
+def topk_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best items among those a user has not met in the events."""
+    vectors = given.factors(spark, sf_dir)
+    return _placed(top_k_items(vectors, vectors, K, rated=_rated(spark, sf_dir)))
+
+
+def topk_unrated_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = given.factors(spark, sf_dir)
+    shard_items = math.ceil(vectors.count() / 8)
+    rated = _rated(spark, sf_dir)
+    return _placed(top_k_items(vectors, vectors, K, shard_items=shard_items, rated=rated))
+
+
 def _placed(recommendations: DataFrame) -> DataFrame:
     return recommendations.select(
         "userId", F.posexplode("recommendations").alias("place", "entry")
@@ -484,6 +566,45 @@ def dated_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def merged_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of every third day's events, merged one by one: as one load of them all."""
+    path = scratch_root(spark, "cells")
+    dated = given.events(spark, sf_dir).withColumn("day", F.to_date("ts").cast("string"))
+    for load in (1, 0, 2):  # not in order of time
+        days = dated.where(F.dayofmonth("day") % 3 == load)
+        cells = dated_cells(days, "userId", "item", "event_id", "lastEvent", "day")
+        merge_cells(cells, path, buckets=16)
+    return read_cells(spark, path).drop("bucket")
+
+
+def cells_looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of the users with most events, by row key from the stored table."""
+    path = scratch_root(spark, "cells")
+    dated = given.events(spark, sf_dir).withColumn("day", F.to_date("ts").cast("string"))
+    cells = dated_cells(dated, "userId", "item", "event_id", "lastEvent", "day")
+    merge_cells(cells, path, buckets=16)
+    busiest = dated.groupBy("userId").count().orderBy(F.desc("count"), "userId").limit(LOOKED_UP)
+    users = [row_key_text(row["userId"]) for row in busiest.collect()]
+    return lookup(spark, path, users, buckets=16)
+
+
+def replace_cut_off(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listens, then a load of sings that fails halfway: the listens are still there."""
+    path = scratch_root(spark, "table")
+    overwrite_table(by_row_key(listen_cells(spark, sf_dir)), path)
+    failing = sing_cells(spark, sf_dir).withColumn(
+        "value",
+        F.when(F.xxhash64("rowkey", "qualifier") % 7 == 0, F.raise_error(F.lit("cut off")))
+        .otherwise(F.col("value"))
+        .cast("string"),
+    )
+    try:
+        overwrite_table(failing, path)
+    except PySparkException:
+        return spark.read.parquet(path)
+    raise AssertionError("the load did not fail")
+
+
 def preview_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(given.ratings(spark, sf_dir), "userId", "sourceId").select(
         "userId", "sourceId", _round("rating", 4)
@@ -557,6 +678,62 @@ def job_load_sings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(jobs.load_sings(spark, params).table_path)
 
 
+def job_recommend_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recommendations without what a user has rated: how many, and how many of them were rated."""
+    params, _ = _train_on(spark, sf_dir)
+    path = jobs.recommend(spark, params.with_(exclude_rated=True))
+    stored = recommendation_cells(spark.read.parquet(path), RECOMMEND_FAMILY)
+    rated = given.ratings(spark, sf_dir).select(
+        row_key(F.col("userId")).alias("rowkey"),
+        F.col("sourceId").cast("string").alias("qualifier"),
+        F.lit(1).alias("rated"),
+    )
+    return (
+        stored.join(rated, ["rowkey", "qualifier"], "left")
+        .groupBy("rowkey")
+        .agg(F.count(F.lit(1)).alias("n_cells"), F.count("rated").alias("n_rated"))
+    )
+
+
+def _day_lines(spark: SparkSession, sf_dir: str, params: JobParams, which: Column) -> None:
+    """A folder of listen lines for each day of the events that ``which`` takes."""
+    dated = given.events(spark, sf_dir).withColumn("day", F.to_date("ts").cast("string"))
+    lines = (
+        dated.where((F.col("event_type") == "view") & which)
+        .groupBy("day", "userId", "item")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("day", F.concat_ws("|", "userId", "item", "n").alias("value"))
+        .checkpoint()
+    )
+    for row in lines.select("day").distinct().collect():
+        folder = f"{params.dated_folder(LISTEN.name)}/{row['day']}.dat"
+        lines.where(F.col("day") == row["day"]).select("value").write.text(folder)
+
+
+def _load_days(spark: SparkSession, sf_dir: str) -> tuple[JobParams, list[jobs.LoadReport]]:
+    """All days but one, then nothing new, then the day that came late."""
+    params = _job_params(spark)
+    late = F.col("day") == LATE_DAY
+    _day_lines(spark, sf_dir, params, ~late)
+    reports = [jobs.load_new_listens(spark, params) for _ in range(2)]
+    _day_lines(spark, sf_dir, params, late)
+    return params, [*reports, jobs.load_new_listens(spark, params)]
+
+
+def job_load_new_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged cells after all days were loaded, the late one last."""
+    params, _ = _load_days(spark, sf_dir)
+    return read_cells(spark, params.cells_path(params.listen_table)).drop("bucket")
+
+
+def days_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger, and in which of the three runs each day was loaded."""
+    params, reports = _load_days(spark, sf_dir)
+    runs = [(day, run) for run, report in enumerate(reports) for day in report.days]
+    ledger = read_ledger(spark, params.ledger_path(params.listen_table))
+    return ledger.join(spark.createDataFrame(runs, "day string, run int"), "day")
+
+
 # -- shared shapes ------------------------------------------------------------
 
 
@@ -580,6 +757,8 @@ QUERIES: dict[str, Query] = {
     "quarantine_ratings": quarantine_ratings,
     "dated_inputs": dated_inputs,
     "split_members": split_members,
+    "split_by_date_members": split_by_date_members,
+    "split_by_day_members": split_by_day_members,
     "split_counts": split_sizes,
     "random_split_counts": random_split_counts,
     "random_split_covers": random_split_covers,
@@ -589,15 +768,20 @@ QUERIES: dict[str, Query] = {
     "cold_rows_dropped": cold_rows_dropped,
     "rmse_scored_pairs": rmse_scored_pairs,
     "rmse_empty": rmse_empty,
+    "bias_predictions": bias_predictions,
+    "cold_pairs_filled": cold_pairs_filled,
     "als_predictions": als_predictions,
     "als_metrics": als_metrics,
     "als_coverage": als_coverage,
     "als_invariants": als_invariants,
     "als_predict_agrees": als_predict_agrees,
     "als_optimality": als_optimality,
+    "als_grid_choice": als_grid_choice,
     "model_save_load": model_save_load,
     "topk_scores": topk_scores,
     "topk_scores_sharded": topk_scores_sharded,
+    "topk_unrated": topk_unrated,
+    "topk_unrated_sharded": topk_unrated_sharded,
     "recommendations_flat": recommendations_flat,
     "recommended_item_ids": recommended_item_ids,
     "recommend_all_users": recommend_all_users,
@@ -614,10 +798,16 @@ QUERIES: dict[str, Query] = {
     "recommend_cells": recommend_cells,
     "overwrite_reload": overwrite_reload,
     "dated_overwrite": dated_overwrite,
+    "merged_loads": merged_loads,
+    "cells_looked_up": cells_looked_up,
+    "replace_cut_off": replace_cut_off,
     "preview_ratings": preview_ratings,
     "preview_recommendations": preview_recommendations,
     "job_train": job_train,
     "job_recommend": job_recommend,
     "job_load_listens": job_load_listens,
     "job_load_sings": job_load_sings,
+    "job_recommend_unrated": job_recommend_unrated,
+    "job_load_new_days": job_load_new_days,
+    "days_loaded": days_loaded,
 }

@@ -17,17 +17,19 @@ NOT_A_NUMBER = "not a number"
 OUT_OF_RANGE = "out of range"
 
 
-def classify(lines: DataFrame, record: Record) -> DataFrame:
+def classify(lines: DataFrame, record: Record, *carried: str) -> DataFrame:
     """``value, reason`` plus the record's columns; ``reason`` is NULL on good lines.
 
+    ``carried`` names further columns of ``lines`` to keep.
     Fields past the third are ignored.  A number that reads well but does not fit
     (an id past 32 bits, a rating past the largest float) is out of range.
     """
     is_float = isinstance(record.value_type, T.FloatType)
     looks_value, to_value = (looks_float, to_float) if is_float else (looks_int, to_int)
 
-    fields = lines.select("value", split_fields(F.col("value")).alias("f")).select(
+    fields = lines.select("value", *carried, split_fields(F.col("value")).alias("f")).select(
         "value",
+        *carried,
         F.get("f", F.lit(0)).alias("user_text"),
         F.get("f", F.lit(1)).alias("item_text"),
         F.get("f", F.lit(2)).alias("value_text"),
@@ -40,7 +42,7 @@ def classify(lines: DataFrame, record: Record) -> DataFrame:
     # A plain projection would be repeated inside every filter on its outcome, and
     # each line parsed several times over; a generator is evaluated once per line.
     typed = fields.select(
-        "value", "user_text", "item_text", "value_text", F.inline(F.array(numbers))
+        "value", *carried, "user_text", "item_text", "value_text", F.inline(F.array(numbers))
     )
     good = (
         F.col(record.user).isNotNull()
@@ -59,7 +61,7 @@ def classify(lines: DataFrame, record: Record) -> DataFrame:
         .when(~numeric, NOT_A_NUMBER)
         .otherwise(OUT_OF_RANGE)
     )
-    return typed.select("value", reason.alias("reason"), *record.columns)
+    return typed.select("value", *carried, reason.alias("reason"), *record.columns)
 
 
 def parse(lines: DataFrame, record: Record, on_bad_line: str = "quarantine") -> DataFrame:

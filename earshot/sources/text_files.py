@@ -3,6 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from earshot.sources.ledger import DAY_FOLDER
+
+
+def scan_days(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
+    """``value, day`` of the ``part-*`` files of several days' folders, in one scan."""
+    rows = spark.read.text([f"{folder.rstrip('/')}/part-*" for folder in folders.values()])
+    day = F.regexp_extract(F.col("_metadata.file_path"), DAY_FOLDER.pattern + "/[^/]*$", 1)
+    return rows.select("value", day.alias("day"))
 
 
 def scan_lines(spark: SparkSession, folder: str) -> DataFrame:

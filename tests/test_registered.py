@@ -52,7 +52,10 @@ def test_no_rows_pass_through_the_driver():
         banned = r"\.rdd\b|toPandas|toLocalIterator|localCheckpoint|\.cache\("
         assert not re.search(banned, text), path
         collects = text.count(".collect()")
-        assert collects <= {"jobs.py": 1, "topk.py": 2}.get(path.name, 0), path
+        bounded = {"jobs.py": 2, "topk.py": 2, "split.py": 1, "cell_store.py": 1}
+        # The users that a query looks up, and the days it writes folders for.
+        bounded["spark_queries.py"] = 2
+        assert collects <= bounded.get(path.name, 0), path
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
