@@ -1,26 +1,28 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
-Targets are in words.  They are turned into whole blocks of equal size, dealt to
-sources and then to the shards of a source by highest quotient (votes divided by
-1, 3, 5, ...); a shard takes every block as often as its quota goes round, and the
-rest in a seeded order.  A source of few blocks takes its target to the word instead: all
-words as often as it goes round, and the rest as one run.
+Words are dealt to sources by highest quotient (votes divided by 1, 3, 5, ...).  A source
+takes its words in blocks of equal length, which are dealt to its shards the same way; a shard
+takes every block as often as its quota goes round, and the rest as a run of blocks in a
+seeded order of its documents.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from earshot.llm.common import WORD, kept, numbered, read_documents
+from earshot.llm.common import WORD, kept, numbered, ranked_within, read_documents
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2
 BLOCK_WORDS = 64
-FEW_BLOCKS = 16
+LEAST_BLOCKS = 1_024
 SHARD_WORDS = 250_000
 SEED = 17
+HEAVY = 1_000
 # The table of sources is copied to every task only when it is known to be this small.
 SMALL_ROWS = 50_000
 SMALL_BYTES = 4_000_000
@@ -70,114 +72,136 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFr
 
 
 def highest_quotients(parties: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """``parties`` with ``quota``: ``seats`` of a group dealt to its members by ``votes``.
+    """``parties`` (stored) with ``quota``: ``seats`` of a group dealt to its members by ``votes``.
 
-    ``seats`` is the same for all members of a group; ``order`` breaks ties.  Near
-    the proportional share only a few quotients of each party can be in doubt: as
-    many as its own share of the group moves when all others round the same way.
-    Those are ranked; everything below is seated, everything above is not.
+    ``seats`` is the same for all members of a group; ``order`` breaks ties and the group's
+    columns hold no nulls.  Near the proportional share only a few quotients of each party can
+    be in doubt: as many as its own share of the group moves when all others round the same way.
+    Those are ranked, in ranges, so that no task sees a whole group; everything below is
+    seated, everything above is not.
     """
-    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    sums = parties.withColumn("__votes", F.sum("votes").over(whole)).withColumn(
-        "__n", F.count(F.lit(1)).over(whole)
+    known = parties.withColumn("__one", F.lit(1)) if not group else parties
+    group = group or ["__one"]
+    sums = known.groupBy(*group).agg(
+        F.sum("votes").alias("__votes"), F.count(F.lit(1)).alias("__n")
+    )
+    share = F.col("votes") / F.col("__votes")
+    fair = F.when(F.col("__votes") > 0, F.floor(share * F.col("seats"))).otherwise(F.lit(0))
+    doubt = F.when(F.col("__votes") > 0, F.ceil(share * F.col("__n"))).otherwise(F.lit(0)) + 2
+    bounded = kept(
+        told(known, sums, group)
+        .withColumn("__sure", F.greatest(F.lit(0), fair - doubt).cast("long"))
+        .withColumn("__last", (fair + doubt).cast("long"))
+        .select(*known.columns, "__sure", "__last")
+    )
+    sures = bounded.groupBy(*group).agg(
+        F.sum("__sure").alias("__sures"), F.count(F.lit(1)).alias("__n")
     )
-    fair = F.when(
-        F.col("__votes") > 0, F.col("votes") * F.col("seats") / F.col("__votes")
-    ).otherwise(F.lit(0.0))
-    doubt = F.when(
-        F.col("__votes") > 0, F.ceil(F.col("votes") * F.col("__n") / F.col("__votes"))
-    ).otherwise(F.lit(0)) + 2
-    sums = sums.select(
-        *parties.columns,
-        F.greatest(F.lit(0), F.floor(fair) - doubt).cast("long").alias("__sure"),
-        (F.floor(fair) + doubt).cast("long").alias("__last"),
+    open_ = kept(
+        bounded.withColumn("__seat", F.explode(F.sequence("__sure", "__last"))).withColumn(
+            "__quotient", F.col("votes") / (2 * F.col("__seat") + 1)
+        )
     )
-    open_ = sums.withColumn("__seat", F.explode(F.sequence("__sure", "__last")))
-    quotient = F.col("votes") / (2 * F.col("__seat") + 1)
-    ranked = open_.withColumn(
-        "__place", F.row_number().over(whole.orderBy(quotient.desc(), *order, "__seat"))
-    ).withColumn("__sures", F.sum(F.when(F.col("__seat") == F.col("__sure"), F.col("__sure")))
-                 .over(whole))
-    won = (F.col("__place") <= F.col("seats") - F.col("__sures")) & (F.col("votes") > 0)
+    by_quotient = [F.col("__quotient").desc(), *[F.col(c) for c in order], F.col("__seat")]
+    ranked = ranked_within(open_, group, by_quotient, "__place", "__size", "__part")
+    won = (F.col("__place") < F.col("seats") - F.col("__sures")) & (F.col("votes") > 0)
     return (
-        ranked.groupBy(*parties.columns, "__sure")
+        told(ranked, sures, group)
+        .groupBy(*known.columns, "__sure")
         .agg(F.count_if(won).alias("__won"))
         .select(*parties.columns, (F.col("__sure") + F.col("__won")).alias("quota"))
     )
 
 
+def told(rows: DataFrame, facts: DataFrame, group: list[str]) -> DataFrame:
+    """``rows`` with the ``facts`` of their group, one row per group with its number of rows ``__n``.
+
+    Groups of more than a thousandth of all rows, fewer than a thousand, are broadcast; the
+    rows of any other group meet their facts with few others.
+    """
+    facts = kept(facts)
+    total = facts.agg(F.sum("__n")).first()[0] or 0
+    heavy = F.col("__n") * HEAVY > total
+    some = rows.join(F.broadcast(facts.where(heavy)), group, "left")
+    others = some.where(F.col("__n").isNull()).select(*rows.columns)
+    columns = [*rows.columns, *[c for c in facts.columns if c not in group]]
+    return (
+        some.where(F.col("__n").isNotNull())
+        .select(*columns)
+        .union(others.join(facts.where(~heavy), group).select(*columns))
+    )
+
+
 def mix(
     frame: DataFrame,
     block_words: int = BLOCK_WORDS,
     shard_words: int = SHARD_WORDS,
     seed: int = SEED,
 ) -> DataFrame:
-    """Decide what a mix takes of each row of ``row, key, source, size``.
+    """Decide what a mix takes of each row of ``row, key, tie, source, size``.
 
-    ``row`` is carried along; ``key`` places it in a shard and in its seeded order.
+    ``row`` is carried along; ``key`` and ``tie`` place it in a shard and in its seeded order, so
+    ``tie`` has to tell rows of one key apart unless they are alike.  Rows alike in both are
+    interchangeable and stand together.
     Returns ``row, size, source_size, target`` and what :func:`pieces` needs: the
-    row's start in its shard's stream of words, the shard's size, blocks and quota (of a
-    small source, whose blocks are words, in words).
+    row's start in its shard's stream of words, the shard's size, blocks, quota and phase.
     Rows of size zero and a null source are rows and a source like any other; an
     empty table gives an empty mix; repeated rows each have a place of their own.
+
+    A source's blocks hold ``block_words`` words, fewer in a source that would otherwise have
+    below ``LEAST_BLOCKS`` of them.  A quota beyond ``MOST`` times a shard's blocks, which rounding can
+    give by a block or two where the target is that of all words, is cut to it.
     """
     shared = targets(frame.groupBy("source").agg(F.sum("size").alias("source_size")))
-    small = F.col("source_size") < FEW_BLOCKS * block_words
-    in_blocks = shared.where(~small)
-    words = in_blocks.agg(F.sum("target")).first()[0] or 0
-    dealt = highest_quotients(
-        in_blocks.withColumn("votes", F.col("target")).withColumn(
-            "seats", F.round(F.lit(words / block_words)).cast("long")
+    words = shared.agg(F.sum("target")).first()[0] or 0
+    in_words = highest_quotients(
+        kept(
+            shared.withColumn("votes", F.col("target")).withColumn(
+                "seats", F.round(F.lit(words)).cast("long")
+            )
         ),
         [],
         ["rank"],
-    ).withColumn("seats", F.col("quota"))
-    in_words = shared.where(small).withColumn("seats", F.round("target").cast("long"))
-    columns = ["source", "source_size", "rank", "target", "seats"]
+    )
+    block = F.greatest(
+        F.lit(1), F.least(F.lit(block_words), F.floor(F.col("source_size") / LEAST_BLOCKS))
+    )
     by_source = kept(
-        dealt.select(*columns)
-        .union(in_words.select(*columns))
-        .select(
-            *columns,
-            small.alias("small"),
-            F.when(small, 1)
-            .otherwise(F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)))
-            .alias("shards"),
+        in_words.select(
+            "source",
+            "source_size",
+            "rank",
+            "target",
+            block.alias("block"),
+            F.round(F.col("quota") / block).cast("long").alias("seats"),
+            F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).alias("shards"),
         )
     )
     placed = _with_source(frame, by_source).withColumn(
-        "shard", F.pmod(F.xxhash64(F.lit(seed), "key"), "shards")
+        "shard", F.pmod(F.xxhash64(F.lit(seed), "key", "tie"), "shards")
+    )
+    shards = placed.groupBy("rank", "shard").agg(
+        F.sum("size").alias("shard_size"),
+        F.first("block").alias("block"),
+        F.first("seats").alias("seats"),
     )
-    shards = placed.groupBy("rank", "shard").agg(F.sum("size").alias("shard_size"))
     quotas = highest_quotients(
-        shards.join(by_source.select("rank", "seats", "small"), "rank").withColumn(
-            "votes", F.col("shard_size").cast("double")
-        ),
-        ["rank"],
-        ["shard"],
+        kept(shards.withColumn("votes", F.col("shard_size").cast("double"))), ["rank"], ["shard"]
     ).select(
         "rank",
         "shard",
         "shard_size",
-        F.greatest(
-            F.lit(1),
-            F.when(F.col("small"), F.col("shard_size")).otherwise(
-                F.round(F.col("shard_size") / block_words)
-            ),
-        )
-        .cast("long")
-        .alias("blocks"),
+        F.greatest(F.lit(1), F.round(F.col("shard_size") / F.col("block")).cast("long")).alias(
+            "blocks"
+        ),
         "quota",
-        "small",
     )
     order = Window.partitionBy("rank", "shard").orderBy(
-        F.xxhash64(F.lit(seed + 1), "key"), "key", "size"
+        F.xxhash64(F.lit(seed + 1), "key", "tie"), "key", "tie", "size"
     )
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     stream = placed.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    places = F.when(
-        F.col("small"), F.col("blocks") - F.col("quota") % F.col("blocks") + 1
-    ).otherwise(F.col("blocks"))
+    places = F.col("blocks") - F.col("quota") % F.col("blocks") + 1
     return stream.join(kept(quotas), ["rank", "shard"]).select(
         "row",
         "size",
@@ -188,7 +212,6 @@ def mix(
         "blocks",
         F.least("quota", F.col("blocks") * MOST).alias("quota"),
         F.pmod(F.xxhash64(F.lit(seed + 2), "rank", "shard"), places).alias("phase"),
-        "small",
     )
 
 
@@ -202,59 +225,36 @@ def _with_source(frame: DataFrame, by_source: DataFrame) -> DataFrame:
     return (
         frame.alias("d")
         .join(right, F.col("d.source").eqNullSafe(F.col("s.source")))
-        .select("row", "key", "size", "rank", "source_size", "target", "shards")
+        .select(
+            "row", "key", "tie", "size", "rank", "source_size", "target", "block", "seats", "shards"
+        )
     )
 
 
-def edge(block: Column) -> Column:
-    """The first word of a block: the blocks of a shard differ by one word at most."""
-    return F.floor(block * F.col("shard_size") / F.col("blocks")).cast("long")
-
-
-def _block_of(word: Column) -> Column:
-    return F.ceil((word + 1) * F.col("blocks") / F.col("shard_size")) - 1
-
-
-def times(block: Column) -> Column:
-    """How often the mix takes a block: the quota goes round, the rest by equal steps.
+def pieces() -> Column:
+    """``start, end, times`` of the row's words; positions within the row.
 
-    The rest are every ``blocks / rest``-th block from a seeded phase, in a stream
-    whose rows already stand in seeded order; exactly ``rest`` blocks of the shard.
+    The quota goes round all blocks as often as it can; the rest is a run of blocks from a
+    seeded phase on, in a stream whose rows already stand in seeded order.  So a row is cut at
+    most where the run begins and ends.
     """
     rest = F.col("quota") % F.col("blocks")
-    chosen = (block * rest + F.col("phase")) % F.col("blocks") < rest
-    return F.floor(F.col("quota") / F.col("blocks")) + chosen.cast("long")
+    whole = F.floor(F.col("quota") / F.col("blocks"))
+    cuts = [F.lit(0).cast("long"), edge(F.col("phase")), edge(F.col("phase") + rest), F.col("shard_size")]
+    runs = [
+        F.struct(
+            (F.greatest(first, "start") - F.col("start")).alias("start"),
+            (F.least(last, F.col("start") + F.col("size")) - F.col("start")).alias("end"),
+            (whole + int(number == 1)).alias("times"),
+        )
+        for number, (first, last) in enumerate(itertools.pairwise(cuts))
+    ]
+    return F.filter(F.array(*runs), lambda p: p["start"] < p["end"]).cast(PIECES)
 
 
-def pieces() -> Column:
-    """``start, end, times`` of the row's words, block by block; positions within the row."""
-    end = F.col("start") + F.col("size")
-    blocks = F.sequence(_block_of(F.col("start")), _block_of(end - 1))
-    # Of a small source: before the run of the rest, the run, and after it.
-    rest = F.col("quota") % F.col("blocks")
-    nothing = F.lit(0).cast("long")
-    cuts = F.array(nothing, F.col("phase"), F.col("phase") + rest, F.col("shard_size"))
-    runs = F.filter(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(2)),
-            lambda j: F.struct(
-                (F.greatest(F.get(cuts, j), "start") - F.col("start")).alias("start"),
-                (F.least(F.get(cuts, j + 1), end) - F.col("start")).alias("end"),
-                (F.floor(F.col("quota") / F.col("blocks")) + (j == 1).cast("long")).alias("times"),
-            ),
-        ),
-        lambda p: p["start"] < p["end"],
-    )
-    return F.when(F.col("size") == 0, F.array().cast(PIECES)).when(F.col("small"), runs).otherwise(
-        F.transform(
-            blocks,
-            lambda j: F.struct(
-                (F.greatest(edge(j), "start") - F.col("start")).alias("start"),
-                (F.least(edge(j + 1), end) - F.col("start")).alias("end"),
-                times(j).alias("times"),
-            ),
-        )
-    )
+def edge(block: Column) -> Column:
+    """The first word of a block: the blocks of a shard differ by one word at most."""
+    return F.floor(block * F.col("shard_size") / F.col("blocks")).cast("long")
 
 
 PIECES = "array<struct<start:bigint,end:bigint,times:bigint>>"
@@ -266,12 +266,18 @@ def words_taken(found: Column) -> Column:
     )
 
 
+def _alike(docs: DataFrame) -> Column:
+    """A hash of the whole row; maps have no order to hash."""
+    return F.xxhash64(*[F.col(f"`{name}`") for name, kind in docs.dtypes if "map<" not in kind])
+
+
 def shares(docs: DataFrame) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every row of ``doc_id, source, text``."""
     sizes = kept(
         docs.select(
             F.col("doc_id").alias("row"),
             F.col("doc_id").alias("key"),
+            _alike(docs).alias("tie"),
             "source",
             word_count(F.col("text")).alias("size"),
         )
@@ -293,7 +299,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents as the mix takes them, in the columns of ``docs``.
 
-    The mix goes over the words up to twice.  A round that takes all words of a
+    The mix goes over the words up to twice.  Documents of one id stand in the order of their
+    rows' hashes; rows that are alike are interchangeable.  A round that takes all words of a
     document returns it untouched; one that takes some returns the words of the chosen
     blocks, joined by single spaces, with ``n_chars`` (if there is such a column)
     counted anew; one that takes none returns nothing.  A document without words is
@@ -302,6 +309,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     frame = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col("doc_id").alias("key"),
+        _alike(docs).alias("tie"),
         "source",
         word_count(F.col("text")).alias("size"),
     )

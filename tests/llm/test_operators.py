@@ -692,6 +692,34 @@ def test_small_sources_reach_their_targets_to_the_word(spark):
         assert abs(taken[s] - expected[s]) <= most
 
 
+def test_the_mix_does_not_depend_on_the_layout(spark):
+    rows = [(None, f"s{i % 3}", f"text {i} " * (1 + i % 9), "en") for i in range(400)]
+    rows += [(7, "s0", "same id", "en"), (7, "s0", "other text", "en"), (7, "s0", "same id", "fr")] * 20
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, text string, lang string")
+    found = [
+        sorted(map(str, mixing.mixed_documents(layout).collect()))
+        for layout in (frame.repartition(1), frame.repartition(7, "text"))
+    ]
+    assert found[0] == found[1] and found[0]
+
+
+def test_a_mix_of_many_sources_is_dealt_in_ranges(spark):
+    rows = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 900)).alias("source"),
+        F.repeat(F.lit("w "), (F.col("id") % 40).cast("int")).alias("text"),
+    )
+    sums, taken = Counter(), Counter()
+    for row in rows.collect():
+        sums[row["source"]] += len(row["text"].split())
+    source = {r["doc_id"]: r["source"] for r in rows.collect()}
+    expected = plain_targets(sums)
+    for row in mixing.shares(rows).collect():
+        taken[source[row["doc_id"]]] += row["taken"]
+    assert all(abs(taken[s] - expected[s]) <= 4 for s in sums)
+    assert abs(sum(taken.values()) - 1.5 * sum(sums.values())) <= 10
+
+
 def test_highest_quotients_are_sainte_lague(spark):
     rng = np.random.default_rng(5)
     cases, frame = {}, []
