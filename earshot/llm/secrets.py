@@ -6,11 +6,13 @@ ends are exclusive.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from earshot.llm.common import free_names, read_documents
+from earshot.llm.common import free_names, let, read_documents
 
 # The patterns of the base kinds, in their order, and their least lengths.
 ASSIGN = (
@@ -45,38 +47,67 @@ ALLOWED = (
 # Words of examples: windows that they are in do not count, others of the run do.
 EXAMPLES = r"(?i)(?:example|sample|dummy|placeholder|xxxx|0123456789|abcdefgh)[/_=+-]*+"
 
+# Arrays are added to in blocks of this many.
+BLOCK = 64
+
 SPAN = "array<struct<start:int,rank:int,end:int>>"
 
 
+def _came_before(values: Column, zero: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """What ``add`` has made of all values before each one, ``zero`` before the first.
+
+    In blocks of :data:`BLOCK`, so that adding to an array never copies a long one.
+    """
+
+    def in_turn(some: Column, first: Column) -> Column:
+        return F.aggregate(
+            some,
+            F.struct(first.alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda s, x: F.struct(
+                add(s["at"], x).alias("at"), F.array_append(s["out"], s["at"]).alias("out")
+            ),
+            lambda s: s["out"],
+        )
+
+    def joined(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.aggregate(block, zero, add))
+        return let(
+            in_turn(totals, zero),
+            lambda firsts: F.flatten(
+                F.transform(blocks, lambda block, i: in_turn(block, F.get(firsts, i)))
+            ),
+        )
+
+    last = F.floor((F.size(values) - 1) / BLOCK).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), last), lambda b: F.slice(values, b * BLOCK + 1, F.lit(BLOCK))
+    )
+    return F.when(F.size(values) > 0, let(blocks, joined)).otherwise(F.array().cast("array<int>"))
+
+
 def _positions(text: Column, pattern: str) -> Column:
     """``start, end`` of each match, left to right, not overlapping: from the gaps between."""
     gaps = F.transform(F.split(text, pattern, -1), F.char_length)
     lengths = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.char_length)
 
-    def walk(both: Column) -> Column:
-        return F.aggregate(
-            both,
-            F.struct(
-                F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("found")
-            ),
-            lambda s, x: F.struct(
-                (s["at"] + x["gap"] + x["length"]).alias("at"),
-                F.array_append(
-                    s["found"],
-                    F.struct(
-                        (s["at"] + x["gap"]).alias("start"),
-                        (s["at"] + x["gap"] + x["length"]).alias("end"),
-                    ),
-                ).alias("found"),
+    def placed(both: Column) -> Column:
+        steps = F.transform(both, lambda x: x["gap"] + x["length"])
+        return let(
+            _came_before(steps, F.lit(0), lambda a, b: a + b),
+            lambda before: F.transform(
+                both,
+                lambda x, i: F.struct(
+                    (F.get(before, i) + x["gap"]).alias("start"),
+                    (F.get(before, i) + x["gap"] + x["length"]).alias("end"),
+                ),
             ),
-            lambda s: s["found"],
         )
 
     both = F.transform(
         F.arrays_zip(F.slice(gaps, 1, F.size(lengths)).alias("gap"), lengths.alias("length")),
         lambda x: F.struct(x["gap"].alias("gap"), x["length"].alias("length")),
     )
-    return walk(both)
+    return let(both, placed)
 
 
 def _spans(text: Column, kind: str, pattern: str, good: Column | None = None) -> Column:
@@ -97,9 +128,13 @@ def _spans(text: Column, kind: str, pattern: str, good: Column | None = None) ->
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPAN))
 
 
-def highest_entropy(candidate: Column, window: int = WINDOW) -> Column:
+def highest_entropy(
+    candidate: Column, window: int = WINDOW, enough: Column | float = float("inf")
+) -> Column:
     """The most Shannon entropy, in bits per character, of any ``window`` characters.
 
+    Ends at the first window that has ``enough``, with that window's.
+
     Slides by one character at a time: the counts of the one that enters and the one that
     leaves change, and with them the sum of ``n log n`` that the entropy follows from.
     Text shorter than the window is one window.
@@ -146,7 +181,7 @@ def highest_entropy(candidate: Column, window: int = WINDOW) -> Column:
         lambda string: F.aggregate(
             F.sequence(F.lit(1), length),
             start,
-            lambda s, at: step(s, at, string),
+            lambda s, at: F.when(s["most"] >= enough, s).otherwise(step(s, at, string)),
             lambda s: s["most"],
         ),
     )
@@ -170,7 +205,7 @@ def is_random(candidate: Column) -> Column:
         return (
             F.when(F.char_length(piece) < WINDOW, False)
             .when(allowed(piece), False)
-            .otherwise(highest_entropy(piece) >= least)
+            .otherwise(highest_entropy(piece, enough=least) >= least)
         )
 
     return F.when(allowed(candidate), False).otherwise(
@@ -178,14 +213,55 @@ def is_random(candidate: Column) -> Column:
     )
 
 
-def _covered(span: Column, base: Column) -> Column:
-    """Is the whole span inside spans of ``base``, which are in order?"""
-    reached = F.aggregate(
-        base,
-        span["start"],
-        lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at),
+def _counts_before(points: Column, queries: Column, with_equal: bool) -> Column:
+    """For each query how many points are below it (or equal); both are in order."""
+    query = 2 if with_equal else 0  # points are 1
+    merged = F.array_sort(
+        F.concat(
+            F.transform(points, lambda p: F.struct(p.alias("at"), F.lit(1).alias("what"))),
+            F.transform(queries, lambda q: F.struct(q.alias("at"), F.lit(query).alias("what"))),
+        )
+    )
+    numbered = F.transform(merged, lambda x, i: F.struct(x["what"].alias("what"), i.alias("i")))
+    asked = F.filter(numbered, lambda x: x["what"] == query)
+    return F.transform(asked, lambda x, j: x["i"] - j)
+
+
+def _uncovered(found: Column, base: Column) -> Column:
+    """The spans of ``found`` that are not wholly inside spans of ``base``; both are in order.
+
+    Spans of ``found`` do not overlap, so each span of ``base`` that starts within one is looked at
+    once; those that start before it count by how far any of them reaches.
+    """
+    starts = F.transform(base, lambda b: b["start"])
+    ends = F.transform(base, lambda b: b["end"])
+    facts = F.struct(
+        _came_before(ends, F.lit(0), lambda a, b: F.greatest(a, b)).alias("reach"),
+        _counts_before(starts, F.transform(found, lambda r: r["start"]), True).alias("low"),
+        _counts_before(starts, F.transform(found, lambda r: r["end"]), False).alias("high"),
     )
-    return reached >= span["end"]
+
+    def left(known: Column) -> Column:
+        def covered(span: Column, i: Column) -> Column:
+            low, high = F.get(known["low"], i), F.get(known["high"], i)
+            # The reach before the first span that starts later; after all, that of the last.
+            before = F.greatest(
+                F.coalesce(F.get(known["reach"], low - 1), F.lit(0)),
+                F.coalesce(F.get(ends, low - 1), F.lit(0)),
+            )
+            reached = F.aggregate(
+                F.slice(base, low + 1, F.greatest(high - low, F.lit(0))),
+                F.greatest(span["start"], before),
+                lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at),
+            )
+            return reached >= span["end"]
+
+        marked = F.transform(
+            found, lambda r, i: F.struct(r.alias("span"), covered(r, i).alias("covered"))
+        )
+        return F.transform(F.filter(marked, lambda m: ~m["covered"]), lambda m: m["span"])
+
+    return let(facts, left)
 
 
 def spans(text: Column) -> Column:
@@ -206,13 +282,12 @@ def spans(text: Column) -> Column:
     )
     candidates = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     random = _spans(text, "entropy", CANDIDATE, F.transform(candidates, is_random))
-    both = F.transform(
-        F.array(F.struct(base.alias("base"), random.alias("random"))),
-        lambda x: F.concat(
-            x["base"], F.filter(x["random"], lambda r: ~_covered(r, x["base"]))
+    return let(
+        F.struct(base.alias("base"), random.alias("random")),
+        lambda x: F.when(F.size(x["random"]) == 0, x["base"]).otherwise(
+            F.array_sort(F.concat(x["base"], _uncovered(x["random"], x["base"])))
         ),
     )
-    return F.array_sort(F.element_at(both, 1))
 
 
 def written(found: Column) -> Column:
@@ -270,42 +345,21 @@ def redacted(docs: DataFrame, mark: str = MARK) -> DataFrame:
     Rows without a span are untouched.  Overlapping spans are replaced as one.
     ``n_chars``, where there is such a column, is counted anew for rows that change.
     """
-    found, clean_text = free_names(docs.columns, "found", "clean_text")
+    found, had, clean_text = free_names(docs.columns, "found", "had", "clean_text")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     scanned = docs.select(
         *columns, F.inline(F.array(F.struct(spans(F.col("text")).alias(found))))
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     text = F.col("text")
-    clean = F.aggregate(
-        found,
-        start,
-        lambda s, x: F.when(
-            x["start"] < s["at"],  # within or overlapping the one before
-            F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["parts"].alias("parts")),
-        ).otherwise(
-            F.struct(
-                x["end"].alias("at"),
-                F.array_append(
-                    s["parts"],
-                    F.concat(
-                        F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mark)
-                    ),
-                ).alias("parts"),
-            )
-        ),
-        lambda s: F.concat(
-            F.array_join(s["parts"], ""), F.substring(text, s["at"] + 1, F.char_length(text))
-        ),
-    )
+    clean = _without(text, F.col(found), mark)
     has = F.size(found) > 0
     new_text = F.when(has, clean).otherwise(text).alias(clean_text)
     cleaned = scanned.select(
-        *columns, has.alias(found), F.inline(F.array(F.struct(new_text)))
+        *columns, has.alias(had), F.inline(F.array(F.struct(new_text)))
     )
     fresh = {
         "text": F.col(clean_text),
-        "n_chars": F.when(F.col(found), F.char_length(clean_text)).otherwise(F.col("n_chars"))
+        "n_chars": F.when(F.col(had), F.char_length(clean_text)).otherwise(F.col("n_chars"))
         if "n_chars" in docs.columns
         else None,
     }
@@ -317,5 +371,56 @@ def redacted(docs: DataFrame, mark: str = MARK) -> DataFrame:
     )
 
 
+def _without(text: Column, found: Column, mark: str) -> Column:
+    """``text`` with the spans replaced, those that overlap as one.
+
+    The text is cut at every :data:`BLOCK`-th span first, as finding a position means
+    counting characters from the start of what it is in.
+    """
+    ends = F.transform(found, lambda s: s["end"])
+
+    def kept_before(reach: Column) -> Column:
+        """For each span that does not overlap the one before: from where text is kept, to where."""
+        return F.filter(
+            F.transform(
+                found,
+                lambda s, i: F.struct(
+                    F.get(reach, i).alias("first"), s["start"].alias("last")
+                ),
+            ),
+            lambda k: k["first"] <= k["last"],
+        )
+
+    def cut(keeps: Column) -> Column:
+        def block(b: Column) -> Column:
+            some = F.slice(keeps, b * BLOCK + 1, F.lit(BLOCK))
+            low = F.get(some, F.lit(0))["first"]
+            high = F.element_at(some, -1)["last"]
+            return let(
+                F.struct(F.substring(text, low + 1, high - low).alias("text"), low.alias("low")),
+                lambda x: F.array_join(
+                    F.transform(
+                        some,
+                        lambda k: F.concat(
+                            F.substring(
+                                x["text"], k["first"] - x["low"] + 1, k["last"] - k["first"]
+                            ),
+                            F.lit(mark),
+                        ),
+                    ),
+                    "",
+                ),
+            )
+
+        blocks = F.sequence(F.lit(0), F.floor((F.size(keeps) - 1) / BLOCK).cast("int"))
+        return F.array_join(F.transform(blocks, block), "")
+
+    before = let(
+        _came_before(ends, F.lit(0), lambda a, b: F.greatest(a, b)),
+        lambda reach: let(kept_before(reach), cut),
+    )
+    return F.concat(before, F.substring(text, F.array_max(ends) + 1, F.char_length(text)))
+
+
 def _cast(value: Column, field: T.StructField) -> Column:
     return value.cast(field.dataType)

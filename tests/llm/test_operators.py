@@ -856,3 +856,63 @@ def test_patterns_use_every_piece_once():
         for n in lengths:
             used[n] += times
     assert used == counts
+
+
+# -- 6, in arrays ------------------------------------------------------------------
+
+
+def test_spans_by_blocks_are_those_of_a_walk(spark):
+    """Positions, coverage and removal over several blocks of spans."""
+    rng = random.Random(7)
+    words = ["ab", "AKIA" + "Z" * 16, "cafe" * 7, "password=hunter22", "é😀", "x" * 9]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (0, 1, 63, 64, 65, 400)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = frame.select("text", secrets._positions(F.col("text"), secrets.HEX).alias("p"))
+    for row in found.collect():
+        spans = [m.span() for m in re.finditer(secrets.HEX, row["text"])]
+        assert [tuple(p) for p in row["p"]] == spans
+
+    def random_spans(n, apart):
+        at, spans = 0, []
+        for _ in range(n):
+            at += rng.randint(apart, 6)
+            end = at + rng.randint(1, 9)
+            spans.append((at, 0, end))
+            at = end if apart else at
+        return sorted(spans)
+
+    cases = [(random_spans(n, 1), random_spans(m, 0)) for n, m in [(0, 0), (5, 0), (0, 5), (40, 90), (150, 200)] * 3]
+    kinds = f"found {secrets.SPAN}, base {secrets.SPAN}"
+    left = spark.createDataFrame(cases, kinds).select(
+        "found", "base", secrets._uncovered(F.col("found"), F.col("base")).alias("left")
+    )
+    for row in left.collect():
+        covered = {i for s, _, e in row["base"] for i in range(s, e)}
+        assert [tuple(s) for s in row["left"]] == [
+            tuple(s) for s in row["found"] if not set(range(s["start"], s["end"])) <= covered
+        ]
+
+    text = "".join(rng.choice("abé😀 ") for _ in range(1500))
+    cases = [(text, spans) for spans in (random_spans(n, 0) for n in (1, 2, 64, 65, 300))]
+    cut = spark.createDataFrame(cases, f"text string, found {secrets.SPAN}").select(
+        "found", secrets._without(F.col("text"), F.col("found"), "#").alias("cut")
+    )
+    for row in cut.collect():
+        runs = []
+        for start, _, end in row["found"]:
+            if runs and start < runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], end)
+            else:
+                runs.append([start, end])
+        at, plain = 0, ""
+        for start, end in runs:
+            plain, at = plain + text[at:start] + "#", end
+        assert row["cut"] == plain + text[at:]
+
+
+def test_entropy_ends_at_enough(spark):
+    frame = spark.createDataFrame([("a" * 30 + "bcdefghijklmnopqrstuvw",)], "c string")
+    most, some = frame.select(
+        secrets.highest_entropy(F.col("c")), secrets.highest_entropy(F.col("c"), enough=2.0)
+    ).first()
+    assert 2.0 <= some < most
