@@ -77,15 +77,19 @@ COMMENTS = frozenset("comment comments disqus reply replies respond".split())
 # Elements that hold whole pages on some sites: they are apart unless most text is in them.
 WRAPPERS = frozenset("form fieldset header".split())
 
-COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*>|<\?[^>]*>"
-TAG = r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>"
-MARKUP = re.compile(f"{COMMENT}|{TAG}", re.S)
+COMMENT_END = re.compile(r"--!?>")
+NAME = r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
+# A quote opens a value only right after its equals sign.
+VALUE = r"=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?"
+TAG = re.compile(rf"{NAME}((?:[^>=]|{VALUE})*+)>", re.S)
+# The same where a value is left open to the end of the page: quotes mean nothing.
+LOOSE_TAG = re.compile(rf"{NAME}([^>]*)>", re.S)
 RAW_TAGS = {name: re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 # A slash at the end of a tag belongs to a value without quotes, if there is one.
 BARE_VALUE = re.compile(r"=\s*[^\s\"'=>]+\Z")
 ATTRIBUTE = re.compile(
-    r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.S
+    r"([^\s=/]+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S
 )
 WORD = re.compile(r"\w+")
 # Chinese, Japanese and Korean characters.
@@ -131,17 +135,47 @@ def _tags(page: str) -> list[Tag]:
     """The page's tags and comments in order; an element of raw text is one with its content."""
     found: list[Tag] = []
     unended: set[str] = set()
+    last = page.rfind(">")
+    tag_at = TAG.match
     at = 0
-    while match := MARKUP.search(page, at):
-        closing, name, attributes = match[1] == "/", (match[2] or "").lower(), match[3] or ""
+    while 0 <= (start := page.find("<", at)) < last:
+        end, match = _comment_end(page, start, last), None
+        if end is None:
+            match = tag_at(page, start)
+            if match is None and tag_at == TAG.match and LOOSE_TAG.match(page, start):
+                # A value swallows the rest of the page: that is looked for once.
+                tag_at = LOOSE_TAG.match
+                match = tag_at(page, start)
+            if match is None:
+                at = start + 1
+                continue
+            end = match.end()
+        closing, name, attributes = False, "", ""
+        if match:
+            closing, name, attributes = match[1] == "/", match[2].lower(), match[3]
         alone = attributes.endswith("/") and not BARE_VALUE.search(attributes)
-        at = match.end()
+        at = end
         if name in RAW and not closing:
             at = _raw_end(page, at, name, alone, unended)
-        found.append(Tag(match.start(), at, closing, name, attributes, alone))
+        found.append(Tag(start, at, closing, name, attributes, alone))
+    if page.startswith("<!--", start) and start >= 0:
+        found.append(Tag(start, len(page), False, "", "", False))
     return found
 
 
+def _comment_end(page: str, start: int, last: int) -> int | None:
+    """Where what begins with ``<!`` or ``<?`` ends; None for anything else."""
+    if page[start + 1 : start + 2] not in ("!", "?"):
+        return None
+    if not page.startswith("<!--", start):
+        return page.find(">", start) + 1
+    for empty in ("<!-->", "<!--->"):
+        if page.startswith(empty, start):
+            return start + len(empty)
+    found = COMMENT_END.search(page, start + 4)
+    return found.end() if found else len(page)
+
+
 def _raw_end(page: str, at: int, name: str, alone: bool, unended: set[str]) -> int:
     """Where the raw element ends whose tag ends at ``at``."""
     if alone:  # its content is its own only if its end is what comes next of its name
@@ -195,6 +229,21 @@ def _dropped(tags: list[Tag]) -> dict[int, tuple[int, int]]:
     return ends
 
 
+# How far a link goes: one that is closed goes over blocks, one left open ends with its block.
+NO_LINK, TO_BLOCK, TO_END = 0, 1, 2
+
+
+def _closed_links(tags: list[Tag]) -> set[int]:
+    """Links that an end tag follows before another link begins."""
+    closed, ends_next = set(), False
+    for i in range(len(tags) - 1, -1, -1):
+        if tags[i].name == "a":
+            if not tags[i].closing and ends_next:
+                closed.add(i)
+            ends_next = tags[i].closing
+    return closed
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order; what is never shown is not among them."""
     tags = _tags(page)
@@ -202,13 +251,15 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     open_: list[Place] = []
     places: list[Place] = []
-    heading, link_depth, link_chars = False, 0, 0
+    heading, link_chars = False, 0
+    link, closed_links = NO_LINK, _closed_links(tags)
+    names: Counter[str] = Counter()  # of open places
     parts: list[str] = []
 
     def add(text: str) -> None:
         nonlocal link_chars
         parts.append(text)
-        if link_depth:
+        if link:
             link_chars += len(text)
 
     def close_block() -> None:
@@ -226,7 +277,7 @@ def blocks(page: str) -> list[Block]:
 
     at = i = 0
     while i < len(tags):
-        tag = tags[i]
+        tag, number = tags[i], i
         if tag.start > at:
             add(page[at : tag.start])
         i, at = dropped.get(i, (i + 1, tag.end))
@@ -234,14 +285,14 @@ def blocks(page: str) -> list[Block]:
         if name in DROPPED or name in RAW:
             if not closing:
                 close_block()
-                link_depth = 0
+                link = NO_LINK if link == TO_BLOCK else link
             continue
         if name == "a":
-            link_depth = 0 if closing else 1
+            link = NO_LINK if closing else TO_END if number in closed_links else TO_BLOCK
         if name not in BLOCKS:
             continue
         close_block()
-        link_depth = 0
+        link = NO_LINK if link == TO_BLOCK else link
         if name in HEADINGS:
             heading = not closing
         elif name != "br":
@@ -249,17 +300,19 @@ def blocks(page: str) -> list[Block]:
         if name not in NESTING:
             continue
         if closing:
-            for depth in range(len(open_) - 1, -1, -1):
-                if open_[depth].name == name:
-                    del open_[depth:]
+            while names[name]:  # what is open within it ends too
+                names[open_[-1].name] -= 1
+                if open_.pop().name == name:
                     break
         elif not tag.alone:
             if name == "li" and open_ and open_[-1].name == "li":
                 open_.pop()
+                names["li"] -= 1
             around = open_[-1] if open_ else None
             in_article = name in ARTICLES or around is not None and around.in_article
             place = Place(name, around, in_article, _why_apart(name, tag.attributes, in_article))
             open_.append(place)
+            names[name] += 1
             places.append(place)
     add(page[at:])
     close_block()
@@ -275,7 +328,7 @@ def _why_apart(name: str, attributes: str, in_article: bool) -> str:
     if not attributes.strip() or name in ("html", "body"):
         return why
     for found in ATTRIBUTE.finditer(attributes):
-        key = (found[1] or found[5] or "").lower()
+        key = found[1].lower()
         value = found[2] or found[3] or found[4] or ""
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return "hidden"
@@ -387,8 +440,10 @@ def _listed(found: list[Block]) -> bool:
 
 def _clear(block: Block, listed: bool) -> bool | None:
     """First pass: True, False, or None where the block alone does not tell."""
-    if block.apart or block.link_chars > LINKS * len(block.text):
+    if block.apart:
         return False
+    if block.link_chars > LINKS * len(block.text):
+        return None if block.in_article else False
     if not _tells(block):
         return None
     if not listed or block.density >= DENSE:
