@@ -124,7 +124,8 @@ def compared(docs: DataFrame) -> DataFrame:
     """Every row's digest, its edited text's, and how alike both and the next row's are.
 
     Rows go by ascending ``doc_id``, null first, repeated ids by text; after the last
-    comes the first.  A null text is empty, and empty texts are all alike.
+    comes the first.  A null text is empty.  Texts below three bytes have no triplets: whatever
+    they say, those of one length have one digest, and their likeness is 1.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

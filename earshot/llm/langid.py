@@ -43,6 +43,8 @@ class Network:
     states: list[np.ndarray]  # 3H x H
     outputs: list[np.ndarray]  # C x H
     bias: np.ndarray  # C
+    # Which bytes began a character in training; none are told apart where it is not known.
+    seen: np.ndarray | None = None
 
     def arrays(self) -> list[np.ndarray]:
         return [*self.inputs, *self.states, *self.outputs, self.bias]
@@ -267,12 +269,39 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, steps: int = STEPS) -> Network
     labels = np.array([langs.index(lang) for lang, _ in drawn])[np.cumsum(number) - 1]
     mask = (np.arange(SEGMENT)[:, None] < used).astype(np.float32)
     train(net, np.ascontiguousarray(cut.T), mask, labels, steps)
+    net.seen = beginnings(texts)
     return net
 
 
+def beginnings(texts: list[bytes]) -> np.ndarray:
+    """Which byte values begin a character of the texts; all that are ASCII count as if they did."""
+    seen = np.zeros(256, bool)
+    seen[:128] = True
+    for text in texts:
+        seen[np.unique(_leads(text))] = True
+    return seen
+
+
+def _leads(text: bytes) -> np.ndarray:
+    data = np.frombuffer(text, np.uint8)
+    return data[data & 0xC0 != 0x80]
+
+
+def familiar(net: Network, text: bytes) -> float:
+    """The share of characters that begin as some character of the training texts did.
+
+    The network has learned nothing of a script that it never read and says anything of it.
+    """
+    if net.seen is None or text.isascii():
+        return 1.0
+    return float(net.seen[_leads(text)].mean())
+
+
 def predict(docs: DataFrame, net: Network | None, *names: str) -> DataFrame:
     """``docs`` and three columns: language, mean probability, share of positions so labelled.
 
+    The probability counts for the characters that look :func:`familiar` alone, as if the others
+    spoke for no language.
     Only ``text`` is read.  Null text, text without a letter, and any text when nothing
     was learned give ``und`` with 0.
     """
@@ -287,7 +316,9 @@ def predict(docs: DataFrame, net: Network | None, *names: str) -> DataFrame:
                 found = [(UNKNOWN, 0.0, 0.0)] * len(texts)
                 asked = [i for i, k in enumerate(known) if k]
                 if asked:
-                    mean, labelled = pooled(net, [texts[i].encode() for i in asked])
+                    data = [texts[i].encode() for i in asked]
+                    mean, labelled = pooled(net, data)
+                    mean *= np.array([familiar(net, d) for d in data])
                     best = mean.argmax(axis=0)
                     for place, (i, b) in enumerate(zip(asked, best.tolist(), strict=True)):
                         found[i] = (

@@ -916,3 +916,64 @@ def test_entropy_ends_at_enough(spark):
         secrets.highest_entropy(F.col("c")), secrets.highest_entropy(F.col("c"), enough=2.0)
     ).first()
     assert 2.0 <= some < most
+
+
+# -- 4, what was never read; 5, by its definition ------------------------------------
+
+
+def test_scripts_never_read_get_low_scores(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    net = langid.fit(docs, steps=60)
+    odd = [
+        (1, "Это предложение написано на русском языке и не похоже ни на что из выученного."),
+        (2, "这是一个用中文写的句子，模型从未见过。"),
+        (3, "The sun is out 😀 and we are on the way to the town, with all of them."),
+    ]
+    frame = spark.createDataFrame(odd, "doc_id bigint, text string")
+    found = rows(langid.predict(frame, net))
+    assert found[1]["score"] < langid.MIN_SCORE and found[2]["score"] < langid.MIN_SCORE
+    assert langid.familiar(net, odd[2][1].encode()) > 0.95
+    kept = langid.in_known_language(docs.select("doc_id", "text", "lang").union(
+        frame.select("doc_id", "text", F.lit(None).cast("string").alias("lang"))
+    ))
+    assert kept.where("text LIKE '%предложение%' OR text LIKE '%中文%'").isEmpty()
+
+
+def plain_probabilities(net, text):
+    """The network position by position, from its definition."""
+    def gru(d, data):
+        h, states = np.zeros(net.states[d].shape[1]), []
+        n = len(h)
+        for byte in data:
+            x, u = net.inputs[d][:, byte].astype(float), net.states[d].astype(float)
+            z = 1 / (1 + np.exp(-(x[:n] + u[:n] @ h)))
+            r = 1 / (1 + np.exp(-(x[n : 2 * n] + u[n : 2 * n] @ h)))
+            c = np.tanh(x[2 * n :] + r * (u[2 * n :] @ h))
+            h = z * h + (1 - z) * c
+            states.append(h)
+        return states
+
+    forth, back = gru(0, text), gru(1, text[::-1])[::-1]
+    scores = [net.outputs[0] @ f + net.outputs[1] @ b + net.bias for f, b in zip(forth, back, strict=True)]
+    raised = np.exp(np.array(scores) - np.max(scores, axis=1, keepdims=True))
+    return raised / raised.sum(axis=1, keepdims=True)
+
+
+def test_pooled_probabilities_are_those_of_every_position():
+    net = langid.new_network(["a", "b", "c"], hidden=5, seed=3)
+    texts = ["Kurz.", "Ein etwas längerer Satz 😀 mit allem.", "x" * 7, "lang " * 60]
+    mean, labelled = langid.pooled(net, [t.encode() for t in texts])
+    for i, text in enumerate(texts):
+        data = text.encode()
+        parts = [data[at : at + langid.SEGMENT] for at in range(0, len(data), langid.SEGMENT)]
+        plain = np.concatenate([plain_probabilities(net, part) for part in parts])
+        assert mean[:, i] == pytest.approx(plain.mean(axis=0), abs=1e-4)
+        assert labelled[:, i] == pytest.approx((plain > 0.5).mean(axis=0), abs=1e-6)
+
+
+def test_edited_texts_are_by_code_points():
+    assert edited("abcdefgh", "XYZ") == "abcdefXY"
+    assert edited("é😀ab", "") == "é😀a"
+    assert edited("abcdefgh", "X") == "abcdefX"
+    assert edited("abc", "XYZ") == "abc"
+    assert edited("", "XYZ") == ""
