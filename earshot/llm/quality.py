@@ -1,11 +1,13 @@
-"""Quality rules by host: a host's failure rate, shrunk by an empirical beta prior.
+"""Quality rules by host: a host's failure rates, each shrunk by an empirical beta prior.
 
 Column expressions only.  A document's measures stay within its row; hosts are a grouped
-sum; the prior is one row.
+sum; the priors are a row for each rule.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +16,16 @@ from earshot.llm.common import kept, read_documents
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-# A host is bad when its shrunk failure rate is above this.
-BAD_HOST = 0.5
+# Rules that hosts are judged by, as SQL that Spark and DuckDB share.
+RULES = {
+    "short": f"n_words < {MIN_WORDS}",
+    "repeats": f"100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words",
+    "symbols": "10 * n_symbols > word_chars",
+    "dup_lines": "10 * n_dup_lines > n_words",
+}
+# A host is bad by a rule when its rate, less so many standard deviations of what its own documents
+# leave open, is above the mean by so many of the spread of all hosts.
+DEVIATIONS = 2
 # White space between words, and symbols.
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -104,28 +114,42 @@ def base_failed() -> Column:
     )
 
 
-def host_verdicts(rows: DataFrame, bad_host: float = BAD_HOST) -> DataFrame:
-    """``host, host_docs, host_rate, host_bad`` from ``host, failed``; a null host is one host.
+def host_verdicts(rows: DataFrame) -> DataFrame:
+    """``host, host_docs, host_rate, host_bad`` from ``host, failed``; a null host is one host."""
+    return host_rules(rows, ["failed"]).select(
+        "host", "host_docs", F.col("failed_rate").alias("host_rate"), "host_bad"
+    )
+
 
-    The beta prior is fitted to the hosts' rates by the method of moments, hosts weighted
-    by their documents and the binomial part of the spread taken off.  Where the hosts
-    differ no more than chance would have it, the prior takes over and all get the mean.
+def host_rules(rows: DataFrame, rules: Sequence[str]) -> DataFrame:
+    """``host, host_docs``, a ``_rate`` for each rule, and ``host_bad``: bad by any of them.
+
+    ``rows`` has ``host`` and a flag per rule.  A rule's beta prior is fitted to the hosts' rates by
+    the method of moments, hosts weighted by their documents and the binomial part of the
+    spread taken off.  Where the hosts differ no more than chance would have it, the prior takes
+    over, all get the mean and none is bad: the bar is the hosts' own spread.
     """
     hosts = kept(
         rows.groupBy("host").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col("failed").cast("long")).alias("k")
+            F.count(F.lit(1)).alias("n"),
+            *[F.sum(F.col(rule).cast("long")).alias(rule) for rule in rules],
         )
     )
+    counts = hosts.select(
+        "host",
+        "n",
+        F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("k")) for r in rules])),
+    )
     n, rate = F.col("n"), F.col("k") / F.col("n")
-    mean = hosts.agg(
+    mean = counts.groupBy("rule").agg(
         (F.sum("k") / F.sum("n")).alias("mean"),
         F.sum("n").alias("docs"),
         F.count(F.lit(1)).alias("hosts"),
         F.sum(n * n).alias("squares"),
     )
     spread = (
-        hosts.crossJoin(F.broadcast(mean))  # one row
-        .groupBy("mean", "docs", "hosts", "squares")
+        counts.join(F.broadcast(mean), "rule")  # a row for each rule
+        .groupBy("rule", "mean", "docs", "hosts", "squares")
         .agg(F.sum(n * (rate - F.col("mean")) * (rate - F.col("mean"))).alias("q"))
     )
     noise = F.col("mean") * (1 - F.col("mean"))
@@ -135,34 +159,42 @@ def host_verdicts(rows: DataFrame, bad_host: float = BAD_HOST) -> DataFrame:
     strength = F.when(
         (weight > 0) & (between > 0) & (noise > between), noise / between - 1
     ).when((weight > 0) & (between > 0), F.lit(0.0))
-    prior = spread.select("mean", strength.alias("strength"))
-    shrunk = F.when(F.col("strength").isNull(), F.col("mean")).otherwise(
-        (F.col("k") + F.col("mean") * F.col("strength")) / (n + F.col("strength"))
+    prior = spread.select("rule", "mean", strength.alias("strength"))
+    s, m = F.col("strength"), F.col("mean")
+    shrunk = F.when(s.isNull(), m).otherwise((F.col("k") + m * s) / (n + s))
+    open_ = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (n + s + 1))
+    bar = m + DEVIATIONS * F.sqrt(m * (1 - m) / (s + 1))
+    judged = (
+        counts.join(F.broadcast(prior), "rule")
+        .withColumn("rate", shrunk)
+        .withColumn("bad", F.coalesce(F.col("rate") - DEVIATIONS * open_ > bar, F.lit(False)))
     )
-    return hosts.crossJoin(F.broadcast(prior)).select(
-        "host",
-        n.alias("host_docs"),
-        shrunk.alias("host_rate"),
-        (shrunk > bad_host).alias("host_bad"),
+    return judged.groupBy("host").agg(
+        F.max("n").alias("host_docs"),
+        *[F.max(F.when(F.col("rule") == r, F.col("rate"))).alias(f"{r}_rate") for r in rules],
+        F.max("bad").alias("host_bad"),
     )
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """Every row's measures, its base rule, its host's rate and the verdict.
+    """Every row's measures, its base rule, its host's rates and the verdict.
 
-    Columns ``doc_id, host, n_words, ..., base_failed, host_rate, kept``; the host is
+    Columns ``doc_id, host, n_words, ..., base_failed, short_rate, ..., kept``; the host is
     ``source``.
     """
     named = docs.select("doc_id", F.col("source").alias("host"), "text")
     measured = kept(
         measures(named, "doc_id", "host").withColumn("base_failed", base_failed())
     )
-    verdicts = kept(host_verdicts(measured.select("host", F.col("base_failed").alias("failed"))))
+    flags = measured.select("host", *[F.expr(rule).alias(name) for name, rule in RULES.items()])
+    verdicts = kept(host_rules(flags, list(RULES)))
     found = measured.alias("m").join(
         verdicts.alias("v"), F.col("m.host").eqNullSafe(F.col("v.host"))
     )
     return found.select(
-        "m.*", F.round("host_rate", 9).alias("host_rate"), (~F.col("base_failed") & ~F.col("host_bad")).alias("kept")
+        "m.*",
+        *[F.round(f"{name}_rate", 9).alias(f"{name}_rate") for name in RULES],
+        (~F.col("base_failed") & ~F.col("host_bad")).alias("kept"),
     )
 
 
@@ -196,25 +228,44 @@ m AS (
 j AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)"""
 
+_RULES_LONG = "\n  UNION ALL\n  ".join(
+    f"SELECT source, '{name}' AS rule, count(*) AS n, sum(({rule})::INT) AS k FROM j GROUP BY source"
+    for name, rule in RULES.items()
+)
+_RATES = ",\n         ".join(
+    f"max(CASE WHEN rule = '{name}' THEN rate END) AS {name}_rate" for name in RULES
+)
+
 SQL = (
     _MEASURED
-    + """,
-h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS k FROM j GROUP BY source),
-a AS (SELECT sum(k) / sum(n) AS mean, sum(n) AS docs, count(*) AS hosts, sum(n * n) AS sq FROM h),
+    + f""",
+h AS (
+  {_RULES_LONG}),
+a AS (
+  SELECT rule, sum(k) / sum(n) AS mean, sum(n) AS docs, count(*) AS hosts, sum(n * n) AS sq
+  FROM h GROUP BY rule),
 q AS (
-  SELECT mean, mean * (1 - mean) AS noise, hosts, docs - sq / docs AS weight,
+  SELECT rule, mean, mean * (1 - mean) AS noise, hosts, docs - sq / docs AS weight,
          sum(n * (k / n - mean) * (k / n - mean)) AS q
-  FROM h, a GROUP BY ALL),
-b AS (SELECT mean, noise, weight, (q - (hosts - 1) * noise) / weight AS between_hosts FROM q),
+  FROM h JOIN a USING (rule) GROUP BY ALL),
+b AS (
+  SELECT rule, mean, noise, weight, (q - (hosts - 1) * noise) / weight AS between_hosts FROM q),
 p AS (
-  SELECT mean, CASE WHEN weight > 0 AND between_hosts > 0 AND noise > between_hosts
-                    THEN noise / between_hosts - 1
-                    WHEN weight > 0 AND between_hosts > 0 THEN 0.0 END AS strength FROM b),
+  SELECT rule, mean, CASE WHEN weight > 0 AND between_hosts > 0 AND noise > between_hosts
+                          THEN noise / between_hosts - 1
+                          WHEN weight > 0 AND between_hosts > 0 THEN 0.0 END AS strength FROM b),
+r AS (
+  SELECT source, rule, n, mean, strength,
+         CASE WHEN strength IS NULL THEN mean
+              ELSE (k + mean * strength) / (n + strength) END AS rate
+  FROM h JOIN p USING (rule)),
 v AS (
-  SELECT source, CASE WHEN strength IS NULL THEN mean
-                      ELSE (k + mean * strength) / (n + strength) END AS host_rate
-  FROM h, p)
+  SELECT source, {_RATES},
+         bool_or(coalesce(rate - {DEVIATIONS} * sqrt(rate * (1 - rate) / (n + strength + 1))
+           > mean + {DEVIATIONS} * sqrt(mean * (1 - mean) / (strength + 1)), false)) AS host_bad
+  FROM r GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       round(host_rate, 9) AS host_rate, NOT base_failed AND NOT host_rate > 0.5 AS kept
+       {", ".join(f"round({name}_rate, 9) AS {name}_rate" for name in RULES)},
+       NOT base_failed AND NOT host_bad AS kept
 FROM j JOIN v ON j.source IS NOT DISTINCT FROM v.source"""
 )

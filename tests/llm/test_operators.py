@@ -594,6 +594,32 @@ def test_a_host_that_mostly_fails_is_bad_and_a_small_one_is_shrunk(spark):
 # -- 8 ---------------------------------------------------------------------------
 
 
+def test_hosts_are_judged_by_each_rule_with_its_own_prior(spark):
+    """One host of symbols, one of repeated lines among many; what is even for all judges none."""
+    good = "all of these words are plain and there are more than ten of them here {}"
+    odd = "### a $$$ b %%% c &&& d *** e ||| f <<< g {}"
+    lines = "x\ny\nx\ny\nz\nz\n" + good
+    rows = []
+    for host in range(30):
+        for i in range(60):
+            text = odd if host == 3 or i == 9 else lines if host == 4 and i < 50 else good
+            text = "short" if i < 5 else text
+            rows.append((1000 * host + i, text.format(i), f"h{host}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = quality.judged(docs).collect()
+    by_host = defaultdict(list)
+    for row in found:
+        by_host[row["host"]].append(row)
+    for host, some in by_host.items():
+        clean = [r for r in some if not r["base_failed"]]
+        assert len(clean) == 55
+        assert {r["kept"] for r in clean} == {host not in ("h3", "h4")}
+        assert not any(r["kept"] for r in some if r["base_failed"])
+    # No host differs in short texts: the prior takes over and the mean is everyone's.
+    assert {r["short_rate"] for r in found} == {round(5 / 60, 9)}
+    assert by_host["h3"][0]["symbols_rate"] > 0.8 > 0.1 > by_host["h5"][0]["symbols_rate"]
+
+
 def plain_repeats(texts):
     """What is left of each text, in order of ids."""
     seen, left = set(), {}
