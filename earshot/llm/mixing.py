@@ -80,19 +80,17 @@ def highest_quotients(parties: DataFrame, group: list[str], order: list[str]) ->
     Those are ranked, in ranges, so that no task sees a whole group; everything below is
     seated, everything above is not.
     """
-    known = parties.withColumn("__one", F.lit(1)) if not group else parties
-    group = group or ["__one"]
-    sums = known.groupBy(*group).agg(
+    sums = parties.groupBy(*group).agg(
         F.sum("votes").alias("__votes"), F.count(F.lit(1)).alias("__n")
     )
     share = F.col("votes") / F.col("__votes")
     fair = F.when(F.col("__votes") > 0, F.floor(share * F.col("seats"))).otherwise(F.lit(0))
     doubt = F.when(F.col("__votes") > 0, F.ceil(share * F.col("__n"))).otherwise(F.lit(0)) + 2
     bounded = kept(
-        told(known, sums, group)
+        told(parties, sums, group)
         .withColumn("__sure", F.greatest(F.lit(0), fair - doubt).cast("long"))
         .withColumn("__last", (fair + doubt).cast("long"))
-        .select(*known.columns, "__sure", "__last")
+        .select(*parties.columns, F.lit(0).alias("__all"), "__sure", "__last")
     )
     sures = bounded.groupBy(*group).agg(
         F.sum("__sure").alias("__sures"), F.count(F.lit(1)).alias("__n")
@@ -103,11 +101,11 @@ def highest_quotients(parties: DataFrame, group: list[str], order: list[str]) ->
         )
     )
     by_quotient = [F.col("__quotient").desc(), *[F.col(c) for c in order], F.col("__seat")]
-    ranked = ranked_within(open_, group, by_quotient, "__place", "__size", "__part")
+    ranked = ranked_within(open_, group or ["__all"], by_quotient, "__place", "__size", "__part")
     won = (F.col("__place") < F.col("seats") - F.col("__sures")) & (F.col("votes") > 0)
     return (
         told(ranked, sures, group)
-        .groupBy(*known.columns, "__sure")
+        .groupBy(*parties.columns, "__sure")
         .agg(F.count_if(won).alias("__won"))
         .select(*parties.columns, (F.col("__sure") + F.col("__won")).alias("quota"))
     )
@@ -117,8 +115,11 @@ def told(rows: DataFrame, facts: DataFrame, group: list[str]) -> DataFrame:
     """``rows`` with the ``facts`` of their group, one row per group with its number of rows ``__n``.
 
     Groups of more than a thousandth of all rows, fewer than a thousand, are broadcast; the
-    rows of any other group meet their facts with few others.
+    rows of any other group meet their facts with few others.  Without groups there is one fact.
     """
+    if not group:
+        fact = facts.first()
+        return rows.select("*", *[F.lit(fact[c]).alias(c) for c in facts.columns])
     facts = kept(facts)
     total = facts.agg(F.sum("__n")).first()[0] or 0
     heavy = F.col("__n") * HEAVY > total

@@ -27,6 +27,7 @@ from earshot.llm.registered import ORACLE_SQL, QUERIES
 from earshot.llm.repeats import op8_repeats
 from earshot.llm.simhash import op1_simhash
 from tests.oracle import connect, differences
+from tests.plans import plan_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -742,6 +743,8 @@ def test_a_mix_of_many_sources_is_dealt_in_ranges(spark):
     expected = plain_targets(sums)
     for row in mixing.shares(rows).collect():
         taken[source[row["doc_id"]]] += row["taken"]
+    plan = plan_of(mixing.shares(rows))
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert all(abs(taken[s] - expected[s]) <= 4 for s in sums)
     assert abs(sum(taken.values()) - 1.5 * sum(sums.values())) <= 10
 
