@@ -22,9 +22,10 @@ from earshot.operators import als  # noqa: E402
 from earshot.operators.evaluate import rmse  # noqa: E402
 from earshot.operators.split import hash_split  # noqa: E402
 from earshot.operators.topk import recommend_for_all_users  # noqa: E402
-from earshot.params import AlsParams  # noqa: E402
+from earshot.params import AlsParams, JobParams  # noqa: E402
+from earshot.plans import jobs  # noqa: E402
 from earshot.registered import standins  # noqa: E402
-from earshot.registered.spark_queries import QUERIES, fit_model  # noqa: E402
+from earshot.registered.spark_queries import QUERIES, RUN_DATE, fit_model  # noqa: E402
 from earshot.session import local_session  # noqa: E402
 from earshot.workspace import scratch_root  # noqa: E402
 
@@ -33,11 +34,16 @@ HEADLINE = [
     "quarantine_counts",
     "dated_inputs",
     "split_counts",
+    "split_by_date_members",
     "baseline_predictions",
+    "bias_predictions",
     "score_pairs",
     "rmse_scored_pairs",
     "topk_scores",
+    "topk_unrated",
     "upsert_last_write",
+    "merged_loads",
+    "cells_looked_up",
     "listen_wide_rows",
     "sing_wide_rows",
     "recommend_cells",
@@ -86,6 +92,10 @@ def main() -> None:
         lambda: als.fit(events, AlsParams(), n_events).userFactors.count()
     )
     seconds["als_rmse"] = timed(lambda: rmse(als.predict(model, ratings)).first())
+    # The job by itself; the query of that name also checks it against a second run.
+    params = JobParams(storage_root=scratch_root(spark, "bench-job"), run_date=RUN_DATE)
+    als.save(model, params.model_path)
+    seconds["jobs_recommend"] = timed(lambda: jobs.recommend(spark, params))
     seconds["recommend_all_users"] = timed(lambda: consume(recommend_for_all_users(model, 5)))
 
     print(
