@@ -33,12 +33,16 @@ def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Python workers live on from stage to stage beside the executor's JVM, and Arrow and the C
     library would hold on to their largest working sets for as long.
     """
-    trim = _memory_trim()
     for batch in batches:
         yield batch
         del batch
-        pa.default_memory_pool().release_unused()
-        trim()
+        hand_back()
+
+
+def hand_back() -> None:
+    """Give memory that is free to Arrow or the C library back to the system."""
+    pa.default_memory_pool().release_unused()
+    _memory_trim()()
 
 
 @cache

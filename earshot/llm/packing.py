@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from earshot.llm.common import kept, read_documents, released
+from earshot.llm.common import hand_back, kept, read_documents, released
 
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 # Text that is split and encoded at a time.
-STEP_BYTES = 8 << 20
+STEP_BYTES = 2 << 20
 # Words of letters whose ids a worker remembers, about 45 bytes each.
 REMEMBERED = 500_000
 # Marks that form pieces of their own after letters, whatever stands next to them.
@@ -205,6 +205,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_
             for first, last in in_steps(batch.column(1), STEP_BYTES):
                 some = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(_pieces(some), PIECE_NAMES)
+                hand_back()
 
     def _pieces(batch: pa.RecordBatch) -> list[pa.Array]:
         codes = encode(batch.column(1), path)
