@@ -33,7 +33,7 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 # Text that is split and encoded at a time.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 4 << 20
 # Words of letters whose ids a worker remembers, about 45 bytes each.
 REMEMBERED = 500_000
 # Marks that form pieces of their own after letters, whatever stands next to them.
