@@ -6,7 +6,8 @@ from functools import reduce
 from operator import add
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,12 +41,24 @@ def norm(vector: Column) -> Column:
 
 
 def _wide_dot(left: Column, right: Column) -> Column:
-    def products(left: pd.Series, right: pd.Series) -> pd.Series:
-        found = np.full(len(left), np.nan)
-        both = (left.notna() & right.notna()).to_numpy()
-        if both.any():
-            a, b = (np.stack(side[both].to_numpy()).astype(np.float64) for side in (left, right))
-            found[both] = np.einsum("ij,ij->i", a, b)
-        return pd.Series(found)
-
-    return F.pandas_udf(products, "double")(left, right)
+    def matrix(vectors: pa.ListArray) -> np.ndarray:
+        """Lists of one length; a null in them is NaN."""
+        lengths = pc.unique(pc.list_value_length(vectors)).to_pylist()
+        if len(lengths) > 1:
+            raise ValueError(f"vectors of lengths {sorted(lengths)}")
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        return flat.reshape(len(vectors), *lengths)
+
+    def products(left: pa.Array, right: pa.Array, both: pa.Array) -> pa.Array:
+        found = np.full(len(both), np.nan)
+        if both.true_count:
+            a, b = matrix(left.filter(both)), matrix(right.filter(both))
+            found[both.to_numpy(zero_copy_only=False)] = np.einsum("ij,ij->i", a, b)
+        return pa.array(found)
+
+    # A vector without its partner does not travel.  In its place goes an empty list, not a null:
+    # Spark measures a batch after every row, and goes over all nulls of a list column each time.
+    both = left.isNotNull() & right.isNotNull()
+    empty = F.array().cast("array<float>")
+    sides = [F.when(both, side).otherwise(empty) for side in (left, right)]
+    return F.arrow_udf(products, "double")(*sides, both)

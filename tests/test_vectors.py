@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from earshot.functions.vectors import COMPILED_RANK, dot
+from earshot.operators.scoring import score_pairs
+from tests.plans import plan_of
 
 
 @pytest.mark.parametrize("rank", [1, COMPILED_RANK, COMPILED_RANK + 1, 64])
@@ -43,3 +46,25 @@ def test_both_ways_give_the_same_value(spark):
     )
     gap = F.abs(F.col("spelt") - F.col("batched"))
     assert both.where(~(gap <= 1e-12 * (1 + F.abs("spelt")))).isEmpty()
+
+
+def test_wide_vectors_stay_in_arrow(spark):
+    """Most pairs of a table may be cold: they go to Python as empty lists, which cost nothing."""
+    rank = COMPILED_RANK + 1
+    vector = [0.5 * i for i in range(rank)]
+    with_null = [None, *vector[1:]]
+    factors = spark.createDataFrame(
+        [(1, vector), (2, with_null), (3, None)], "id int, features array<float>"
+    )
+    pairs = spark.createDataFrame(
+        [(1, 1), (1, 2), (1, 3), (9, 1), (1, 9), (None, 1)], "userId int, sourceId int"
+    )
+    scored = score_pairs(pairs, factors, factors, rank)
+    found = {(r["userId"], r["sourceId"]): r["prediction"] for r in scored.collect()}
+    assert found.pop((1, 1)) == sum(x * x for x in vector)
+    assert len(found) == 5 and all(math.isnan(score) for score in found.values())
+    cold = pairs.where("userId = 9")
+    assert math.isnan(score_pairs(cold, factors, factors, rank).first()["prediction"])
+    assert "pandas" not in plan_of(scored).lower()
+    sent = re.findall(r"THEN (user|item)_features#\d+ ELSE \[\] END", plan_of(scored))
+    assert set(sent) == {"user", "item"}
