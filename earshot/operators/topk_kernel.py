@@ -13,7 +13,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NOTHING = np.iinfo(np.int64).min
 USERS_AT_ONCE = 512
-ITEMS_AT_ONCE = 4096
+ITEMS_AT_ONCE = 2048
+# A score takes about 70 bytes on its way to a key: 0.5 million of them 35 MB.
+SCORES_AT_ONCE = 500_000
 SLACK = 1.0 + 1e-6
 
 
@@ -43,14 +45,15 @@ def best_items(users: pa.Table, blocks: pa.Table, k: int, carry: bool) -> pa.Tab
     keys = np.empty((n, k), dtype=np.int64)
     keys[:] = floor[:, None]
     if n and blocks.num_rows:
-        vectors = _flat(users["features"]).reshape(n, -1).astype(np.float64)
+        # Both sides stay floats; only what is multiplied at a time is made doubles.
+        vectors = _flat(users["features"]).reshape(n, -1)
         item_ids = _flat(blocks["ids"])
-        items = _flat(blocks["flat"]).reshape(len(item_ids), -1).astype(np.float64)
-        norms = np.sqrt(np.einsum("ij,ij->i", items, items))
+        items = _flat(blocks["flat"]).reshape(len(item_ids), -1)
+        norms = _norms(items)
         by_norm = np.argsort(-norms, kind="stable")
         items, item_ids, norms = items[by_norm], item_ids[by_norm], norms[by_norm]
         barred = _barred(users, item_ids)
-        at_once = max(1, min(USERS_AT_ONCE, 4_000_000 // (k + ITEMS_AT_ONCE)))
+        at_once = max(1, min(USERS_AT_ONCE, SCORES_AT_ONCE // (k + ITEMS_AT_ONCE)))
         for start in range(0, n, at_once):
             part = slice(start, start + at_once)
             _improve(keys[part], vectors[part], items, item_ids, norms, barred.part(part))
@@ -102,7 +105,8 @@ def _improve(
 ) -> None:
     """Raise each row of ``keys`` to the best seen, skipping users who are done."""
     k = keys.shape[1]
-    lengths = np.sqrt(np.einsum("ij,ij->i", vectors, vectors)) * SLACK
+    vectors = vectors.astype(np.float64)
+    lengths = _norms(vectors) * SLACK
     for start in range(0, len(items), ITEMS_AT_ONCE):
         worst = keys.min(axis=1)
         open_ = worst == NOTHING
@@ -112,7 +116,8 @@ def _improve(
         rows = np.flatnonzero(open_ | (reach >= kth))
         if not len(rows):
             return  # norms only fall from here
-        scores = (vectors[rows] @ items[start : start + ITEMS_AT_ONCE].T).astype(np.float32)
+        block = items[start : start + ITEMS_AT_ONCE].astype(np.float64)
+        scores = (vectors[rows] @ block.T).astype(np.float32)
         hit = open_[rows] | (scores.max(axis=1) >= kth[rows])
         rows, scores = rows[hit], scores[hit]
         if len(rows):
@@ -122,6 +127,11 @@ def _improve(
             keys[rows] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
 
 
+def _norms(vectors: np.ndarray) -> np.ndarray:
+    """Lengths in double precision."""
+    return np.sqrt(np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64))
+
+
 def _table(users: pa.Table, keys: np.ndarray, floor: np.ndarray, carry: bool) -> pa.Table:
     keys = np.sort(keys, axis=1)[:, ::-1]
     new = keys > floor[:, None]

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from earshot.operators.topk import flatten, item_ids, top_k_items
-from earshot.operators.topk_kernel import NOTHING, read_keys, sort_keys
+from earshot.operators.topk_kernel import NOTHING, best_items, read_keys, sort_keys
 
 
 def table(spark, ids, vectors):
@@ -169,3 +172,33 @@ def test_leaving_nothing_out_changes_nothing(spark):
     plain = top_k_items(vectors, vectors, 3, shard_items=9)
     same = top_k_items(vectors, vectors, 3, shard_items=9, rated=none)
     assert sorted(map(str, plain.collect())) == sorted(map(str, same.collect()))
+
+
+def test_a_group_takes_little_more_than_its_tables():
+    """Floats stay floats, and few scores are held at a time."""
+    rng = np.random.default_rng(3)
+    users, items = (rng.normal(size=(n, 64)).astype(np.float32) for n in (600, 30_000))
+    ids = np.arange(30_000, dtype=np.int32)
+    left = pa.table(
+        {
+            "id": pa.array(range(600), pa.int32()),
+            "features": pa.array(list(users), pa.list_(pa.float32())),
+            "floor_key": pa.nulls(600, pa.int64()),
+        }
+    )
+    right = pa.table(
+        {
+            "ids": pa.array(np.split(ids, 10), pa.list_(pa.int32())),
+            "flat": pa.array([part.ravel() for part in np.split(items, 10)], pa.list_(pa.float32())),
+        }
+    )
+    tracemalloc.start()
+    try:
+        got = best_items(left, right, 5, False)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    want = brute_force(range(600), users, ids, items, 5)
+    rows = zip(got["id"].to_pylist(), got["recommendations"].to_pylist(), strict=True)
+    check({u: [(e["sourceId"], e["rating"]) for e in found] for u, found in rows}, want)
+    assert peak < 10 * items.nbytes
