@@ -221,34 +221,49 @@ def bias_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cold_pairs_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all pairs; those that the factors do not know get the baseline."""
-    ratings = given.ratings(spark, sf_dir).checkpoint()
+    ratings = given.stored(given.ratings(spark, sf_dir), "ratings")
     biases = fit_biases(ratings, most_rounds=BIAS_ROUNDS, tolerance=0.0)
-    filled = fill_cold(biases, _factor_predictions(spark, sf_dir))
+    vectors = given.factors(spark, sf_dir)
+    filled = fill_cold(biases, score_pairs(ratings, vectors, vectors, given.FACTOR_RANK))
     return filled.select("userId", "sourceId", "cold", _round("prediction", 4))
 
 
 # -- the model ----------------------------------------------------------------
 
-_models: dict[tuple[str, str], str] = {}
+_models: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
 
 def _split_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hash_split(given.ratings(spark, sf_dir))
+    """Stored: a fit, its row count and its test read it, and the join behind it is dear."""
+    return given.stored(hash_split(given.ratings(spark, sf_dir)), "split")
 
 
-def fit_model(spark: SparkSession, sf_dir: str) -> ALSModel:
-    train = _split_ratings(spark, sf_dir).where(F.col("split") == "train").drop("split")
+def _part(split: DataFrame, name: str) -> DataFrame:
+    return split.where(F.col("split") == name).drop("split")
+
+
+def _fit(split: DataFrame) -> ALSModel:
+    train = _part(split, "train")
     return als.fit(train, AlsParams(), train.count())
 
 
-def _saved_model(spark: SparkSession, sf_dir: str) -> ALSModel:
-    """The model of these tables, fitted once per session and read back from disk."""
+def fit_model(spark: SparkSession, sf_dir: str) -> ALSModel:
+    return _fit(_split_ratings(spark, sf_dir))
+
+
+def _model_and_split(spark: SparkSession, sf_dir: str) -> tuple[ALSModel, DataFrame]:
+    """The model of these tables, fitted once per session and read back from disk, and its split."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        path = scratch_root(spark, "model")
-        als.save(fit_model(spark, sf_dir), path)
-        _models[key] = path
-    return als.load(_models[key])
+        path, split = scratch_root(spark, "model"), _split_ratings(spark, sf_dir)
+        als.save(_fit(split), path)
+        _models[key] = path, split
+    path, split = _models[key]
+    return als.load(path), split
+
+
+def _saved_model(spark: SparkSession, sf_dir: str) -> ALSModel:
+    return _model_and_split(spark, sf_dir)[0]
 
 
 def als_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,12 +273,9 @@ def als_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _test_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split_ratings(spark, sf_dir).where(F.col("split") == "test").drop("split")
-
-
 def _als_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return als.predict(_saved_model(spark, sf_dir), _test_ratings(spark, sf_dir))
+    model, split = _model_and_split(spark, sf_dir)
+    return als.predict(model, _part(split, "test"))
 
 
 def als_predict_agrees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,7 +294,7 @@ def als_predict_agrees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def als_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Our error against MLlib's evaluator on the usable test pairs."""
-    scored = _als_predictions(spark, sf_dir).checkpoint()
+    scored = given.stored(_als_predictions(spark, sf_dir), "scored")
     usable = drop_cold(scored)
     theirs = RegressionEvaluator(metricName="rmse", labelCol="rating").evaluate(usable)
     gap = F.abs(F.col("rmse") - F.lit(theirs))
@@ -322,8 +334,9 @@ def als_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     Per user and position the slope of the squared error and its ridge: nowhere falling,
     and level where the factor is above zero, as far as the floats of the fit allow.
     """
-    model, params = _saved_model(spark, sf_dir), AlsParams()
-    train = _split_ratings(spark, sf_dir).where(F.col("split") == "train").drop("split")
+    params = AlsParams()
+    model, split = _model_and_split(spark, sf_dir)
+    train = _part(split, "train")
     users = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("x"))
     items = model.itemFactors.select(F.col("id").alias("sourceId"), F.col("features").alias("f"))
     pairs = train.join(users, "userId").join(items, "sourceId")
@@ -374,12 +387,12 @@ def als_grid_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test pairs scored by the fitted model and by its saved copy, compared."""
-    fitted = fit_model(spark, sf_dir)
+    split = _split_ratings(spark, sf_dir)
+    fitted = _fit(split)
     path = scratch_root(spark, "model")
     als.save(fitted, path)
     als.save(fitted, path)  # the second replaces the first
-    test = _split_ratings(spark, sf_dir).where(F.col("split") == "test").drop("split")
-    scored = als.predict(fitted, test).withColumnRenamed("prediction", "before")
+    scored = als.predict(fitted, _part(split, "test")).withColumnRenamed("prediction", "before")
     both = als.predict(als.load(path), scored)
     return both.agg(
         F.count(F.lit(1)).alias("n_pairs"),

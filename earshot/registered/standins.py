@@ -116,6 +116,13 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 FACTOR_RANK = 64
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written to a table below the shared folder, so that readers do not derive them anew."""
+    path = scratch_root(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def written_lines(rows: DataFrame, folder: str) -> str:
     """Write rows as ``part-*`` text into a folder and return it."""
     as_lines(rows).write.mode("overwrite").text(folder)

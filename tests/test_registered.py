@@ -37,6 +37,12 @@ def test_every_query_has_sql_and_is_registered():
     assert SQL.items() <= registered.oracle_sql().items()
 
 
+@pytest.mark.parametrize("name", ["model_save_load", "als_coverage", "als_optimality", "cold_pairs_filled"])
+def test_ratings_are_derived_once(spark, sf_dir, name):
+    """What is read after a fit comes from a stored table, not from the join behind it."""
+    assert "lineitem" not in plan_of(QUERIES[name](spark, sf_dir))
+
+
 def test_entry(spark):
     frame = registered.entry(spark)
     assert frame.columns == ["userId", "recommendations"]
