@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,13 +47,14 @@ def fit(ratings: DataFrame, params: AlsParams, n_ratings: int) -> ALSModel:
     Repeated (user, item) pairs stay separate observations.  ``n_ratings`` sizes
     the blocks that ``params`` leave open; callers have it from the split counts.  Blocks
     and layout follow from the ratings alone, so equal seeds give equal factors.
+
+    MLlib asks for its input's partitions before it reads them, and would run the shuffles of the
+    layout each time: they stay on the executors' disks until it has its own blocks.
     """
     if n_ratings == 0:
         raise ValueError("no training rows")
     ensure_checkpoint_dir(ratings.sparkSession)
     blocks = block_count(n_ratings, params.ratings_per_block)
-    if params.pin_layout:
-        ratings = pin_layout(ratings, blocks)
     als = ALS(
         rank=params.rank,
         maxIter=params.max_iter,
@@ -65,7 +67,13 @@ def fit(ratings: DataFrame, params: AlsParams, n_ratings: int) -> ALSModel:
         itemCol="sourceId",
         ratingCol="rating",
     )
-    return als.fit(ratings)
+    if not params.pin_layout:
+        return als.fit(ratings)
+    pinned = pin_layout(ratings, blocks).persist(StorageLevel.DISK_ONLY)
+    try:
+        return als.fit(pinned)
+    finally:
+        pinned.unpersist()
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:

@@ -104,3 +104,23 @@ def test_a_busy_user_is_fitted_like_any_other(spark, ratings):
     skewed = ratings.unionByName(hot).checkpoint()
     model = als.fit(skewed, AlsParams(user_blocks=7, item_blocks=3), skewed.count())
     assert rmse(als.predict(model, skewed)).first()["rmse"] > 0
+
+
+def test_the_layout_is_made_once_for_a_fit(spark):
+    """MLlib asks for its input's partitions and reads it afterwards: the shuffles run once."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(rating):
+        read.add(1)
+        return rating
+
+    pairs = [(u, i, float(u % 5)) for u in range(20) for i in range(10)]
+    ratings = spark.createDataFrame(pairs, "userId int, sourceId int, rating float").select(
+        "userId", "sourceId", F.udf(counted, "float")("rating").alias("rating")
+    )
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = als.fit(ratings, AlsParams(max_iter=1), len(pairs))
+    assert read.value == len(pairs)
+    assert model.userFactors.count() == 20
+    # What stays is the model's two sides; the laid-out rows do not.
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= cached + 2
