@@ -105,17 +105,17 @@ def top_k_items(
 def _rated_by_shard(rated: DataFrame, sharded: DataFrame) -> DataFrame:
     """``id, shard, rated``: per user and shard the ids to leave out, no longer than a shard.
 
-    Items the model does not have need no leaving out.
+    Items the model does not have need no leaving out.  Repeats go in the grouping, which takes
+    them out map-side too, so that pairs are not shuffled once more for that.
     """
     pairs = rated.select(
         F.col("userId").cast("int").alias("id"), F.col("sourceId").cast("int").alias("item")
     )
     known = sharded.select(F.col("id").alias("item"), "shard")
     return (
-        pairs.distinct()
-        .join(known, "item")
+        pairs.join(known, "item")
         .groupBy("id", "shard")
-        .agg(F.sort_array(F.collect_list("item")).alias("rated"))
+        .agg(F.sort_array(F.collect_set("item")).alias("rated"))
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.functions.dates import input_name
-from earshot.functions.text import row_key, row_key_text
+from earshot.functions.text import row_key_text
 from earshot.functions.vectors import dot
 from earshot.operators import als
 from earshot.operators.biases import baseline, fill_cold, fit_biases
@@ -636,15 +636,15 @@ def _job_params(spark: SparkSession) -> JobParams:
     return JobParams(storage_root=scratch_root(spark, "job"), run_date=RUN_DATE)
 
 
-def _train_on(spark: SparkSession, sf_dir: str) -> tuple[JobParams, jobs.TrainReport]:
+def _train_on(spark: SparkSession, ratings: DataFrame) -> tuple[JobParams, jobs.TrainReport]:
     params = _job_params(spark)
-    given.written_lines(given.ratings(spark, sf_dir), params.ratings_path)
+    given.written_lines(ratings, params.ratings_path)
     return params, jobs.train(spark, params)
 
 
 def job_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training job; returns the sizes of its parsed parts."""
-    params, report = _train_on(spark, sf_dir)
+    params, report = _train_on(spark, given.ratings(spark, sf_dir))
     staged = jobs.read_parsed(spark, params.parsed_path(RATING.name), RATING)
     return split_counts(staged.withColumnRenamed("part", "split")).select(
         "split", "n", F.lit(report.n_eval).cast("bigint").alias("n_eval")
@@ -653,7 +653,7 @@ def job_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, then recommend; per user the cells stored and how many of them are not the model's."""
-    params, _ = _train_on(spark, sf_dir)
+    params, _ = _train_on(spark, given.ratings(spark, sf_dir))
     stored = recommendation_cells(
         spark.read.parquet(jobs.recommend(spark, params)), RECOMMEND_FAMILY
     )
@@ -693,16 +693,20 @@ def job_load_sings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_recommend_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recommendations without what a user has rated: how many, and how many of them were rated."""
-    params, _ = _train_on(spark, sf_dir)
+    # Stored: the job's text and the check read it, and the join behind it is dear.
+    ratings = given.stored(given.ratings(spark, sf_dir), "ratings")
+    params, _ = _train_on(spark, ratings)
     path = jobs.recommend(spark, params.with_(exclude_rated=True))
     stored = recommendation_cells(spark.read.parquet(path), RECOMMEND_FAMILY)
-    rated = given.ratings(spark, sf_dir).select(
-        row_key(F.col("userId")).alias("rowkey"),
-        F.col("sourceId").cast("string").alias("qualifier"),
-        F.lit(1).alias("rated"),
+    # Met as the numbers in the cells' text, which are dealt and sorted faster than the text.
+    cells = stored.select(
+        "rowkey",
+        F.substring_index("rowkey", ":", -1).try_cast("int").alias("userId"),
+        F.col("qualifier").try_cast("int").alias("sourceId"),
     )
+    rated = ratings.select("userId", "sourceId", F.lit(1).alias("rated"))
     return (
-        stored.join(rated, ["rowkey", "qualifier"], "left")
+        cells.join(rated, ["userId", "sourceId"], "left")
         .groupBy("rowkey")
         .agg(F.count(F.lit(1)).alias("n_cells"), F.count("rated").alias("n_rated"))
     )

@@ -43,6 +43,10 @@ def test_ratings_are_derived_once(spark, sf_dir, name):
     assert "lineitem" not in plan_of(QUERIES[name](spark, sf_dir))
 
 
+def test_unrated_recommendations_are_checked_without_a_second_join(spark, sf_dir):
+    assert "lineitem" not in plan_of(QUERIES["job_recommend_unrated"](spark, sf_dir))
+
+
 def test_entry(spark):
     frame = registered.entry(spark)
     assert frame.columns == ["userId", "recommendations"]

@@ -7,8 +7,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from earshot.operators.topk import flatten, item_ids, top_k_items
+from earshot.operators.topk import _rated_by_shard, flatten, item_ids, top_k_items
 from earshot.operators.topk_kernel import NOTHING, best_items, read_keys, sort_keys
+from tests.plans import plan_of, shuffle_keys
 
 
 def table(spark, ids, vectors):
@@ -202,3 +203,19 @@ def test_a_group_takes_little_more_than_its_tables():
     rows = zip(got["id"].to_pylist(), got["recommendations"].to_pylist(), strict=True)
     check({u: [(e["sourceId"], e["rating"]) for e in found] for u, found in rows}, want)
     assert peak < 10 * items.nbytes
+
+
+def test_rated_pairs_are_shuffled_for_the_join_and_the_lists_only(spark):
+    """Repeats and items that the model does not have go on the way; no shuffle by pair."""
+    rows = [(1, 7), (1, 7), (1, 3), (1, 99), (2, 5), (None, 5), (2, None)] * 2
+    rated = spark.createDataFrame(rows, "userId int, sourceId int")
+    sharded = spark.createDataFrame([(3, 0), (5, 1), (7, 0)], "id int, shard int")
+    lists = _rated_by_shard(rated, sharded)
+    assert {(r["id"], r["shard"]): r["rated"] for r in lists.collect()} == {
+        (1, 0): [3, 7],
+        (2, 1): [5],
+        (None, 1): [5],
+    }
+    keys = [k.split(", ")[:-1] for k in shuffle_keys(plan_of(_rated_by_shard(rated, sharded)))]
+    by = [[name.split("#")[0] for name in key] for key in keys]
+    assert all(key in (["item"], ["id"], ["id", "shard"]) for key in by), by
