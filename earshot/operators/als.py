@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.params import AlsParams
-from earshot.workspace import ensure_checkpoint_dir
+from earshot.workspace import drop_shuffles, ensure_checkpoint_dir
 
 MIN_BLOCKS = 10
+# MLlib drops the factors exchanged so far when it stores those of the items.  It would do so every
+# ten iterations; until then each half step leaves a copy of a side's factors per block it meets.
+CHECKPOINT_EVERY = 1
 
 
 def block_count(n_ratings: int, ratings_per_block: int) -> int:
@@ -49,7 +52,8 @@ def fit(ratings: DataFrame, params: AlsParams, n_ratings: int) -> ALSModel:
     and layout follow from the ratings alone, so equal seeds give equal factors.
 
     MLlib asks for its input's partitions before it reads them, and would run the shuffles of the
-    layout each time: they stay on the executors' disks until it has its own blocks.
+    layout each time: the rows laid out stay on the executors' disks during the fit.  The shuffles
+    behind them, and those behind the factors afterwards, do not.
     """
     if n_ratings == 0:
         raise ValueError("no training rows")
@@ -63,19 +67,29 @@ def fit(ratings: DataFrame, params: AlsParams, n_ratings: int) -> ALSModel:
         seed=params.seed,
         numUserBlocks=params.user_blocks or blocks,
         numItemBlocks=params.item_blocks or blocks,
+        checkpointInterval=CHECKPOINT_EVERY,
         userCol="userId",
         itemCol="sourceId",
         ratingCol="rating",
     )
     if not params.pin_layout:
-        return als.fit(ratings)
+        return _without_shuffles(als.fit(ratings))
     pinned = pin_layout(ratings, blocks).persist(StorageLevel.DISK_ONLY)
     try:
-        return als.fit(pinned)
+        pinned.count()
+        drop_shuffles(pinned)
+        return _without_shuffles(als.fit(pinned))
     finally:
         pinned.unpersist()
 
 
+def _without_shuffles(model: ALSModel) -> ALSModel:
+    """The model, whose factors the executors hold, without the shuffle files of the fit."""
+    drop_shuffles(model.userFactors)
+    drop_shuffles(model.itemFactors)
+    return model
+
+
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """``prediction`` for each pair, NaN where the user or the item is unknown."""
     return model.transform(pairs)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.sources.text_files import scan_lines
-from earshot.workspace import scratch_root
+from earshot.workspace import scratch_root, shuffles_dropped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,13 +119,15 @@ FACTOR_RANK = 64
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """The rows written to a table below the shared folder, so that readers do not derive them anew."""
     path = scratch_root(rows.sparkSession, name)
-    rows.write.parquet(path)
+    with shuffles_dropped(rows.sparkSession):
+        rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def written_lines(rows: DataFrame, folder: str) -> str:
     """Write rows as ``part-*`` text into a folder and return it."""
-    as_lines(rows).write.mode("overwrite").text(folder)
+    with shuffles_dropped(rows.sparkSession):
+        as_lines(rows).write.mode("overwrite").text(folder)
     return folder
 
 

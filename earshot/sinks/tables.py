@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.workspace import shuffles_dropped
+
 # A table on its way in or out stands beside its place under a name that readers of the
 # parent folder pass over.
 NEW, OLD = ".new-", ".old-"
@@ -43,9 +45,9 @@ def _write_counted(
 ) -> int:
     """Write and count in one pass.  Only tasks that were committed have their rows counted."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.options(**options).partitionBy(
-        *partition_by
-    ).parquet(path)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    with shuffles_dropped(df.sparkSession):
+        counted.write.options(**options).partitionBy(*partition_by).parquet(path)
     return seen.get.get("n", 0)
 
 

@@ -6,9 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# Spark's own switch, since 4.1; earlier versions pass over it.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,3 +52,31 @@ def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> Non
 def scratch_root(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one."""
     return f"{shared_folder(spark)}/earshot/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query run within go when it ends.
+
+    Otherwise they lie on the executors' disks until the driver happens to collect its garbage.
+    """
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
+def drop_shuffles(held: DataFrame) -> None:
+    """Remove the shuffle files behind a table that the executors hold, in memory or on disk.
+
+    Spark keeps them as long as the table.  Partitions lost later are made anew from the
+    source, as they would be where an executor is lost with its files.
+    """
+    behind = held._jdf.queryExecution().toRdd().getNarrowAncestors()
+    for i in range(behind.size()):
+        behind.apply(i).cleanShuffleDependencies(False)

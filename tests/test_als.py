@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from earshot.operators.evaluate import rmse
 from earshot.operators.topk import recommend_for_all_users
 from earshot.params import AlsParams
 from earshot.registered import standins
+from tests.disk import local_folders, shuffles_in, shuffles_left
 
 
 @pytest.fixture(scope="module")
@@ -124,3 +127,39 @@ def test_the_layout_is_made_once_for_a_fit(spark):
     assert model.userFactors.count() == 20
     # What stays is the model's two sides; the laid-out rows do not.
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= cached + 2
+
+
+def test_a_fit_keeps_few_shuffles_at_a_time_and_none_afterwards(spark, ratings):
+    """Twenty half steps exchange factors; what earlier ones wrote is gone by then."""
+    folders = local_folders(spark)
+    before, most, done = shuffles_in(folders), 0, threading.Event()
+
+    def watch():
+        nonlocal most
+        while not done.wait(0.02):
+            most = max(most, len(shuffles_in(folders) - before))
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        model = als.fit(ratings, AlsParams(), ratings.count())
+    finally:
+        done.set()
+        watcher.join()
+    assert 0 < most < 14
+    assert not shuffles_left(spark, before)
+    assert model.userFactors.count() > 0
+
+
+def test_factors_that_an_executor_lost_are_fitted_again(spark, ratings):
+    """Their shuffle files are gone, so the way back is the whole fit."""
+    held = spark.sparkContext._jsc.getPersistentRDDs()
+    model = als.fit(ratings, AlsParams(max_iter=2), ratings.count())
+    before = [vectors(model.userFactors), vectors(model.itemFactors)]
+    fitted = spark.sparkContext._jsc.getPersistentRDDs()
+    for number in set(fitted.keySet()) - set(held.keySet()):
+        fitted[number].unpersist(True)
+    for factors, again in zip(before, (model.userFactors, model.itemFactors), strict=True):
+        again = vectors(again)
+        assert factors.keys() == again.keys()
+        assert all((factors[i] == again[i]).all() for i in factors)
