@@ -339,7 +339,8 @@ def als_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = _part(split, "train")
     users = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("x"))
     items = model.itemFactors.select(F.col("id").alias("sourceId"), F.col("features").alias("f"))
-    pairs = train.join(users, "userId").join(items, "sourceId")
+    # Users last: a user's pairs, wide by then, lie together for the sums without another shuffle.
+    pairs = train.join(items, "sourceId").join(users, "userId")
 
     def at(vector: str, i: int) -> Column:
         return F.get(vector, F.lit(i)).cast("double")

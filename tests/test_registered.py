@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as registered
 from earshot.registered import duckdb_sql, spark_queries
 from tests.oracle import connect, differences
-from tests.plans import plan_of
+from tests.plans import plan_of, shuffle_keys
 
 # Text operators have tests of their own beside their subpackage's.
 QUERIES, SQL = dict(spark_queries.QUERIES), dict(duckdb_sql.ORACLE_SQL)
@@ -47,6 +47,18 @@ def test_unrated_recommendations_are_checked_without_a_second_join(spark, sf_dir
     assert "lineitem" not in plan_of(QUERIES["job_recommend_unrated"](spark, sf_dir))
 
 
+def test_optimality_sums_where_users_meet_their_pairs(spark, sf_dir):
+    """Without a shuffle of the sums, of which there would be nearly one for each pair."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = shuffle_keys(plan_of(QUERIES["als_optimality"](spark, sf_dir)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    by = [[name.split("#")[0] for name in key.split(", ")[:-1]] for key in keys]
+    assert by and all(key in (["userId"], ["sourceId"], ["id"]) for key in by), by
+
+
 def test_entry(spark):
     frame = registered.entry(spark)
     assert frame.columns == ["userId", "recommendations"]
