@@ -125,9 +125,9 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
 
 
 def written_lines(rows: DataFrame, folder: str) -> str:
-    """Write rows as ``part-*`` text into a folder and return it."""
+    """Write rows as ``part-*`` text into a folder and return it; zipped, as text is long."""
     with shuffles_dropped(rows.sparkSession):
-        as_lines(rows).write.mode("overwrite").text(folder)
+        as_lines(rows).write.mode("overwrite").text(folder, compression="gzip")
     return folder
 
 

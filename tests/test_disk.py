@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
+from earshot.params import AlsParams, JobParams
+from earshot.plans import jobs
 from earshot.registered import standins
 from earshot.sinks.tables import overwrite_table
 from earshot.workspace import DROP_SHUFFLES, shuffles_dropped
@@ -31,3 +35,22 @@ def test_the_setting_comes_back_after_a_failure(spark):
         assert spark.conf.get(DROP_SHUFFLES) == "true"
         raise RuntimeError
     assert spark.conf.get(DROP_SHUFFLES, None) == setting
+
+
+def test_jobs_leave_no_shuffle_files(spark, sf_dir, tmp_path):
+    params = JobParams(
+        storage_root=str(tmp_path), run_date=date(2024, 1, 2), als=AlsParams(max_iter=1)
+    )
+    ratings = standins.stored(standins.ratings(spark, sf_dir), "ratings")
+    before = shuffles_in(local_folders(spark))
+    standins.written_lines(ratings, params.ratings_path)
+    assert jobs.train(spark, params).n_eval > 0
+    assert not shuffles_left(spark, before)
+
+
+def test_text_written_for_a_job_is_zipped(spark, tmp_path):
+    rows = spark.range(3000).select("id", (F.col("id") % 7).alias("k"))
+    folder = standins.written_lines(rows, str(tmp_path))
+    parts = list(tmp_path.glob("part-*"))
+    assert parts and all(part.name.endswith(".gz") for part in parts)
+    assert {r[0] for r in spark.read.text(folder).collect()} == {f"{i}|{i % 7}" for i in range(3000)}
