@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from earshot.functions.vectors import norm
 from earshot.operators import topk_kernel
 from earshot.schemas import RECOMMENDATIONS
-from earshot.workspace import ensure_checkpoint_dir
+from earshot.workspace import ensure_checkpoint_dir, shuffles_dropped
 
 # What one group may hold: factor values of items and of users, and result rows.
 SHARD_VALUES = 4_000_000
@@ -93,7 +93,8 @@ def top_k_items(
     single = len(shards.top_norms) == 1
     if rated is not None:
         ensure_checkpoint_dir(spark)
-        rated = _rated_by_shard(rated, shards.assign(items)).checkpoint()
+        with shuffles_dropped(spark):
+            rated = _rated_by_shard(rated, shards.assign(items)).checkpoint()
     first = _meet(everyone, blocks, {0: n_users}, group_users, k, not single, rated)
     if single:
         return first.select(F.col("id").alias("userId"), "recommendations")
@@ -137,7 +138,8 @@ def _next_rounds(
     while low < n_shards:
         high = min(low + batch, n_shards)
         possible = shards.still_possible(k, low, high, lowest_first=rated is None)
-        state = state.withColumn("shards", possible).checkpoint()
+        with shuffles_dropped(state.sparkSession):
+            state = state.withColumn("shards", possible).checkpoint()
         left = state.where(F.size("shards") > 0)
         done.append(state.where(F.size("shards") == 0))
         pending = left.select(

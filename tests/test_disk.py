@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from earshot.operators.topk import top_k_items
 from earshot.params import AlsParams, JobParams
 from earshot.plans import jobs
 from earshot.registered import standins
@@ -39,15 +40,27 @@ def test_the_setting_comes_back_after_a_failure(spark):
 
 def test_jobs_leave_no_shuffle_files(spark, sf_dir, tmp_path):
     params = JobParams(
-        storage_root=str(tmp_path), run_date=date(2024, 1, 2), als=AlsParams(max_iter=1)
+        storage_root=str(tmp_path), run_date=date(2024, 1, 2), als=AlsParams(max_iter=1), exclude_rated=True
     )
     ratings = standins.stored(standins.ratings(spark, sf_dir), "ratings")
     before = shuffles_in(local_folders(spark))
     standins.written_lines(ratings, params.ratings_path)
     assert jobs.train(spark, params).n_eval > 0
+    assert spark.read.parquet(jobs.recommend(spark, params)).count() > 0
     assert not shuffles_left(spark, before)
 
 
+def test_rounds_of_top_k_leave_only_the_last_one(spark):
+    """What a round shuffled goes when its outcome is stored."""
+    rows = [(i, [float(i % 7), float(i % 11), 1.0]) for i in range(400)]
+    vectors = standins.stored(spark.createDataFrame(rows, "id int, features array<float>"), "vectors")
+    rated = vectors.select(F.col("id").alias("userId"), F.col("id").alias("sourceId"))
+    before = shuffles_in(local_folders(spark))
+    found = top_k_items(vectors, vectors, 5, shard_items=25, rated=rated)
+    assert not shuffles_left(spark, before)
+    assert found.count() == 400
+
+
 def test_text_written_for_a_job_is_zipped(spark, tmp_path):
     rows = spark.range(3000).select("id", (F.col("id") % 7).alias("k"))
     folder = standins.written_lines(rows, str(tmp_path))
